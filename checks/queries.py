@@ -289,13 +289,22 @@ def booking_history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_history(spark: SparkSession, folder: str) -> DataFrame:
-    """History of every table between the stored state and the one after deletion, updates and withdrawals."""
-    before = project(spark, folder)
+    """History of every table between the stored state and the one after withdrawals, flight updates and the
+    removal of baggage over the limit. Items with the same number are one item here: history needs keys."""
+    t = project(spark, folder)
+    items = t["object"].groupBy("volgnummer").agg(
+        F.min("passagiernummer").alias("passagiernummer"),
+        F.min("vluchtnummer").alias("vluchtnummer"),
+        F.sum("gewicht").cast("int").alias("gewicht"),
+    )
+    over = rules.rule05_baggage_limit(t).select(*joins.BOOKING)
+    before = t.replacing(object=items)
     updates = _flight_updates(spark, folder)
     after = before.replacing(
         passagier_voor_vlucht=_without_every_17th(before["passagier_voor_vlucht"]),
         vlucht=changes.guard_flight_update(before["vlucht"], before["passagier_voor_vlucht"], updates).flights,
         maatschappij=before["maatschappij"].join(rules.rule09_airline_has_desk(before), "maatschappijcode", "left_anti"),
+        object=items.join(over, joins.BOOKING, "left_anti").select(*TABLES["object"].names),
     )
     made = history.history_all(before, after, AS_OF)
     return _union(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paxledger.functions.scalars import micros, or_zero
-from paxledger.operators.ordered import point_hits
+from paxledger.operators.ordered import start_hits
 
 BOOKING = ["passagiernummer", "vluchtnummer"]
 
@@ -123,13 +123,13 @@ def interval_overlap(t: Mapping[str, DataFrame]) -> DataFrame:
             "aankomsttijdstip",
             micros(F.col("vertrektijdstip")).alias("_from"),
             micros(F.col("aankomsttijdstip")).alias("_to"),
+            F.coalesce(F.col("aankomsttijdstip") >= F.col("vertrektijdstip"), F.lit(False)).alias("_lasts"),
         )
     )
-    # Only a flight that does not end before it starts can contain a moment.
-    spans = F.coalesce(F.col("_to") >= F.col("_from"), F.lit(False))
+    # Only a flight that does not end before it starts can contain a moment; every such one contains its own start.
     return (
-        point_hits(trips.where(spans), trips, ["passagiernummer"], "_from", "_to", at="_from")
-        .where(F.col("hits") > spans.cast("int"))
+        start_hits(trips, ["passagiernummer"], "_from", "_to", counts="_lasts")
+        .where(F.col("hits") > F.col("_lasts").cast("int"))
         .select(*BOOKING, "vertrektijdstip", "aankomsttijdstip")
     )
 

@@ -2,8 +2,7 @@
 
 A window over one key puts all rows of that key into one task. Here the order column is cut into
 blocks by its upper bits, each block is summed on its own, and a block starts from the sum of the
-blocks before it. Blocks of blocks are treated the same way. With distinct order values per key no
-window holds more than 2**20 rows, or 2**24 sums at the top, however the rows are spread over the keys.
+blocks before it. A window then holds one block of one key, or one sum per block of a key.
 """
 
 from __future__ import annotations
@@ -11,17 +10,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_BITS = 20
-LEVELS = 3  # two cuts of 20 bits leave at most 2**24 top blocks of a 64-bit order column
+from paxledger.session import settle
+
+#: Arrival numbers: at most 2**24 rows in a block, and 2**24 blocks up to number 2**48.
+SEQUENCE_BITS = 24
+#: Microseconds: a block is 18 minutes, at most 322,000 moments of 1/300 second; a century has 3 million blocks.
+MOMENT_BITS = 30
 
 
 def running_sums(
-    df: DataFrame, keys: list[str], order: str, sums: dict[str, Column], bits: int = BLOCK_BITS, levels: int = LEVELS
+    df: DataFrame, keys: list[str], order: str, sums: dict[str, Column], bits: int = SEQUENCE_BITS, levels: int = 2
 ) -> DataFrame:
     """``df`` with inclusive running sums per ``keys`` in ascending ``order``.
 
     ``order`` is BIGINT and distinct within a key (aggregate first where it is not). ``sums`` maps each
-    new column to the BIGINT expression to add up.
+    new column to the BIGINT expression to add up. A block spans ``2**bits`` order values; a further level
+    cuts the blocks themselves into blocks, for an order column with a very wide and full range.
     """
     valued = df.select("*", *[e.cast("bigint").alias(n) for n, e in sums.items()])
     return _running(valued, keys, order, list(sums), bits, levels)
@@ -46,6 +50,19 @@ def _running(df: DataFrame, keys: list[str], order: str, names: list[str], bits:
     )
 
 
+def _moments(rows: DataFrame, keys: list[str], *marks: tuple[str, Column, Column]) -> DataFrame:
+    """One row per mark (column of the moment, what opens there, what closes there) of each row."""
+    parts = [
+        F.struct(F.col(at).alias("_at"), opened.cast("bigint").alias("_opened"), closed.cast("bigint").alias("_closed"))
+        for at, opened, closed in marks
+    ]
+    return rows.select(*keys, F.inline(F.array(*parts)))
+
+
+def _per_moment(marks: DataFrame, keys: list[str]) -> DataFrame:
+    return marks.groupBy(*keys, "_at").agg(F.sum("_opened").alias("_opened"), F.sum("_closed").alias("_closed"))
+
+
 def interval_hits(
     intervals: DataFrame, probes: DataFrame, keys: list[str], start: str, end: str, out: str = "hits"
 ) -> DataFrame:
@@ -56,19 +73,16 @@ def interval_hits(
     the probe's end less the ends before the probe's start. Two running counts give that without
     pairing any rows, and only one row per key and moment enters them.
     """
-    def moments(rows: DataFrame, column: str, opened: int, closed: int) -> DataFrame:
-        return rows.select(*keys, F.col(column).alias("_at"), F.lit(opened).alias("_opened"), F.lit(closed).alias("_closed"))
-
-    events = (
-        moments(intervals, start, 1, 0)
-        .unionByName(moments(intervals, end, 0, 1))
-        .unionByName(moments(probes, start, 0, 0))
-        .unionByName(moments(probes, end, 0, 0))
-        .groupBy(*keys, "_at")
-        .agg(F.sum("_opened").alias("_opened"), F.sum("_closed").alias("_closed"))
+    one, none = F.lit(1), F.lit(0)
+    marks = _moments(intervals, keys, (start, one, none), (end, none, one)).unionByName(
+        _moments(probes, keys, (start, none, none), (end, none, none))
     )
     counted = running_sums(
-        events, keys, "_at", {"_starts_through": F.col("_opened"), "_ends_through": F.col("_closed")}
+        settle(_per_moment(marks, keys), "moments"),
+        keys,
+        "_at",
+        {"_starts_through": F.col("_opened"), "_ends_through": F.col("_closed")},
+        MOMENT_BITS,
     ).withColumn("_ends_before", F.col("_ends_through") - F.col("_closed"))
     at_start = counted.select(*keys, F.col("_at").alias(start), "_ends_before")
     at_end = counted.select(*keys, F.col("_at").alias(end), "_starts_through")
@@ -80,21 +94,18 @@ def interval_hits(
     )
 
 
-def point_hits(intervals: DataFrame, probes: DataFrame, keys: list[str], start: str, end: str, at: str, out: str = "hits") -> DataFrame:
-    """``probes`` with the number of closed ``intervals`` of the same keys that contain the point ``at``."""
-    opened = intervals.select(*keys, F.col(start).alias(at), F.lit(1).alias("_opened"), F.lit(0).alias("_closed"))
-    closed = intervals.select(*keys, F.col(end).alias(at), F.lit(0).alias("_opened"), F.lit(1).alias("_closed"))
-    asked = probes.select(*keys, at, F.lit(0).alias("_opened"), F.lit(0).alias("_closed"))
-    events = (
-        opened.unionByName(closed)
-        .unionByName(asked)
-        .groupBy(*keys, at)
-        .agg(F.sum("_opened").alias("_opened"), F.sum("_closed").alias("_closed"))
-    )
-    counted = running_sums(events, keys, at, {"_starts": F.col("_opened"), "_ends": F.col("_closed")}).select(
-        *keys, at, (F.col("_starts") - F.col("_ends") + F.col("_closed")).alias(out)
-    )
-    return probes.join(counted, [*keys, at]).select(*probes.columns, out)
+def start_hits(df: DataFrame, keys: list[str], start: str, end: str, counts: str, out: str = "hits") -> DataFrame:
+    """``df`` with the number of its ranges, of the same keys, that contain the row's own start.
+
+    Only rows where the BOOLEAN ``counts`` holds lend their range, itself included; those have
+    start <= end. Starts are required, ends only of rows that count.
+    """
+    lends = F.col(counts).cast("bigint")
+    marks = _moments(df, keys, (start, lends, F.lit(0)), (end, F.lit(0), lends)).where(F.col("_at").isNotNull())
+    counted = running_sums(
+        _per_moment(marks, keys), keys, "_at", {"_starts": F.col("_opened"), "_ends": F.col("_closed")}, MOMENT_BITS
+    ).select(*keys, F.col("_at").alias(start), (F.col("_starts") - F.col("_ends") + F.col("_closed")).alias(out))
+    return df.join(counted, [*keys, start]).select(*df.columns, out)
 
 
 #: Dyadic tree nodes of a row whose start has rank ``_p`` and whose end has rank ``_q``. A node is
@@ -122,14 +133,14 @@ def least_overlapping(
     as the nodes above its start. Minima per node, met on equal nodes, give the answer in n log n rows;
     rows are never paired with each other.
     """
+    one, none = F.lit(1), F.lit(0)
     marks = (
-        df.select(*keys, F.col(start).alias("_at"), F.lit(1).alias("_first"))
-        .unionByName(df.select(*keys, F.col(end).alias("_at"), F.lit(0).alias("_first")))
+        _moments(df, keys, (start, one, none), (end, none, none))
         .groupBy(*keys, "_at")
-        .agg(F.max("_first").alias("_first"))
+        .agg(F.max("_opened").alias("_first"))
     )
     # Ranks count from 1; a row's end ranks as the last start at or before it.
-    ranks = running_sums(marks, keys, "_at", {"_rank": F.col("_first")})
+    ranks = running_sums(marks, keys, "_at", {"_rank": F.col("_first")}, MOMENT_BITS)
     tops = marks.groupBy(*keys).agg(F.sum("_first").alias("_starts"))
     ranked = (
         df.select(*keys, *[c for c in dict.fromkeys([*identity, start, end, value]) if c not in keys])
@@ -138,6 +149,7 @@ def least_overlapping(
         .join(tops, keys)
         .withColumn("_height", F.ceil(F.log2(F.col("_starts") + 1)).cast("int"))
     )
+    ranked = settle(ranked, "ranked")
     names = [*keys, *[c for c in identity if c not in keys]]
 
     def laid(nodes: str, role: int) -> Column:

@@ -170,10 +170,10 @@ def _overlap_checks(bookings: DataFrame, flights: DataFrame, pairs: DataFrame) -
     that does not. Only passengers who ask for several new flights take part in the second step.
     """
     against_stored = stored_overlaps(bookings, flights, pairs).withColumn("_meets_stored", F.lit(True))
-    marked = pairs.join(against_stored, BOOKING, "left")
+    marked = settle(pairs.join(against_stored, BOOKING, "left"), "marked")
     fresh = marked.where(F.col("_meets_stored").isNull() & F.col("_stored").isNull())
     several = fresh.groupBy(*PASSENGER).agg(F.count("*").alias("_n")).where("_n > 1").select(*PASSENGER)
-    spans = _spans(fresh.select(*BOOKING, "seq").join(several, PASSENGER, "left_semi"), flights)
+    spans = settle(_spans(fresh.select(*BOOKING, "seq").join(several, PASSENGER, "left_semi"), flights), "spans")
     least = least_overlapping(spans, PASSENGER, "_from", "_to", "seq", BOOKING, out="_earliest")
     meets_earlier = F.coalesce(F.col("_earliest") < F.col("seq"), F.lit(False))
     return marked.join(least, BOOKING, "left").select(
