@@ -73,7 +73,8 @@ def capacity_cutoff(flights: DataFrame, bookings: DataFrame, asked: DataFrame, n
     arrival numbers, never a whole flight at once.
     """
     numbers = asked.select("vluchtnummer").distinct()
-    taken = bookings.join(numbers, "vluchtnummer", "left_semi").groupBy("vluchtnummer").agg(F.count("*").alias("_taken"))
+    # Counted first: a full flight is one row by the time it is joined.
+    taken = bookings.groupBy("vluchtnummer").agg(F.count("*").alias("_taken"))
     free = (
         flights.select("vluchtnummer", "max_aantal_psgrs")
         .join(numbers, "vluchtnummer", "left_semi")
@@ -231,8 +232,7 @@ def _of_booking(check: Callable[..., DataFrame]) -> Callable[[Mapping[str, DataF
 
 
 def _over_capacity(t: Mapping[str, DataFrame], touched: DataFrame) -> DataFrame:
-    near = t["passagier_voor_vlucht"].join(touched.select("vluchtnummer").distinct(), "vluchtnummer", "left_semi")
-    full = flight_load(t.replacing(passagier_voor_vlucht=near)).where(F.col("n_bookings") > F.col("max_aantal_psgrs"))
+    full = flight_load(t).where(F.col("n_bookings") > F.col("max_aantal_psgrs"))
     return touched.join(full, "vluchtnummer", "left_semi")
 
 

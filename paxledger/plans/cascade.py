@@ -40,7 +40,8 @@ def delete_cascade(t: Mapping[str, DataFrame], table: str, keys: DataFrame) -> C
 
 
 def _referred(keys: DataFrame, child: DataFrame, columns: dict[str, str]) -> DataFrame:
-    used = child.select(*[F.col(c).alias(p) for p, c in columns.items()])
+    # A key that very many children refer to is one row by the time it is joined.
+    used = child.select(*[F.col(c).alias(p) for p, c in columns.items()]).distinct()
     return keys.join(used, list(columns), "left_semi")
 
 

@@ -74,7 +74,7 @@ def add_baggage(t: Mapping[str, DataFrame], items: DataFrame) -> DataFrame:
 
 def remove_baggage(objects: DataFrame, ids: DataFrame) -> DataFrame:
     """Baggage without the items whose ``volgnummer`` is in ``ids``."""
-    return objects.join(ids, "volgnummer", "left_anti").select(*objects.columns)
+    return objects.join(ids.select("volgnummer").distinct(), "volgnummer", "left_anti").select(*objects.columns)
 
 
 @dataclass(frozen=True)

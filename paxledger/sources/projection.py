@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paxledger.session import prepare
 from paxledger.sources.schema import TABLES
 from paxledger.sources.tables import Tables
 
@@ -29,7 +30,7 @@ class StarSource:
     """The driver tables below one folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder = spark, folder
+        self._spark, self._folder = prepare(spark), folder
 
     def raw(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._folder}/{name}.parquet")

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from paxledger.functions.scalars import trim_char
+from paxledger.session import prepare
 from paxledger.sources.schema import TABLES
 
 
@@ -43,6 +44,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 def load_tables(spark: SparkSession, folder: str) -> Tables:
     """Read ``<folder>/<table>`` Parquet with the declared types."""
+    prepare(spark)
     return Tables(
         {
             name: (lambda n=name: conform(spark.read.schema(TABLES[n].schema).parquet(f"{folder}/{n}"), n))
@@ -65,6 +67,7 @@ def load_jdbc(
     key range. Rows outside the bounds are still read, by the first and last part. Connection options
     come from the caller.
     """
+    prepare(spark)
     split = split or {}
 
     def read(name: str) -> DataFrame:
