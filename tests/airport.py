@@ -5,6 +5,9 @@ from __future__ import annotations
 from datetime import datetime
 from decimal import Decimal
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+
 from paxledger.sources.schema import REQUEST_SCHEMA, TABLES
 from paxledger.sources.tables import Tables
 
@@ -50,15 +53,22 @@ ROWS = {
 }
 
 
+def frame(spark, rows, schema):
+    """Rows as a local relation, which Spark plans with its true size."""
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([r[i] for r in rows], type=field.type) for i, field in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)
+
+
 def airport(spark, **changed) -> Tables:
     rows = {**ROWS, **changed}
-    return Tables({n: (lambda n=n: spark.createDataFrame(rows[n], TABLES[n].schema)) for n in TABLES})
+    return Tables({n: (lambda n=n: frame(spark, rows[n], TABLES[n].schema)) for n in TABLES})
 
 
 def requests(spark, *rows):
     """Requests numbered in the order given: (passenger, flight, desk, moment, seat)."""
-    return spark.createDataFrame(
-        [(i, p, f, d, at(m) if m else None, s) for i, (p, f, d, m, s) in enumerate(rows, 1)], REQUEST_SCHEMA
+    return frame(
+        spark, [(i, p, f, d, at(m) if m else None, s) for i, (p, f, d, m, s) in enumerate(rows, 1)], REQUEST_SCHEMA
     )
 
 

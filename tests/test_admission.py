@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
-from airport import ROWS, airport, at, flight, found, requests
+from airport import ROWS, airport, at, flight, found, frame, requests
 from pyspark.sql import functions as F
 
 from paxledger.plans import admission, rules
@@ -91,7 +91,7 @@ def _world(spark, cases, seed):
     flights, stored, asked = _random_cases(cases, seed)
     people = [(n, str(n), "M", at("1970-01-01 00:00")) for n in range(cases * 10)]
     t = airport(spark, vlucht=flights, passagier_voor_vlucht=stored, passagier=people)
-    return t, spark.createDataFrame(asked, REQUEST_SCHEMA), flights, stored, asked
+    return t, frame(spark, asked, REQUEST_SCHEMA), flights, stored, asked
 
 
 def _capacity_model(flights, stored, asked, as_written):
