@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from paxledger.functions import scalars
 from paxledger.operators import aggregates, joins, lookup
 from paxledger.plans import admission, audit, cascade, changes, history, keys, rules
-from paxledger.session import work_folder
+from paxledger.session import settle, work_folder
 from paxledger.sources.projection import StarSource, project, project_handled, project_requests
 from paxledger.sources.schema import FOREIGN_KEYS, TABLES
 from paxledger.sources.tables import Tables, load_tables, scan, scan_desks, write_tables, write_version
@@ -178,7 +178,7 @@ def _baggage_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def added_baggage(spark: SparkSession, folder: str) -> DataFrame:
-    """Items arrive for the handled bookings, none of which has baggage yet beyond its lightest item."""
+    """Items arrive for the handled bookings, which so far have their lightest items only."""
     t = project(spark, folder)
     handled = project_handled(spark, folder)
     stored = t["object"].where(F.col("gewicht") <= 2)
@@ -231,7 +231,8 @@ def renamed_airports(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _at_handled(spark: SparkSession, folder: str) -> Tables:
-    return project(spark, folder).replacing(passagier_voor_vlucht=project_handled(spark, folder))
+    """The tables as they stand when the requests arrive: bookings of handled orders, written once."""
+    return project(spark, folder).replacing(passagier_voor_vlucht=settle(project_handled(spark, folder), "handled"))
 
 
 def capacity(spark: SparkSession, folder: str, as_written: bool = False) -> DataFrame:

@@ -51,12 +51,11 @@ def add_baggage(t: Mapping[str, DataFrame], items: DataFrame) -> DataFrame:
         .where(F.col("_n") <= MAX_ITEMS + 1)
         .withColumn("_weight", F.sum("gewicht").over(upto))
     )
-    stored = baggage_totals(t).join(items.select(*BOOKING).distinct(), BOOKING, "left_semi")
     breach = (F.col("_n") + F.coalesce("n_items", F.lit(0)) > MAX_ITEMS) | (
         F.col("_weight") + F.coalesce("total_weight", F.lit(0)) > F.col("max_ppgewicht")
     )
     stops = (
-        heads.join(stored, BOOKING, "left")
+        heads.join(baggage_totals(t), BOOKING, "left")
         .join(limits, "vluchtnummer", "left")
         .where(breach)
         .groupBy(*BOOKING)
