@@ -42,7 +42,7 @@ def build_session(app: str = "paxledger", master: str | None = None, **conf: str
 
 
 def _shared_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
