@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from paxledger.llm import archive, chat, packing, quality, secrets, shards
+from paxledger.llm import archive, chat, neardup, packing, quality, secrets, shards, spots
 from paxledger.llm.common import table
 
 QUERIES = {
     "op2_compression_quality": quality.op2_compression_quality,
+    "op4_multi_index_hamming": lambda spark, d: neardup.op4_multi_index_hamming(spark, table(spark, d, "documents")),
     "op5_secret_ledger": lambda spark, d: secrets.op5_secret_ledger(spark, table(spark, d, "documents")),
     "op6_merkle_audit": lambda spark, d: archive.op6_merkle_audit(spark, table(spark, d, "pages")),
     "op7_hypergeometric_shards": lambda spark, d: shards.op7_hypergeometric_shards(spark, table(spark, d, "documents")),
     "op8_shortest_pack_first": lambda spark, d: packing.op8_shortest_pack_first(spark, table(spark, d, "documents")),
+    "op9_spotsigs": lambda spark, d: spots.op9_spotsigs(spark, table(spark, d, "documents")),
     "op10_event_sourced_chat": lambda spark, d: chat.op10_event_sourced_chat(spark, table(spark, d, "conversations")),
 }
 SQL = {
     "op5_secret_ledger": secrets.OP5_SQL,
     "op6_merkle_audit": archive.OP6_SQL,
+    "op9_spotsigs": lambda spark, d: spots.op9_spotsigs(spark, table(spark, d, "documents")),
     "op10_event_sourced_chat": chat.OP10_SQL,
 }
