@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from paxledger.llm import archive, chat, neardup, packing, quality, secrets, shards, spots
+from paxledger.llm import archive, chat, decontam, neardup, packing, quality, secrets, shards, spots
 from paxledger.llm.common import table
 
 QUERIES = {
     "op2_compression_quality": quality.op2_compression_quality,
+    "op3_latent_leaks": decontam.op3_latent_leaks,
     "op4_multi_index_hamming": lambda spark, d: neardup.op4_multi_index_hamming(spark, table(spark, d, "documents")),
     "op5_secret_ledger": lambda spark, d: secrets.op5_secret_ledger(spark, table(spark, d, "documents")),
     "op6_merkle_audit": lambda spark, d: archive.op6_merkle_audit(spark, table(spark, d, "pages")),
