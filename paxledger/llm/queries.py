@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from paxledger.llm import archive, chat, decontam, neardup, packing, quality, secrets, shards, spots
+from paxledger.llm import archive, chat, decontam, neardup, packing, quality, secrets, shards, spots, suffixes
 from paxledger.llm.common import table
 
 QUERIES = {
+    "op1_lyndon_suffix_dedup": lambda spark, d: suffixes.op1_lyndon_suffix_dedup(spark, table(spark, d, "documents")),
     "op2_compression_quality": quality.op2_compression_quality,
     "op3_latent_leaks": decontam.op3_latent_leaks,
     "op4_multi_index_hamming": lambda spark, d: neardup.op4_multi_index_hamming(spark, table(spark, d, "documents")),
