@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paxledger.session import settle, work_folder
 
-__all__ = ["folder", "forget", "numbered", "settle", "table", "texts", "work_folder"]
+__all__ = ["folder", "forget", "numbered", "settle", "spare", "table", "texts", "work_folder"]
 
 #: Rows that one window of ``numbered`` holds on average, whatever the size of the group.
 ROWS_PER_BIN = 1 << 16
@@ -28,6 +28,18 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened until no column of ``df`` has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def folder(df: DataFrame) -> str | None:
     """The folder that a settled table lies in."""
     files = df.inputFiles()

@@ -295,10 +295,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return grouped.select("doc_id", "item_id", "b.*")
 
 
+def _clean(shared):
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([next(shared.value.leaks(t), None) is None for t in batch], dtype=bool)
+
+    return clean(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, with their columns, that hold no benchmark passage."""
-    leaking = find_leaks(docs.select("doc_id", "text"), benchmark).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaking, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    for index in build_indexes(docs.select("doc_id", "text"), benchmark):
+        docs = docs.where(_clean(docs.sparkSession.sparkContext.broadcast(index)))
+    return docs
 
 
 def op3_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,10 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paxledger.llm.common import forget, settle, texts
+from paxledger.llm.common import forget, settle, spare, texts
 
 WORDS = 4
 #: Likeness of linked sets, as a fraction.
@@ -67,10 +67,11 @@ def signature(shingles: np.ndarray) -> bytes:
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for doc, text in zip(batch["doc"], batch["text"]):
+        for doc, text, key in zip(batch["doc"], batch["text"], batch["text_key"]):
             s = shingle_set(text)
-            rows.append((doc, len(s), xxhash.xxh3_128_digest(s.tobytes()), signature(s)) if len(s) else (doc, 0, None, None))
-        yield pd.DataFrame(rows, columns=["doc", "n", "set_key", "sig"])
+            held = (xxhash.xxh3_128_digest(s.tobytes()), signature(s)) if len(s) else (None, None)
+            rows.append((doc, len(s), *held, key))
+        yield pd.DataFrame(rows, columns=["doc", "n", "set_key", "sig", "text_key"])
 
 
 def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -193,17 +194,17 @@ def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInPandas(_distance, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
+def near_duplicates(docs: DataFrame, with_text_key: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``; if wanted, the text's SHA-256 and a component's number.
 
     Texts without words have no shingles and stand alone. Rows of equal sets are one class whatever their ids; a
     null doc_id counts as larger than any other. Repeated rows come back as often as they are given.
     """
     plain = texts(docs)
     signed = settle(
-        plain.select(F.col("doc_id").cast("string").alias("doc"), "text")
-        .mapInPandas(_signed, "doc string, n bigint, set_key binary, sig binary")
-        .select(F.col("doc").cast("long").alias("doc_id"), "n", "set_key", "sig"),
+        plain.select(F.col("doc_id").cast("string").alias("doc"), "text", (F.sha2("text", 256) if with_text_key else F.lit("")).alias("text_key"))
+        .mapInPandas(_signed, "doc string, n bigint, set_key binary, sig binary, text_key string")
+        .select(F.col("doc").cast("long").alias("doc_id"), "n", "set_key", "sig", "text_key"),
         "near-signed",
     )
     # Classes of equal sets get a number each; the table that holds them is written before anything uses it.
@@ -259,7 +260,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("set_key", "node", "at", F.coalesce("comp", "node").alias("comp"))
     )
     named = least.groupBy("comp").agg(F.min("at").alias("component_id"))
-    ids = least.join(named, "comp").select(F.col("set_key").alias("_set"), "component_id")
+    ids = least.join(named, "comp").select(F.col("set_key").alias("_set"), "component_id", "comp")
+    more_columns = ["text_key", "comp"] if with_text_key else []
     return signed.join(ids, F.col("set_key") == F.col("_set"), "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -267,14 +269,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.coalesce(
             F.when(F.col("_set").isNull(), F.lit(True)).otherwise(F.col("doc_id").eqNullSafe(F.col("component_id"))), F.lit(False)
         ).alias("kept"),
+        *more_columns,
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with their columns, that are kept. Of rows that repeat a kept id with its text, one stays."""
-    names = docs.columns
-    kept = near_duplicates(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept"))).select(*[F.col(f"`{c}`") for c in names])
+    """The rows of ``docs``, with their columns: of each component the row with the smallest doc_id, and all without words.
+
+    Where rows of a component share that id, or have none, that with the smallest hash of its text stays, and of
+    equal rows one.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"), with_text_key=True)
+    id_, key, turn = spare(docs, "_kept_id", "_kept_key", "_turn")
+    grouped = found.where("comp IS NOT NULL").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("k"))
+    alone = found.where("comp IS NULL").select("doc_id", "text_key", F.lit(True).alias("alone"))
+    kept = settle(
+        grouped.select(F.col("k.doc_id").alias("doc_id"), F.col("k.text_key").alias("text_key"), F.lit(False).alias("alone"))
+        .unionByName(alone)
+        .distinct()
+        .select(F.col("doc_id").alias(id_), F.col("text_key").alias(key), F.col("alone").alias("alone")),
+        "near-kept",
+    )
+    hashed = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    stay = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(kept[id_]) & (hashed == kept[key]))
+    order = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered_rows = stay.withColumn(turn, F.row_number().over(Window.partitionBy(id_, key).orderBy(order)))
+    return numbered_rows.where(kept["alone"] | (F.col(turn) == 1)).select(*[docs[f"`{c}`"] for c in docs.columns])
 
 
 def op4_multi_index_hamming(spark: SparkSession, docs: DataFrame) -> DataFrame:

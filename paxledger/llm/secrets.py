@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paxledger.llm.common import settle, texts, work_folder
+from paxledger.llm.common import settle, spare, texts, work_folder
 
 # The patterns of the base kinds, in the order in which kinds are listed.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -172,16 +172,16 @@ def redacted(text, spans, mark: str = "[SECRET]"):
 
 def redact_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with their columns, secrets in ``text`` replaced by a mark and ``n_chars`` counted anew."""
-    names = docs.columns
+    blob_, doc_, spans_ = spare(docs, "_blob", "_doc", "_spans")
     found = scan_secrets(docs.select("doc_id", "text")).where(F.size("spans") > 0)
-    found = found.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"), F.col("doc_id").alias("_doc")).distinct()
-    blob = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    joined = docs.join(found, (blob == F.col("_blob")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("_spans")))
+    found = found.select(F.col("blob").alias(blob_), F.col("spans").alias(spans_), F.col("doc_id").alias(doc_)).distinct()
+    blob = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    joined = docs.join(found, (blob == F.col(blob_)) & F.col("doc_id").cast("long").eqNullSafe(F.col(doc_)), "left")
+    text = F.when(F.col(spans_).isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col(spans_)))
     out = joined.withColumn("text", text)
-    if "n_chars" in names:
+    if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in names])
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_secret_ledger(spark: SparkSession, docs: DataFrame) -> DataFrame:
