@@ -20,6 +20,5 @@ QUERIES = {
 SQL = {
     "op5_secret_ledger": secrets.OP5_SQL,
     "op6_merkle_audit": archive.OP6_SQL,
-    "op9_spotsigs": lambda spark, d: spots.op9_spotsigs(spark, table(spark, d, "documents")),
     "op10_event_sourced_chat": chat.OP10_SQL,
 }
