@@ -74,28 +74,35 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["doc", "n", "set_key", "sig", "text_key"])
 
 
+def signature_keys(sigs: np.ndarray) -> np.ndarray:
+    """The keys of each signature: a row of one for each chunk and component left out, always in the same order."""
+    parts = sigs.reshape(-1, CHUNKS, CHUNK).astype(np.uint64)
+    salt = np.random.default_rng(7).integers(0, 1 << 64, (CHUNKS, CHUNK), dtype=np.uint64)
+    keys = np.empty(parts.shape, np.uint64)
+    for out in range(CHUNK):
+        key = np.zeros(parts.shape[:2], np.uint64)
+        for c in range(CHUNK):
+            if c != out:
+                key = (key << np.uint64(16)) | parts[:, :, c]
+        key = (key ^ salt[:, out]) * _P
+        keys[:, :, out] = key ^ (key >> np.uint64(31))
+    return keys.reshape(-1, CHUNKS * CHUNK).view(np.int64)
+
+
+def _sigs(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, COMPONENTS)
+
+
 def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    rng = np.random.default_rng(7)
-    salt = rng.integers(0, 1 << 64, (CHUNKS, CHUNK), dtype=np.uint64)
     for batch in batches:
         for part in (batch[i : i + 4096] for i in range(0, len(batch), 4096)):
-            sigs = np.frombuffer(b"".join(part["sig"]), np.uint16).reshape(-1, CHUNKS, CHUNK).astype(np.uint64)
-            keys = np.empty((len(part), CHUNKS, CHUNK), np.uint64)
-            for out in range(CHUNK):
-                key = np.zeros(sigs.shape[:2], np.uint64)
-                for c in range(CHUNK):
-                    if c != out:
-                        key = (key << np.uint64(16)) | sigs[:, :, c]
-                key = (key ^ salt[:, out]) * _P
-                keys[:, :, out] = key ^ (key >> np.uint64(31))
-            yield pd.DataFrame({"key": keys.reshape(-1).view(np.int64), "node": np.repeat(part["node"].to_numpy(), CHUNKS * CHUNK)})
+            keys = signature_keys(_sigs(part["sig"]))
+            yield pd.DataFrame({"key": keys.reshape(-1), "node": np.repeat(part["node"].to_numpy(), keys.shape[1])})
 
 
 def _distance(pairs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for p in pairs:
-        a = np.frombuffer(b"".join(p["sa"]), np.uint16).reshape(-1, COMPONENTS)
-        b = np.frombuffer(b"".join(p["sb"]), np.uint16).reshape(-1, COMPONENTS)
-        near = (a != b).sum(axis=1) <= DISTANCE
+        near = (_sigs(p["sa"]) != _sigs(p["sb"])).sum(axis=1) <= DISTANCE
         yield pd.DataFrame({"a": p["a"][near], "b": p["b"][near]})
 
 
@@ -105,7 +112,7 @@ def _confirmed(pairs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x, y in zip(p["xa"], p["xb"]):
             a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             shared = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
-            keep.append(LINK[1] * shared >= LINK[0] * (len(a) + len(b) - shared))
+            keep.append(can_link(len(a), len(b), shared))
         keep = np.array(keep, dtype=bool)
         yield pd.DataFrame({"a": p["a"][keep], "b": p["b"][keep]})
 
@@ -115,32 +122,57 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"node": batch["node"], "shingles": [shingle_set(t).tobytes() for t in batch["text"]]})
 
 
+def _elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(element, node) for each shingle, as 32 bits of its hash: shingles that fall together count as shared."""
+    for batch in batches:
+        for at in range(0, len(batch), 256):
+            part = batch[at : at + 256]
+            each = [np.unique(np.frombuffer(x, np.uint64).astype(np.uint32)).view(np.int32) for x in part["shingles"]]
+            yield pd.DataFrame(
+                {"element": np.concatenate(each), "node": np.repeat(part["node"].to_numpy(), [len(x) for x in each])}
+            )
+
+
+def can_link(na, nb, shared):
+    """Whether sets of ``na`` and ``nb`` elements that share ``shared`` at most can be linked."""
+    return LINK[1] * shared >= LINK[0] * (na + nb - shared)
+
+
 def _blocks(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Near pairs in different components within each (key, i, j), whose rows follow one another."""
+    """Near pairs in different components within each (key, i, j), whose rows follow one another.
+
+    A pair that meets under several keys is given under the first of them only, and one whose sets can't share
+    enough elements not at all.
+    """
 
     def compare(held: pd.DataFrame) -> pd.DataFrame:
-        i, j = held["i"].iloc[0], held["j"].iloc[0]
-        sig = np.frombuffer(b"".join(held["sig"]), np.uint16).reshape(-1, COMPONENTS)
-        node, comp, block = (held[c].to_numpy() for c in ("node", "comp", "block"))
-        left = np.flatnonzero(block == i)
+        key, i, j = held["key"].iloc[0], held["i"].iloc[0], held["j"].iloc[0]
+        node, comp, block, n, common = (held[c].to_numpy() for c in ("node", "comp", "block", "n", "common"))
+        sig = _sigs(held["sig"])
         right = np.flatnonzero(block == j)
         a, b = [], []
-        for x in left:
+        for x in np.flatnonzero(block == i):
             y = right[(comp[right] != comp[x]) & ((node[right] > node[x]) | (i != j))]
-            y = y[(sig[y] != sig[x]).sum(axis=1) <= DISTANCE] if len(y) else y
-            a.append(np.minimum(node[x], node[y]))
-            b.append(np.maximum(node[x], node[y]))
-        return pd.DataFrame({"a": np.concatenate(a or [np.empty(0, np.int64)]), "b": np.concatenate(b or [np.empty(0, np.int64)])})
+            y = y[can_link(n[x], n[y], np.minimum(common[x], common[y]))]
+            y = y[(sig[y] != sig[x]).sum(axis=1) <= DISTANCE]
+            if len(y):
+                same = signature_keys(sig[y]) == (mine := signature_keys(sig[x : x + 1])[0])
+                y = y[mine[same.argmax(axis=1)] == key]
+                a.append(np.minimum(node[x], node[y]))
+                b.append(np.maximum(node[x], node[y]))
+        none = [np.empty(0, np.int64)]
+        return pd.DataFrame({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
 
     held = None
     for batch in rows:
         batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
         if batch.empty:
             continue
-        new = (batch[["key", "i", "j"]] != batch[["key", "i", "j"]].shift()).any(axis=1).to_numpy()
-        starts = np.flatnonzero(new)
-        for s, e in zip(starts, starts[1:]):
-            yield compare(batch.iloc[s:e])
+        group = batch[["key", "i", "j"]].to_numpy()
+        starts = np.append(0, 1 + np.flatnonzero((group[1:] != group[:-1]).any(axis=1)))
+        out = [compare(batch.iloc[s:e]) for s, e in zip(starts, starts[1:])]
+        if out:
+            yield pd.concat(out)
         held = batch.iloc[starts[-1] :]
     if held is not None and len(held):
         yield compare(held)
@@ -232,10 +264,28 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False) -> DataFrame:
     links = settle(_links(first, sets), "near-links")
     comps = settle(components(links), "near-comps")
 
+    def mixed(rows: DataFrame) -> DataFrame:
+        """Rows of keys that still hold nodes of different components."""
+        apart = rows.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
+        return rows.join(apart.select(F.col("key").alias("_key")), F.col("key") == F.col("_key")).drop("_key")
+
     placed = shared.join(comps, "node", "left").select("key", "node", "many", F.coalesce("comp", "node").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
-    left = settle(placed.join(mixed.select(F.col("key").alias("_key")), F.col("key") == F.col("_key")).select("key", "node", "many", "comp"), "near-left")
+    left = settle(mixed(placed), "near-left")
     forget(shared)
+    # An element that no other node left has can't be shared with any: it counts against every pair of its node.
+    of_left = sets.join(left.select("node").distinct(), "node", "left_semi")
+    lone = (
+        of_left.mapInPandas(_elements, "element int, node bigint")
+        .groupBy("element")
+        .agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node"))
+        .where("df = 1")
+        .groupBy("node")
+        .agg(F.count(F.lit(1)).alias("lone"))
+    )
+    size = (F.octet_length("shingles") / 8).cast("bigint")
+    sized = of_left.select("node", size.alias("n")).join(lone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("common"))
+    sized = settle(sized.where(F.lit(LINK[1]) * F.col("common") >= F.lit(LINK[0]) * F.col("n")), "near-sized")
+    left = mixed(left.join(sized.select("node"), "node", "left_semi"))
     dealt = left.withColumn("_blocks", F.ceil(F.col("many") / BLOCK).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("_blocks")).cast("int")
     )
@@ -243,10 +293,10 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False) -> DataFrame:
         "key", "node", "comp", "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j")
     )
     grouped = (
-        spread.join(nodes.select("node", "sig"), "node")
+        spread.join(nodes.select("node", "sig").join(sized, "node"), "node")
         .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j")
-        .select("key", "i", "j", "node", "comp", "block", "sig")
+        .select("key", "i", "j", "node", "comp", "block", "sig", "n", "common")
     )
     last = settle(grouped.mapInPandas(_blocks, "a bigint, b bigint").distinct(), "near-last")
     tried = first.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
