@@ -11,6 +11,11 @@ import re
 from checks.queries import AS_OF, DESK, FLIGHT, PASSENGER, SEARCH
 from paxledger.sources.schema import FOREIGN_KEYS, TABLES
 
+def _padded(number: str, width: int) -> str:
+    text = f"CAST({number} AS VARCHAR)"
+    return f"CASE WHEN length({text}) >= {width} THEN {text} ELSE lpad({text}, {width}, '0') END"
+
+
 PARTS: dict[str, str] = {
     # --- projection ---
     "booking_src": """
@@ -37,16 +42,17 @@ PARTS: dict[str, str] = {
         SELECT l_orderkey * 8 + l_linenumber AS volgnummer, o_custkey AS passagiernummer, fl AS vluchtnummer,
                CAST(l_quantity AS INT) AS gewicht
         FROM lineitem JOIN booking_src ON l_orderkey = o_orderkey""",
-    "vlucht": """
+    "parts": """
+        SELECT *, p_partkey % (SELECT count(*) FROM nation) AS airline, p_partkey % (SELECT count(*) FROM supplier) AS d FROM part""",
+    "vlucht": f"""
         SELECT p_partkey AS vluchtnummer, chr(CAST(65 + p_partkey % 5 AS INT)) AS gatecode,
-               lpad(CAST(p_partkey % 25 AS VARCHAR), 2, '0') AS maatschappijcode,
-               lpad(CAST(p_partkey % 10 AS VARCHAR), 3, '0') AS luchthavencode,
+               {_padded("airline", 2)} AS maatschappijcode, {_padded("(d - d % 3)", 3)} AS luchthavencode,
                p_brand AS vliegtuigtype, p_size AS max_aantal_psgrs,
                CAST(2500 AS DECIMAL(5,0)) AS max_totaalgewicht, CAST(60 + p_partkey % 60 AS DECIMAL(5,2)) AS max_ppgewicht,
                TIMESTAMP '1998-01-01' + to_days(CAST((p_partkey * 37) % 1400 AS INT)) AS vertrektijdstip,
                TIMESTAMP '1998-01-01' + to_days(CAST((p_partkey * 37) % 1400 AS INT))
                    + to_days(CAST(1 + p_partkey % 7 AS INT)) AS aankomsttijdstip
-        FROM part""",
+        FROM parts""",
     "passagier": """
         SELECT c_custkey AS passagiernummer, c_name AS naam, CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'V' END AS geslacht,
                TIMESTAMP '1950-01-01' + to_days(CAST(c_custkey % 20000 AS INT)) AS geboortedatum
@@ -54,16 +60,20 @@ PARTS: dict[str, str] = {
     "balie": "SELECT DISTINCT p_size AS balienummer FROM part",
     "gate": "SELECT chr(65 + r_regionkey) AS gatecode FROM region",
     "maatschappij": "SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS maatschappijcode, n_name AS naam FROM nation",
-    "luchthaven": """
-        SELECT lpad(CAST(s_suppkey AS VARCHAR), 3, '0') AS luchthavencode, s_name AS naam, n_name AS land
+    "luchthaven": f"""
+        SELECT {_padded("s_suppkey", 3)} AS luchthavencode, s_name AS naam, n_name AS land
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "vliegtuig": "SELECT DISTINCT p_brand AS vliegtuigtype FROM part",
-    "inchecken_bij_maatschappij": """
-        SELECT DISTINCT p_size AS balienummer, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS maatschappijcode
-        FROM part, nation WHERE (p_size + n_nationkey) % 4 <> 0 AND n_nationkey <> 24""",
-    "inchecken_voor_bestemming": """
-        SELECT DISTINCT p_size AS balienummer, lpad(CAST(s_suppkey AS VARCHAR), 3, '0') AS luchthavencode
-        FROM part, supplier WHERE s_suppkey < 10 AND (p_size + s_suppkey) % 3 <> 0""",
+    "desk_lines": """
+        SELECT DISTINCT CAST(1 + (l_suppkey + l_linenumber) % 50 AS INT) AS desk, l_partkey,
+               l_partkey % (SELECT count(*) FROM nation) AS airline, l_partkey % (SELECT count(*) FROM supplier) AS d FROM lineitem""",
+    "inchecken_bij_maatschappij": f"""
+        SELECT DISTINCT desk AS balienummer, {_padded("airline", 2)} AS maatschappijcode FROM desk_lines
+        WHERE (desk + airline) % 4 <> 0 AND airline IN
+              (SELECT n_nationkey FROM nation WHERE n_name <> (SELECT max(n_name) FROM nation))""",
+    "inchecken_voor_bestemming": f"""
+        SELECT DISTINCT desk AS balienummer, {_padded("(d - d % 3)", 3)} AS luchthavencode FROM desk_lines
+        WHERE (desk + d - d % 3) % 4 <> 0""",
     "inchecken_voor_vlucht": """
         SELECT DISTINCT CAST(1 + (l_suppkey + l_linenumber) % 50 AS INT) AS balienummer, l_partkey AS vluchtnummer FROM lineitem""",
     # --- rules ---
@@ -118,11 +128,13 @@ PARTS: dict[str, str] = {
     # --- changes ---
     "flight_updates": """
         SELECT p_partkey AS vluchtnummer, chr(CAST(65 + (p_partkey + p_size) % 5 AS INT)) AS new_gate,
-               CASE WHEN p_size < 10 THEN p_size + 10 END AS new_places
+               CASE WHEN p_size < 10 THEN p_size + 18 END AS new_places
         FROM part""",
     "flight_changes": """
         SELECT vluchtnummer, gatecode, max_aantal_psgrs, new_gate, new_places, new_gate IS DISTINCT FROM gatecode AS gate_differs,
                new_places IS NOT NULL AND new_places <> max_aantal_psgrs AS places_differ,
+               coalesce(new_places, max_aantal_psgrs) * max_ppgewicht - max_totaalgewicht
+                 > greatest(max_aantal_psgrs * max_ppgewicht - max_totaalgewicht, 0) AS worse,
                vluchtnummer IN (SELECT vluchtnummer FROM passagier_voor_vlucht) AS booked
         FROM vlucht JOIN flight_updates USING (vluchtnummer)""",
     "gaps": """
@@ -139,12 +151,24 @@ PARTS: dict[str, str] = {
                             CASE WHEN maatschappijcode IN (SELECT maatschappijcode FROM maatschappij) THEN 'pk_airline' END,
                             CASE WHEN naam IN (SELECT naam FROM maatschappij) THEN 'unique_name' END) AS reason
         FROM airline_requests""",
-    "airline_codes": """
-        SELECT seq, balienummer, maatschappijcode, naam, CASE WHEN reason = '' AND seq > min(seq) FILTER (WHERE reason = '')
-               OVER (PARTITION BY maatschappijcode) THEN 'pk_airline' ELSE reason END AS reason FROM airline_new""",
-    "airline_names": """
-        SELECT seq, balienummer, maatschappijcode, naam, CASE WHEN reason = '' AND seq > min(seq) FILTER (WHERE reason = '')
-               OVER (PARTITION BY naam) THEN 'unique_name' ELSE reason END AS reason FROM airline_codes""",
+    "airline_fit": "SELECT *, row_number() OVER (ORDER BY seq) AS i FROM airline_new WHERE reason = ''",
+    "airline_steps": """
+        SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS seq, CAST([] AS VARCHAR[]) AS codes, CAST([] AS VARCHAR[]) AS names, false AS ok
+        UNION ALL
+        SELECT f.i, f.seq,
+               CASE WHEN list_contains(codes, maatschappijcode) OR list_contains(names, naam) THEN codes ELSE list_append(codes, maatschappijcode) END,
+               CASE WHEN list_contains(codes, maatschappijcode) OR list_contains(names, naam) THEN names ELSE list_append(names, naam) END,
+               NOT (list_contains(codes, maatschappijcode) OR list_contains(names, naam))
+        FROM airline_steps s JOIN airline_fit f ON f.i = s.i + 1""",
+    "airline_taken": "SELECT f.* FROM airline_fit f JOIN airline_steps s ON s.seq = f.seq WHERE s.ok",
+    "airline_decided": """
+        SELECT seq, balienummer, maatschappijcode, naam,
+               concat_ws(',', CASE WHEN balienummer NOT IN (SELECT balienummer FROM balie) THEN 'fk_desk' END,
+                 CASE WHEN maatschappijcode IN (SELECT maatschappijcode FROM maatschappij) OR EXISTS (SELECT 1 FROM airline_taken a
+                      WHERE a.maatschappijcode = r.maatschappijcode AND a.seq < r.seq) THEN 'pk_airline' END,
+                 CASE WHEN naam IN (SELECT naam FROM maatschappij) OR EXISTS (SELECT 1 FROM airline_taken a
+                      WHERE a.naam = r.naam AND a.seq < r.seq) THEN 'unique_name' END) AS reason
+        FROM airline_requests r""",
     "last_requests": """
         SELECT passagiernummer, vluchtnummer, balienummer, inchecktijdstip, stoel FROM requests
         QUALIFY row_number() OVER (PARTITION BY passagiernummer, vluchtnummer ORDER BY seq DESC) = 1""",
@@ -153,22 +177,22 @@ PARTS: dict[str, str] = {
         WHERE l.passagiernummer = h.passagiernummer AND l.vluchtnummer = h.vluchtnummer)""",
     "segment": "SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'",
     "items": """
-        SELECT ((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 10000 + l_suppkey AS seq,
-               o_custkey AS passagiernummer, fl AS vluchtnummer, CAST(sum(l_quantity) AS INT) AS gewicht
-        FROM lineitem JOIN booking_src ON l_orderkey = o_orderkey
-        GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey, o_custkey, fl""",
-    "items_running": """
-        SELECT i.*, h.passagiernummer IS NOT NULL AS booked,
-               count(*) OVER w + coalesce(n_items, 0) > 3
-                 OR sum(i.gewicht) OVER w + coalesce(total_weight, 0) > max_ppgewicht AS breach
-        FROM items i LEFT JOIN handled h USING (passagiernummer, vluchtnummer)
+        SELECT l_orderkey * 8 + l_linenumber AS seq, o_custkey AS passagiernummer, fl AS vluchtnummer, CAST(sum(l_quantity) AS INT) AS gewicht
+        FROM lineitem JOIN booking_src ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_linenumber, o_custkey, fl""",
+    "items_booked": """
+        SELECT i.*, row_number() OVER (PARTITION BY i.passagiernummer, i.vluchtnummer ORDER BY i.seq) AS nr
+        FROM items i SEMI JOIN handled USING (passagiernummer, vluchtnummer)""",
+    "baggage_steps": """
+        SELECT passagiernummer, vluchtnummer, CAST(0 AS BIGINT) AS nr, CAST(NULL AS BIGINT) AS seq, CAST(coalesce(n_items, 0) AS BIGINT) AS n,
+               CAST(coalesce(total_weight, 0) AS BIGINT) AS w, max_ppgewicht AS most, false AS ok
+        FROM (SELECT DISTINCT passagiernummer, vluchtnummer FROM items_booked)
         LEFT JOIN (SELECT passagiernummer, vluchtnummer, count(*) AS n_items, sum(gewicht) AS total_weight FROM object
                    WHERE gewicht <= 2 GROUP BY ALL) USING (passagiernummer, vluchtnummer)
         LEFT JOIN vlucht USING (vluchtnummer)
-        WINDOW w AS (PARTITION BY i.passagiernummer, i.vluchtnummer ORDER BY i.seq ROWS UNBOUNDED PRECEDING)""",
-    "items_decided": """
-        SELECT *, coalesce(max(CAST(breach AS INT)) OVER (PARTITION BY passagiernummer, vluchtnummer ORDER BY seq
-                  ROWS UNBOUNDED PRECEDING), 0) = 1 AS full_up FROM items_running""",
+        UNION ALL
+        SELECT passagiernummer, vluchtnummer, k.nr, k.seq, CASE WHEN s.n < 3 AND s.w + k.gewicht <= s.most THEN s.n + 1 ELSE s.n END,
+               CASE WHEN s.n < 3 AND s.w + k.gewicht <= s.most THEN s.w + k.gewicht ELSE s.w END, s.most, s.n < 3 AND s.w + k.gewicht <= s.most
+        FROM baggage_steps s JOIN items_booked k USING (passagiernummer, vluchtnummer) WHERE k.nr = s.nr + 1""",
     # --- admission ---
     "checked": """
         SELECT r.seq, r.passagiernummer, r.vluchtnummer, r.balienummer, r.inchecktijdstip, r.stoel,
@@ -182,44 +206,27 @@ PARTS: dict[str, str] = {
                  CASE WHEN r.balienummer IS NOT NULL AND i.balienummer IS NULL THEN 'rule08b_booking_desk' END) AS broken
         FROM requests r LEFT JOIN vlucht v USING (vluchtnummer)
         LEFT JOIN inchecken_voor_vlucht i ON i.vluchtnummer = r.vluchtnummer AND i.balienummer = r.balienummer""",
-    "seat_first": """
-        SELECT vluchtnummer, stoel, arg_min(passagiernummer, seq) AS winner FROM checked
-        WHERE broken = '' AND stoel IS NOT NULL GROUP BY vluchtnummer, stoel""",
-    "seated": """
-        SELECT c.* REPLACE (CASE WHEN c.broken = '' AND c.stoel IS NOT NULL AND (
-                 EXISTS (SELECT 1 FROM handled h WHERE h.vluchtnummer = c.vluchtnummer AND h.stoel = c.stoel
-                         AND h.passagiernummer <> c.passagiernummer)
-                 OR (NOT EXISTS (SELECT 1 FROM handled h WHERE h.vluchtnummer = c.vluchtnummer AND h.stoel = c.stoel)
-                     AND f.winner <> c.passagiernummer)) THEN 'rule07_seat_unique' ELSE c.broken END AS broken)
-        FROM checked c LEFT JOIN seat_first f ON f.vluchtnummer = c.vluchtnummer AND f.stoel = c.stoel""",
-    "pairs": """
-        SELECT passagiernummer, vluchtnummer, min(seq) AS seq, any_value(dep) AS dep, any_value(arr) AS arr,
-               any_value(places) AS places,
-               EXISTS (SELECT 1 FROM handled h WHERE h.passagiernummer = s.passagiernummer
-                       AND h.vluchtnummer = s.vluchtnummer) AS stored
-        FROM seated s WHERE broken = '' GROUP BY passagiernummer, vluchtnummer""",
-    "handled_spans": """
-        SELECT passagiernummer, vluchtnummer, vertrektijdstip AS dep, greatest(vertrektijdstip, aankomsttijdstip) AS arr
-        FROM handled JOIN vlucht USING (vluchtnummer)""",
-    "pairs_base": """
-        SELECT p.*, EXISTS (SELECT 1 FROM handled_spans h WHERE h.passagiernummer = p.passagiernummer
-                    AND h.vluchtnummer <> p.vluchtnummer AND h.dep <= p.arr AND p.dep <= h.arr) AS meets_stored FROM pairs p""",
-    "pairs_timed": """
-        SELECT p.*, meets_stored OR (NOT stored AND EXISTS (SELECT 1 FROM pairs_base q
-                    WHERE q.passagiernummer = p.passagiernummer AND q.seq < p.seq AND NOT q.stored AND NOT q.meets_stored
-                    AND q.dep <= p.arr AND p.dep <= q.arr)) AS meets_any FROM pairs_base p""",
-    "handled_counts": "SELECT vluchtnummer, count(*) AS taken FROM handled GROUP BY vluchtnummer",
-    "pairs_final": """
-        SELECT p.*, NOT meets_any AND NOT stored AND coalesce(taken, 0)
-                    + count(*) FILTER (WHERE NOT meets_any AND NOT stored) OVER (PARTITION BY vluchtnummer ORDER BY seq
-                      ROWS UNBOUNDED PRECEDING) > places AS over_full
-        FROM pairs_timed p LEFT JOIN handled_counts USING (vluchtnummer)""",
+    "clean": "SELECT *, row_number() OVER (ORDER BY seq) AS i FROM checked WHERE broken = ''",
+    "admit_steps": """
+        SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS seq, (SELECT list({'p': passagiernummer, 'f': vluchtnummer, 's': stoel,
+                 'dep': vertrektijdstip, 'arr': greatest(vertrektijdstip, aankomsttijdstip)}) FROM handled JOIN vlucht USING (vluchtnummer)) AS held,
+               false AS seat_bad, false AS time_bad, false AS room_bad
+        UNION ALL
+        SELECT i, seq, CASE WHEN seat_bad OR time_bad OR room_bad THEN held
+                 ELSE list_append(list_filter(held, lambda h: h.p <> p OR h.f <> f), {'p': p, 'f': f, 's': s, 'dep': dep, 'arr': arr}) END,
+               seat_bad, time_bad, room_bad
+        FROM (SELECT c.i, c.seq, t.held, c.passagiernummer AS p, c.vluchtnummer AS f, c.stoel AS s, c.dep, c.arr,
+                coalesce(len(list_filter(t.held, lambda h: h.f = c.vluchtnummer AND h.s = c.stoel AND h.p <> c.passagiernummer)) > 0, false) AS seat_bad,
+                len(list_filter(t.held, lambda h: h.p = c.passagiernummer AND h.f <> c.vluchtnummer AND h.dep <= c.arr AND c.dep <= h.arr)) > 0 AS time_bad,
+                len(list_filter(t.held, lambda h: h.p = c.passagiernummer AND h.f = c.vluchtnummer)) = 0
+                  AND len(list_filter(t.held, lambda h: h.f = c.vluchtnummer)) >= c.places AS room_bad
+              FROM admit_steps t JOIN clean c ON c.i = t.i + 1)""",
     "admitted": """
-        SELECT s.seq, s.passagiernummer, s.vluchtnummer,
-               s.broken = '' AND NOT p.meets_any AND NOT p.over_full AS accepted,
-               CASE WHEN s.broken <> '' THEN s.broken WHEN p.meets_any THEN 'rule10_overlap'
-                    WHEN p.over_full THEN 'rule04_over_capacity' ELSE '' END AS broken
-        FROM seated s LEFT JOIN pairs_final p USING (passagiernummer, vluchtnummer)""",
+        SELECT c.seq, c.passagiernummer, c.vluchtnummer, c.broken = '' AND NOT seat_bad AND NOT time_bad AND NOT room_bad AS accepted,
+               CASE WHEN c.broken <> '' THEN c.broken ELSE concat_ws(',', CASE WHEN seat_bad THEN 'rule07_seat_unique' END,
+                 CASE WHEN time_bad THEN 'rule10_overlap' END, CASE WHEN room_bad THEN 'rule04_over_capacity' END) END AS broken
+        FROM checked c LEFT JOIN admit_steps a ON a.seq = c.seq""",
+    "handled_counts": "SELECT vluchtnummer, count(*) AS taken FROM handled GROUP BY vluchtnummer",
     "arrivals": """
         SELECT r.seq, r.passagiernummer, r.vluchtnummer, max_aantal_psgrs AS places, coalesce(taken, 0) AS taken,
                h.passagiernummer IS NOT NULL AS stored,
@@ -253,8 +260,8 @@ PARTS: dict[str, str] = {
         SELECT volgnummer, min(passagiernummer) AS passagiernummer, min(vluchtnummer) AS vluchtnummer,
                CAST(sum(gewicht) AS INT) AS gewicht FROM object GROUP BY volgnummer""",
     "flights_after": """
-        SELECT vluchtnummer, CASE WHEN booked AND (gate_differs OR places_differ) THEN gatecode ELSE new_gate END AS gatecode,
-               CASE WHEN booked AND (gate_differs OR places_differ) THEN max_aantal_psgrs
+        SELECT vluchtnummer, CASE WHEN booked AND (gate_differs OR places_differ) OR worse THEN gatecode ELSE new_gate END AS gatecode,
+               CASE WHEN booked AND (gate_differs OR places_differ) OR worse THEN max_aantal_psgrs
                     ELSE coalesce(new_places, max_aantal_psgrs) END AS max_aantal_psgrs
         FROM flight_changes""",
 }
@@ -263,18 +270,19 @@ PARTS: dict[str, str] = {
 def with_parts(query: str) -> str:
     """The query with the parts it names, directly or through other parts, in order of need."""
     order: list[str] = []
+    asked: set[str] = set()
 
     def need(sql: str) -> None:
         for name in PARTS:
-            if name not in order and re.search(rf"\b{name}\b", re.sub(r"'[^']*'", "", sql)):
+            if name not in asked and re.search(rf"\b{name}\b", re.sub(r"'[^']*'", "", sql)):
+                asked.add(name)
                 need(PARTS[name])
-                if name not in order:
-                    order.append(name)
+                order.append(name)
 
     need(query)
     if not order:
         return query
-    return "WITH " + ",\n".join(f"{name} AS ({PARTS[name]})" for name in order) + "\n" + query
+    return "WITH RECURSIVE " + ",\n".join(f"{name} AS ({PARTS[name]})" for name in order) + "\n" + query
 
 
 def _scan(table: str) -> str:
@@ -359,12 +367,14 @@ def _backfill(start: str) -> str:
         FROM gaps"""
 
 
-def _guard(blocked: str) -> str:
+def _guard(barred: str) -> str:
     return f"""
-        SELECT 'flight' AS kind, vluchtnummer, CASE WHEN {blocked} THEN gatecode ELSE new_gate END AS gatecode,
-               CASE WHEN {blocked} THEN max_aantal_psgrs ELSE coalesce(new_places, max_aantal_psgrs) END AS max_aantal_psgrs
+        SELECT 'flight' AS kind, vluchtnummer, CASE WHEN {barred} OR worse THEN gatecode ELSE new_gate END AS gatecode,
+               CASE WHEN {barred} OR worse THEN max_aantal_psgrs ELSE coalesce(new_places, max_aantal_psgrs) END AS max_aantal_psgrs, '' AS broken
         FROM flight_changes
-        UNION ALL SELECT 'refused', vluchtnummer, new_gate, new_places FROM flight_changes WHERE {blocked}"""
+        UNION ALL SELECT 'refused', vluchtnummer, new_gate, new_places,
+               concat_ws(',', CASE WHEN {barred} THEN 'rule02_changed_booked_flights' END, CASE WHEN worse THEN 'rule06_weight_budget' END)
+        FROM flight_changes WHERE {barred} OR worse"""
 
 
 def _history(before: str, after: str, keys: list[str], values: list[str], moment: str, columns: str) -> str:
@@ -443,7 +453,7 @@ QUERY_SQL: dict[str, str] = {
     "rule02_changed_booked_flights": """
         SELECT vluchtnummer, concat_ws(',', CASE WHEN gate_differs THEN 'gatecode' END,
                                        CASE WHEN places_differ THEN 'max_aantal_psgrs' END) AS changed
-        FROM flight_changes WHERE booked AND (gate_differs OR places_differ)""",
+        FROM flight_changes WHERE booked AND (gate_differs OR places_differ) AND NOT worse""",
     "rule02_as_written": "SELECT vluchtnummer FROM flight_changes WHERE booked",
     "rule03_as_written": """
         SELECT passagiernummer, vluchtnummer, inchecktijdstip, vertrektijdstip
@@ -515,16 +525,16 @@ QUERY_SQL: dict[str, str] = {
                WHERE n.vluchtnummer = a.vluchtnummer AND n.seq < a.seq) < places AS accepted FROM arrivals a""",
     "upsert_bookings": "SELECT * FROM after_upsert",
     "add_baggage": """
-        SELECT seq, passagiernummer, vluchtnummer, gewicht, booked AND NOT full_up AS accepted,
-               concat_ws(',', CASE WHEN NOT booked THEN 'fk_booking' END, CASE WHEN full_up THEN 'rule05_baggage_limit' END) AS broken
-        FROM items_decided""",
+        SELECT i.seq, i.passagiernummer, i.vluchtnummer, i.gewicht, coalesce(b.ok, false) AS accepted,
+               CASE WHEN b.seq IS NULL THEN 'fk_booking' WHEN NOT b.ok THEN 'rule05_baggage_limit' ELSE '' END AS broken
+        FROM items i LEFT JOIN baggage_steps b ON b.seq = i.seq""",
     "remove_baggage": """
         SELECT * FROM object WHERE volgnummer NOT IN (SELECT volgnummer FROM object
                JOIN rule05_baggage_limit USING (passagiernummer, vluchtnummer))""",
     "register_airline": """
-        SELECT 'airline' AS kind, maatschappijcode, naam, CAST(NULL AS INT) AS balienummer, '' AS broken FROM airline_names WHERE reason = ''
-        UNION ALL SELECT 'desk', maatschappijcode, NULL, balienummer, '' FROM airline_names WHERE reason = ''
-        UNION ALL SELECT 'refused', maatschappijcode, naam, balienummer, reason FROM airline_names WHERE reason <> ''""",
+        SELECT 'airline' AS kind, maatschappijcode, naam, CAST(NULL AS INT) AS balienummer, '' AS broken FROM airline_decided WHERE reason = ''
+        UNION ALL SELECT 'desk', maatschappijcode, NULL, balienummer, '' FROM airline_decided WHERE reason = ''
+        UNION ALL SELECT 'refused', maatschappijcode, naam, balienummer, reason FROM airline_decided WHERE reason <> ''""",
     "guard_flight_update": _guard("(booked AND (gate_differs OR places_differ))"),
     "guard_flight_update_as_written": _guard("booked"),
     "backfill_flights": _backfill(f"coalesce(vertrektijdstip, TIMESTAMP '{AS_OF}' - to_days(1))"),

@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paxledger.functions.scalars import labels, micros, or_zero
@@ -20,6 +20,7 @@ from paxledger.operators.ordered import interval_hits, least_overlapping, runnin
 from paxledger.plans import keys, rules
 from paxledger.plans.changes import upsert_bookings
 from paxledger.session import settle
+from paxledger.sources.tables import incoming, lacks
 
 REQUEST = ["seq", *BOOKING, "balienummer", "inchecktijdstip", "stoel"]
 PASSENGER = ["passagiernummer"]
@@ -41,13 +42,15 @@ def row_checks(t: Mapping[str, DataFrame], requests: DataFrame) -> DataFrame:
     desk_list = t["inchecken_voor_vlucht"].select("vluchtnummer", "balienummer", _mark("_listed"))
     has_desk = F.col("balienummer").isNotNull()
     return (
-        requests.join(flights, "vluchtnummer", "left")
+        incoming(requests, "passagier_voor_vlucht")
+        .join(flights, "vluchtnummer", "left")
         .join(people, "passagiernummer", "left")
         .join(desks, "balienummer", "left")
         .join(desk_list, ["vluchtnummer", "balienummer"], "left")
         .withColumn(
             "broken",
             labels(
+                not_null=lacks("passagier_voor_vlucht", BOOKING),
                 fk_passagier=F.col("_person").isNull(),
                 fk_vlucht=F.col("_flight").isNull(),
                 fk_balie=has_desk & F.col("_desk").isNull(),
@@ -119,31 +122,6 @@ def _has_place(arrival: Column) -> Column:
     return F.coalesce((F.col("free") > 0) & in_time, F.lit(False))
 
 
-def _seat_checks(bookings: DataFrame, checked: DataFrame) -> DataFrame:
-    """Adds the seat rule to ``broken``: a seat goes to the passenger who holds it in the stored bookings,
-    else to the passenger of the earliest request left. A holder's later requests for it pass."""
-    seat = ["vluchtnummer", "stoel"]
-    wanted = checked.where(_clean() & F.col("stoel").isNotNull())
-    first = wanted.groupBy(*seat).agg(F.min(F.struct("seq", "passagiernummer"))["passagiernummer"].alias("_winner"))
-    # Two holders already share the seat where least and greatest differ: then nobody else fits.
-    held = (
-        bookings.where(F.col("stoel").isNotNull())
-        .join(wanted.select(*seat).distinct(), seat, "left_semi")
-        .groupBy(*seat)
-        .agg(F.min("passagiernummer").alias("_least"), F.max("passagiernummer").alias("_most"))
-    )
-    claims = first.join(held, seat, "left").select(
-        *seat, F.coalesce("_least", "_winner").alias("_least"), F.coalesce("_most", "_winner").alias("_most")
-    )
-    foreign = (F.col("_least") != F.col("passagiernummer")) | (F.col("_most") != F.col("passagiernummer"))
-    lost = _clean() & F.coalesce(foreign, F.lit(False))
-    return (
-        checked.join(claims, seat, "left")
-        .withColumn("broken", F.when(lost, F.array(F.lit("rule07_seat_unique"))).otherwise(F.col("broken")))
-        .select(*checked.columns)
-    )
-
-
 def _spans(pairs: DataFrame, flights: DataFrame) -> DataFrame:
     """Pairs with the time they take, in microseconds; a flight that ends before it starts, or has no end,
     takes its moment of departure. Pairs without a departure drop out: they can meet nothing."""
@@ -164,51 +142,150 @@ def stored_overlaps(bookings: DataFrame, flights: DataFrame, pairs: DataFrame) -
     return hits.where(F.col("hits") > F.coalesce("_own", F.lit(0))).select(*BOOKING)
 
 
-def _overlap_checks(bookings: DataFrame, flights: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Adds ``_overlaps`` to pairs that have seq (of their first request) and ``_stored``.
+#: Before every and after every arrival number.
+_NEVER, _ALWAYS = 2**62, -(2**62)
 
-    A pair is refused if it meets a stored flight of the passenger, or a new flight asked for earlier
-    that does not. Only passengers who ask for several new flights take part in the second step.
-    """
-    against_stored = stored_overlaps(bookings, flights, pairs).withColumn("_meets_stored", F.lit(True))
-    marked = settle(pairs.join(against_stored, BOOKING, "left"), "marked")
-    fresh = marked.where(F.col("_meets_stored").isNull() & F.col("_stored").isNull())
-    several = fresh.groupBy(*PASSENGER).agg(F.count("*").alias("_n")).where("_n > 1").select(*PASSENGER)
-    spans = settle(_spans(fresh.select(*BOOKING, "seq").join(several, PASSENGER, "left_semi"), flights), "spans")
-    least = least_overlapping(spans, PASSENGER, "_from", "_to", "seq", BOOKING, out="_earliest")
-    meets_earlier = F.coalesce(F.col("_earliest") < F.col("seq"), F.lit(False))
-    return marked.join(least, BOOKING, "left").select(
-        *pairs.columns, (F.col("_meets_stored").isNotNull() | meets_earlier).alias("_overlaps")
-    )
 
+def near_bookings(bookings: DataFrame, asked: DataFrame, label: str = "near") -> DataFrame:
+    """Stored bookings of the flights and of the passengers that ``asked`` names: all that can speak against it. Settled."""
+    flights = asked.select("vluchtnummer").distinct().withColumn("_flight", F.lit(True))
+    people = asked.select(*PASSENGER).distinct().withColumn("_person", F.lit(True))
+    marked = bookings.join(flights, "vluchtnummer", "left").join(people, PASSENGER, "left")
+    return settle(marked.where(F.col("_flight") | F.col("_person")).select(*bookings.columns), label)
 
-def admit_rows(t: Mapping[str, DataFrame], requests: DataFrame) -> DataFrame:
-    """``requests`` with ``accepted`` and ``broken``, the rules that speak against a refused one.
 
-    Passes, each over what the one before left: rules a request breaks alone, seats, overlapping
-    flights, capacity. A booking's requests stand or fall together in the last two. The passes may refuse
-    more than taking requests one at a time would, but what they accept breaks no rule together with the
-    stored bookings.
+def _seat_conflicts(stored: DataFrame, likely: DataFrame, probes: DataFrame) -> DataFrame:
+    """(seq, seat_sure, seat_likely) of probes whose seat another passenger holds, surely or likely, when they arrive.
+
+    ``likely`` are requests that are accepted (``_sure``) or may be. A booking holds a seat from the request that
+    gave it until its next one: surely until the next likely one, likely until the next sure one. Holdings are
+    counted, those of the passenger's own deducted; they are never paired with requests.
+    """
+    seat = ["vluchtnummer", "stoel"]
+    given = stored.select(*BOOKING, "stoel", F.lit(_ALWAYS).alias("seq"), F.lit(True).alias("_sure"))
+    events = given.unionByName(likely.select(*BOOKING, "stoel", "seq", "_sure"))
+    wanted = probes.where(F.col("stoel").isNotNull())
+    claims = events.where(F.col("stoel").isNotNull()).select(*seat, "passagiernummer").unionByName(wanted.select(*seat, "passagiernummer"))
+    contested = claims.groupBy(*seat).agg(F.min("passagiernummer").alias("_a"), F.max("passagiernummer").alias("_b"))
+    contested = settle(contested.where("_a <> _b").select(*seat), "contested")
+    mine = settle(wanted.join(contested, seat, "left_semi").select("seq", *BOOKING, "stoel"), "claims")
+    if mine.isEmpty():
+        return mine.select("seq", F.lit(False).alias("seat_sure"), F.lit(False).alias("seat_likely")).limit(0)
+    holders = events.join(contested, seat, "left_semi").select(*BOOKING).distinct()
+    later = Window.partitionBy(*BOOKING).orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
+    timed = events.join(holders, BOOKING, "left_semi").select(
+        "*",
+        F.coalesce(F.min("seq").over(later), F.lit(_NEVER)).alias("_next_likely"),
+        F.coalesce(F.min(F.when(F.col("_sure"), F.col("seq"))).over(later), F.lit(_NEVER)).alias("_next_sure"),
+    )
+    held = timed.where(F.col("stoel").isNotNull()).join(contested, seat, "left_semi")
+    # Four counts at once: holdings that are sure and likely, each of all passengers and of one's own.
+    kind = lambda sure, own, until: F.when(
+        F.col("_sure") | F.lit(not sure),
+        F.struct(F.lit(sure).alias("_kind"), (F.col("passagiernummer") if own else F.lit(None).cast("bigint")).alias("_own"), F.col(until).alias("_to")),
+    )
+    spans = F.array_compact(
+        F.array(*[kind(s, o, u) for s, u in ((True, "_next_likely"), (False, "_next_sure")) for o in (False, True)])
+    )
+    keys = [*seat, "_kind", "_scope"]
+    scope = F.coalesce(F.col("_own").cast("string"), F.lit("all"))
+    intervals = held.select(*seat, (F.col("seq") + 1).alias("_from"), F.inline(spans)).withColumn("_scope", scope).where("_from <= _to")
+    asks = F.array(*[F.struct(F.lit(s).alias("_kind"), o.alias("_own")) for s in (True, False) for o in (F.lit(None).cast("bigint"), F.col("passagiernummer"))])
+    probing = mine.select("seq", *seat, F.inline(asks)).withColumn("_scope", scope).select("seq", *keys, "_own", F.col("seq").alias("_from"), F.col("seq").alias("_to"))
+    counted = interval_hits(intervals.select(*keys, "_from", "_to"), probing, keys, "_from", "_to")
+    others = lambda sure: F.sum(
+        F.when(F.col("_kind") == F.lit(sure), F.when(F.col("_own").isNull(), F.col("hits")).otherwise(-F.col("hits"))).otherwise(0)
+    ) > 0
+    return counted.groupBy("seq").agg(others(True).alias("seat_sure"), others(False).alias("seat_likely"))
+
+
+def _conflicts(flights: DataFrame, stored: DataFrame, likely: DataFrame, probes: DataFrame) -> DataFrame:
+    """``probes`` with what speaks against each when it arrives, surely (``*_sure``) or likely (``*_likely``).
+
+    ``likely``: requests accepted so far (``_sure``) and those still open. A rule speaks surely if the accepted
+    ones alone break it whatever becomes of the open ones, and not even likely if it holds though all of them
+    are accepted. For the earliest open request the two are the same.
     """
-    bookings, flights = t["passagier_voor_vlucht"], t["vlucht"]
-    checked = settle(row_checks(t, requests.select(*REQUEST)), "checked")
-    seated = _seat_checks(bookings, checked)
+    unasked = probes.select(*BOOKING, F.lit(None).cast("bigint").alias("seq"), F.lit(False).alias("_sure"))
     pairs = settle(
-        seated.where(_clean())
+        likely.select(*BOOKING, "seq", "_sure")
+        .unionByName(unasked)
         .groupBy(*BOOKING)
-        .agg(F.min("seq").alias("seq"))
-        .join(bookings.select(*BOOKING, _mark("_stored")).distinct(), BOOKING, "left"),
+        .agg(F.min("seq").alias("seq"), F.min(F.when(F.col("_sure"), F.col("seq"))).alias("_sure_seq"))
+        .join(stored.select(*BOOKING, _mark("_stored")).distinct(), BOOKING, "left"),
         "pairs",
     )
-    timed = settle(_overlap_checks(bookings, flights, pairs), "timed")
-    newcomers = timed.where(~F.col("_overlaps") & F.col("_stored").isNull())
-    limits = capacity_cutoff(flights, bookings, newcomers, newcomers)
-    full = ~F.col("_overlaps") & F.col("_stored").isNull() & ~_has_place(F.col("seq"))
-    verdicts = timed.join(limits, "vluchtnummer", "left").select(
-        *BOOKING, labels(rule10_overlap=F.col("_overlaps"), rule04_over_capacity=full).alias("_later")
+    fresh = pairs.where(F.col("_stored").isNull())
+    several = fresh.groupBy(*PASSENGER).agg(F.count("*").alias("_n")).where("_n > 1").select(*PASSENGER)
+    firsts = [F.coalesce("seq", F.lit(_NEVER)).alias("seq"), F.coalesce("_sure_seq", F.lit(_NEVER)).alias("_sure_first")]
+    spans = settle(_spans(fresh.select(*BOOKING, *firsts).join(several, PASSENGER, "left_semi"), flights), "spans")
+    met = [
+        least_overlapping(spans, PASSENGER, "_from", "_to", value, BOOKING, out=out)
+        for value, out in (("_sure_first", "_met_sure"), ("seq", "_met_likely"))
+    ]
+    sure = fresh.where(F.col("_sure_seq").isNotNull()).select("vluchtnummer", F.col("_sure_seq").alias("seq"))
+    full_sure = capacity_cutoff(flights, stored, probes, sure)
+    full_likely = capacity_cutoff(flights, stored, probes, fresh.where("seq IS NOT NULL").select("vluchtnummer", "seq"))
+    before = lambda c: F.coalesce(F.col(c) < F.col("seq"), F.lit(False))
+    there = F.col("_stored").isNotNull()
+    rows = (
+        probes.join(pairs.select(*BOOKING, "_stored", F.col("seq").alias("_first"), "_sure_seq"), BOOKING, "left")
+        .join(met[0], BOOKING, "left")
+        .join(met[1], BOOKING, "left")
+        .join(full_sure.select("vluchtnummer", "free", F.col("cutoff").alias("_full_sure")), "vluchtnummer", "left")
+        .join(full_likely.select("vluchtnummer", F.col("cutoff").alias("_full_likely")), "vluchtnummer", "left")
+        .join(_seat_conflicts(stored, likely, probes), "seq", "left")
+    )
+    sure_there, likely_there = there | before("_sure_seq"), there | before("_first")
+    out_of_room = lambda cutoff: (F.col("free") <= 0) | before(cutoff)
+    return rows.select(
+        *probes.columns,
+        F.coalesce("seat_sure", F.lit(False)).alias("seat_sure"),
+        F.coalesce("seat_likely", F.lit(False)).alias("seat_likely"),
+        (~sure_there & before("_met_sure")).alias("overlap_sure"),
+        (~sure_there & before("_met_likely")).alias("overlap_likely"),
+        (~likely_there & out_of_room("_full_sure")).alias("capacity_sure"),
+        (~sure_there & out_of_room("_full_likely")).alias("capacity_likely"),
+    )
+
+
+def _any(kind: str) -> Column:
+    return F.col(f"seat_{kind}") | F.col(f"overlap_{kind}") | F.col(f"capacity_{kind}")
+
+
+def admit_rows(t: Mapping[str, DataFrame], requests: DataFrame) -> DataFrame:
+    """``requests`` with ``accepted`` and ``broken``, the rules that speak against a refused one when it arrives.
+
+    The outcome is that of taking requests one at a time in order of ``seq``: a refused one stands in nobody's
+    way, and an accepted update gives up the seat that the booking had. It is found in rounds over those still
+    open: what no accepted or open request opposes is accepted, what an accepted one surely opposes is refused.
+    Every round decides the earliest open one at least; requests that don't meet are decided side by side.
+    """
+    flights = t["vlucht"]
+    checked = settle(row_checks(t, incoming(requests.select(*REQUEST), "passagier_voor_vlucht")), "checked")
+    clean = checked.where(_clean())
+    stored = near_bookings(t["passagier_voor_vlucht"], clean)
+    mine = clean.select(*BOOKING).distinct()
+    against = settle(stored_overlaps(stored, flights, mine).withColumn("_meets", F.lit(True)), "meets-stored")
+    rows = clean.select("seq", *BOOKING, "stoel").join(against, BOOKING, "left")
+    pending = settle(rows.where(F.col("_meets").isNull()).select("seq", *BOOKING, "stoel"), "open")
+    taken = pending.limit(0)
+    while not pending.isEmpty():
+        likely = taken.withColumn("_sure", F.lit(True)).unionByName(pending.withColumn("_sure", F.lit(False)))
+        judged = settle(_conflicts(flights, stored, likely, pending), "judged")
+        taken = settle(taken.unionByName(judged.where(~_any("likely")).select(*pending.columns)), "taken")
+        pending = settle(judged.where(_any("likely") & ~_any("sure")).select(*pending.columns), "open")
+    final = _conflicts(flights, stored, taken.withColumn("_sure", F.lit(True)), rows)
+    verdicts = final.select(
+        "seq",
+        labels(
+            rule07_seat_unique=F.col("seat_sure"),
+            rule10_overlap=F.col("overlap_sure") | F.col("_meets").isNotNull(),
+            rule04_over_capacity=F.col("capacity_sure"),
+        ).alias("_later"),
     )
     return (
-        seated.join(verdicts, BOOKING, "left")
+        checked.join(verdicts, "seq", "left")
         .withColumn("broken", F.when(_clean(), F.col("_later")).otherwise(F.col("broken")))
         .select(*REQUEST, _clean().alias("accepted"), "broken")
     )
@@ -251,6 +328,7 @@ STATEMENT_RULES: dict[str, Callable[[Mapping[str, DataFrame], DataFrame], DataFr
     "fk_passagier": _orphans("passagiernummer", "passagier"),
     "fk_vlucht": _orphans("vluchtnummer", "vlucht"),
     "fk_balie": _orphans("balienummer", "balie"),
+    "not_null": lambda t, touched: touched.where(lacks("passagier_voor_vlucht", BOOKING)),
     "rule01_pair_null": _of_booking(rules.rule01_pair_null),
     "rule03_late_checkin": _of_booking(rules.rule03_late_checkin),
     "rule04_over_capacity": _over_capacity,
@@ -259,11 +337,11 @@ STATEMENT_RULES: dict[str, Callable[[Mapping[str, DataFrame], DataFrame], DataFr
     "rule10_overlap": _overlapping,
 }
 
-#: What the row triggers do as written: see the rules of the same name.
+#: What the row triggers do as written: see the rules of the same name. Rule 7 looks at the whole table then.
 STATEMENT_RULES_AS_WRITTEN: dict[str, Callable[[Mapping[str, DataFrame], DataFrame], DataFrame]] = {
     **STATEMENT_RULES,
     "rule07_seat_unique": lambda t, touched: touched.where(F.col("stoel").isNotNull()).where(
-        duplicate_seats(t, with_null=True).exists()
+        duplicate_seats(t.replacing(passagier_voor_vlucht=t["_all_bookings"]), with_null=True).exists()
     ),
     "rule08b_booking_desk": _of_booking(lambda t: rules.rule08b_booking_desk(t, as_written=True)),
     "rule10_overlap": lambda t, touched: rules.rule10_overlap(t).join(touched, BOOKING, "left_semi"),
@@ -278,9 +356,13 @@ def admit_statement(
     Only what the batch touches is judged: stored violations elsewhere do not stop it.
     """
     checks = STATEMENT_RULES_AS_WRITTEN if as_written else STATEMENT_RULES
-    after = settle(upsert_bookings(t["passagier_voor_vlucht"], batch), "after")
+    batch = incoming(batch, "passagier_voor_vlucht")
+    # What the batch can break lies in the bookings of its flights and passengers; no more is written down.
+    near = near_bookings(t["passagier_voor_vlucht"], batch)
+    after = settle(upsert_bookings(near, batch), "after")
     touched = settle(after.join(batch.select(*BOOKING).distinct(), BOOKING, "left_semi"), "touched")
-    state = t.replacing(passagier_voor_vlucht=after)
+    everything = upsert_bookings(t["passagier_voor_vlucht"], batch)
+    state = t.replacing(passagier_voor_vlucht=after, _all_bookings=everything)
     found = [
         checks[name](state, touched).select(F.lit(name).alias("rule"), *BOOKING) for name in (names or list(checks))
     ]

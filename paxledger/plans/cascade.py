@@ -6,10 +6,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paxledger.session import settle
 from paxledger.sources.schema import FOREIGN_KEYS, TABLES, children_of
+from paxledger.sources.tables import incoming
 
 
 @dataclass(frozen=True)
@@ -26,14 +28,14 @@ def delete_cascade(t: Mapping[str, DataFrame], table: str, keys: DataFrame) -> C
     A key that some child refers to without cascading is refused; the other keys are deleted.
     """
     pk = list(TABLES[table].key)
-    wanted = keys.select(*pk).distinct()
+    wanted = settle(incoming(keys.select(*pk), table).distinct(), "delete-keys")
     barred = [
         _referred(wanted, t[fk.child], dict(zip(fk.parent_columns, fk.columns)))
         for fk in children_of(table)
         if not fk.delete_cascades
     ]
-    refused = reduce(DataFrame.unionByName, barred).distinct() if barred else wanted.limit(0)
-    allowed = wanted.join(refused, pk, "left_anti") if barred else wanted
+    refused = settle(reduce(DataFrame.unionByName, barred).distinct(), "delete-refused") if barred else wanted.limit(0)
+    allowed = settle(wanted.join(refused, pk, "left_anti") if barred else wanted, "delete-allowed")
     tables: dict[str, DataFrame] = {}
     _remove(t, table, allowed, pk, tables)
     return Change(tables, refused)
@@ -61,12 +63,12 @@ def rekey_cascade(t: Mapping[str, DataFrame], table: str, mapping: DataFrame) ->
     """Rename primary keys of ``table`` and carry the new keys into its children.
 
     ``mapping`` has the key columns and, for each, ``new_<column>``. Refused are keys that some child refers
-    to without cascading, keys given two new values, and new keys that exist already or are wanted twice
-    (so a swap takes two steps).
+    to without cascading, keys given two new values, new keys that exist already or are wanted twice (so a
+    swap takes two steps), or lack a part, and new keys that a foreign key of the table itself finds no parent for.
     """
     pk = list(TABLES[table].key)
     new = [f"new_{c}" for c in pk]
-    pairs = mapping.select(*pk, *new).distinct()
+    pairs = settle(incoming(incoming(mapping.select(*pk, *new), table), table, "new_").distinct(), "rekey-pairs")
     twice_old = pairs.groupBy(*pk).agg(F.count("*").alias("_n")).where("_n > 1").select(*pk)
     twice_new = pairs.groupBy(*new).agg(F.count("*").alias("_n")).where("_n > 1").select(*new)
     existing = t[table].select(*[F.col(c).alias(n) for c, n in zip(pk, new)])
@@ -74,14 +76,25 @@ def rekey_cascade(t: Mapping[str, DataFrame], table: str, mapping: DataFrame) ->
         pairs.join(twice_old, pk, "left_semi"),
         pairs.join(twice_new, new, "left_semi"),
         pairs.join(existing, new, "left_semi"),
+        pairs.where(reduce(Column.__or__, [F.col(c).isNull() for c in new])),
+        *[
+            pairs.join(
+                t[fk.parent].select(*[F.col(p).alias(f"new_{c}") for p, c in zip(fk.parent_columns, fk.columns)]).distinct(),
+                [f"new_{c}" for c in fk.columns],
+                "left_anti",
+            )
+            for fk in FOREIGN_KEYS
+            if fk.child == table and set(fk.columns) <= set(pk)
+        ],
         *[
             _referred(pairs, t[fk.child], dict(zip(fk.parent_columns, fk.columns)))
             for fk in children_of(table)
             if not fk.update_cascades
         ],
     ]
-    refused = reduce(DataFrame.unionByName, [b.select(*pk) for b in bars]).distinct()
-    allowed = pairs.join(refused, pk, "left_anti")
+    # Both lists go into every table that changes; they are written once.
+    refused = settle(reduce(DataFrame.unionByName, [b.select(*pk) for b in bars]).distinct(), "rekey-refused")
+    allowed = settle(pairs.join(refused, pk, "left_anti"), "rekey-allowed")
     tables: dict[str, DataFrame] = {}
     _rename(t, table, allowed, dict(zip(pk, new)), tables)
     return Change(tables, refused)

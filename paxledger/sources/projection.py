@@ -15,7 +15,9 @@ from paxledger.sources.tables import Tables
 
 
 def _padded(column: Column, width: int) -> Column:
-    return F.lpad(column.cast("string"), width, "0")
+    """Zeros in front up to ``width``; a longer number keeps all its digits."""
+    text = column.cast("string")
+    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
 
 
 def _moment(text: str) -> Column:
@@ -89,8 +91,8 @@ class StarSource:
         return self.raw("part").select(
             number.alias("vluchtnummer"),
             F.char((number % 5 + 65).cast("int")).alias("gatecode"),
-            _padded(number % 25, 2).alias("maatschappijcode"),
-            _padded(number % 10, 3).alias("luchthavencode"),
+            _padded(self._airline(number), 2).alias("maatschappijcode"),
+            _padded(self._airport(number), 3).alias("luchthavencode"),
             F.col("p_brand").alias("vliegtuigtype"),
             F.col("p_size").alias("max_aantal_psgrs"),
             F.lit(2500).cast("decimal(5,0)").alias("max_totaalgewicht"),
@@ -124,34 +126,38 @@ class StarSource:
             .select(_padded(F.col("s_suppkey"), 3).alias("luchthavencode"), F.col("s_name").alias("naam"), "land")
         )
 
-    def _desk_pairs(self, partners: int) -> DataFrame:
-        return self.raw("part").select("p_size").distinct().select(
-            F.col("p_size").alias("balienummer"), F.explode(F.sequence(F.lit(0), F.lit(partners - 1))).alias("partner")
+    def _lines(self) -> DataFrame:
+        """Desk and flight of every order line, and the numbers of the flight's airline and airport."""
+        flight = F.col("l_partkey")
+        return self.raw("lineitem").select(
+            ((F.col("l_suppkey") + F.col("l_linenumber")) % 50 + 1).cast("int").alias("balienummer"),
+            flight.alias("vluchtnummer"),
+            self._airline(flight).alias("airline"),
+            self._airport(flight).alias("airport"),
         )
 
+    def _airline(self, flight: Column) -> Column:
+        return flight % self.raw("nation").agg(F.count("*")).scalar()
+
+    def _airport(self, flight: Column) -> Column:
+        """Flights go to every third airport."""
+        number = flight % self.raw("supplier").agg(F.count("*")).scalar()
+        return number - number % 3
+
     def desk_airlines(self) -> DataFrame:
-        pairs = self._desk_pairs(24).where((F.col("balienummer") + F.col("partner")) % 4 != 0)
-        nations = self.raw("nation").select(F.col("n_nationkey").alias("partner"))
-        return pairs.join(nations, "partner", "left_semi").select(
-            "balienummer", _padded(F.col("partner"), 2).alias("maatschappijcode")
-        )
+        """Desks meet the airlines of the flights they serve, but for some, and for the airline that is last by name."""
+        last = self.raw("nation").agg(F.max("n_name")).scalar()
+        served = self.raw("nation").where(F.col("n_name") != last).select(F.col("n_nationkey").alias("airline"))
+        pairs = self._lines().select("balienummer", "airline").distinct().where((F.col("balienummer") + F.col("airline")) % 4 != 0)
+        return pairs.join(served, "airline", "left_semi").select("balienummer", _padded(F.col("airline"), 2).alias("maatschappijcode"))
 
     def desk_airports(self) -> DataFrame:
-        pairs = self._desk_pairs(10).where((F.col("balienummer") + F.col("partner")) % 3 != 0)
-        suppliers = self.raw("supplier").select(F.col("s_suppkey").cast("int").alias("partner"))
-        return pairs.join(suppliers, "partner", "left_semi").select(
-            "balienummer", _padded(F.col("partner"), 3).alias("luchthavencode")
-        )
+        """Desks meet the airports of the flights they serve, but for some."""
+        pairs = self._lines().select("balienummer", "airport").distinct().where((F.col("balienummer") + F.col("airport")) % 4 != 0)
+        return pairs.select("balienummer", _padded(F.col("airport"), 3).alias("luchthavencode"))
 
     def desk_flights(self) -> DataFrame:
-        return (
-            self.raw("lineitem")
-            .select(
-                ((F.col("l_suppkey") + F.col("l_linenumber")) % 50 + 1).cast("int").alias("balienummer"),
-                F.col("l_partkey").alias("vluchtnummer"),
-            )
-            .distinct()
-        )
+        return self._lines().select("balienummer", "vluchtnummer").distinct()
 
 
 def project(spark: SparkSession, folder: str) -> Tables:

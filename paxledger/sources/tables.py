@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paxledger.functions.scalars import trim_char
 from paxledger.session import prepare
 from paxledger.sources.schema import TABLES
 
 
+#: Tables whose rows follow the number of flights, passengers and bookings.
+GROWING = ("vlucht", "inchecken_voor_vlucht", "passagier", "passagier_voor_vlucht", "object")
+
+
 class Tables(Mapping[str, DataFrame]):
     """The tables by name. A table's plan is built when it is first asked for."""
 
@@ -42,8 +48,21 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[trim_char(c).alias(c) if c in spec.char_columns else df[c] for c in spec.names])
 
 
+def incoming(df: DataFrame, table: str, prefix: str = "") -> DataFrame:
+    """Rows on their way into ``table``, with blanks trimmed from the right of fixed-width text as stored rows
+    have it, so that ``'KL '`` meets ``'KL'``. ``prefix`` stands before the column names (``new_gatecode``)."""
+    fixed = {f"{prefix}{c}" for c in TABLES[table].char_columns}
+    return df.select(*[trim_char(F.col(c)).alias(c) if c in fixed else F.col(c) for c in df.columns])
+
+
+def lacks(table: str, columns: Iterable[str]) -> Column:
+    """Whether one of ``columns`` that ``table`` requires is missing."""
+    needed = [F.col(c).isNull() for c in columns if c in TABLES[table].required]
+    return reduce(Column.__or__, needed, F.lit(False))
+
+
 def load_tables(spark: SparkSession, folder: str) -> Tables:
-    """Read ``<folder>/<table>`` Parquet with the declared types."""
+    """Read ``<folder>/<table>`` Parquet with the declared types. Turns on the session settings of ``session.prepare``."""
     prepare(spark)
     return Tables(
         {
@@ -64,11 +83,15 @@ def load_jdbc(
 
     ``names`` maps a table to its name in the database. ``split`` maps a table to
     (column, lower, upper, parts); such a table is read over ``parts`` connections, each with its own
-    key range. Rows outside the bounds are still read, by the first and last part. Connection options
-    come from the caller.
+    key range. Rows outside the bounds are still read, by the first and last part. The tables that grow
+    with the business (``GROWING``) need a split, the others come over one connection. Connection options
+    come from the caller. Like every loader it turns on the session settings of ``session.prepare``.
     """
     prepare(spark)
     split = split or {}
+    unsplit = [n for n in GROWING if n in names and n not in split]
+    if unsplit:
+        raise ValueError(f"give a split for {', '.join(unsplit)}: one connection would read all of it")
 
     def read(name: str) -> DataFrame:
         if name in split:

@@ -11,16 +11,18 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from paxledger.operators.joins import BOOKING
 from paxledger.plans.admission import REQUEST, admit_rows, row_checks
+from paxledger.session import settle
 from paxledger.sources.schema import REQUEST_SCHEMA, TABLES
 from paxledger.sources.tables import load_tables
 
 
-def read_requests(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    """Requests from Parquet files as they arrive in ``folder``."""
-    reader = spark.readStream.schema(REQUEST_SCHEMA)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+#: Files of a micro-batch, so that a backlog comes in several.
+FILES_PER_BATCH = 64
+
+
+def read_requests(spark: SparkSession, folder: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """Requests from Parquet files as they arrive in ``folder``, so many files at a time."""
+    return spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
 def stream_row_rules(stream: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
@@ -63,7 +65,8 @@ def stream_admit(stream: DataFrame, base_path: str, out: str, checkpoint: str) -
         if batch_id > 0:
             bookings = current_bookings(t["passagier_voor_vlucht"], accepted_before(batch.sparkSession, out, batch_id))
             t = t.replacing(passagier_voor_vlucht=bookings)
-        decided = admit_rows(t, batch)
+        # Both sinks are written from one result.
+        decided = settle(admit_rows(t, batch), "decided")
         decided.where("accepted").select(*REQUEST).write.mode("overwrite").parquet(_batch_folder(out, "accepted", batch_id))
         decided.where("not accepted").select(*REQUEST, "broken").write.mode("overwrite").parquet(
             _batch_folder(out, "rejected", batch_id)

@@ -33,31 +33,39 @@ def test_upsert_takes_the_last_request(spark):
     assert rows[850, 5316].balienummer == 1 and rows[850, 5317].stoel == "75"
 
 
-def test_add_baggage_stops_at_the_first_breach(spark):
+ITEM = "seq long, passagiernummer long, vluchtnummer long, gewicht int"
+
+
+def test_add_baggage_one_at_a_time(spark):
     rng = random.Random(5)
     bookings = [(p, 1, None, None, None) for p in range(80)]
     stored = [(i, p, 1, rng.randint(1, 9)) for i, p in enumerate(rng.choices(range(80), k=60))]
-    items = [(i, rng.choice([0, 0, 0, *range(85)]), 1, rng.randint(-2, 12)) for i in range(400)]
+    items = [(i, rng.choice([0, 0, 0, *range(85)]), 1, rng.choice([None, *range(-2, 13)])) for i in range(400)]
     t = airport(
         spark, vlucht=[flight(1, "2004-01-01 00:00", "2004-01-02 00:00")], passagier_voor_vlucht=bookings, object=stored
     )
-    got = {
-        r.seq: r.accepted
-        for r in changes.add_baggage(t, spark.createDataFrame(items, "seq long, passagiernummer long, vluchtnummer long, gewicht int")).collect()
-    }
-    count, weight, stopped, expected = defaultdict(int), defaultdict(int), set(), {}
+    got = {r.seq: ",".join(r.broken) for r in changes.add_baggage(t, spark.createDataFrame(items, ITEM)).collect()}
+    count, weight, expected = defaultdict(int), defaultdict(int), {}
     for _, p, _, w in stored:
         count[p] += 1
         weight[p] += w
     for seq, p, _, w in items:
-        count[p] += 1
-        weight[p] += w
-        if count[p] > 3 or weight[p] > 20:
-            stopped.add(p)
-        expected[seq] = p < 80 and p not in stopped
+        reasons = ["not_null"] * (w is None) + ["fk_booking"] * (p >= 80)
+        if not reasons and (count[p] >= 3 or weight[p] + w > 20):
+            reasons = ["rule05_baggage_limit"]
+        if not reasons:
+            count[p] += 1
+            weight[p] += w
+        expected[seq] = ",".join(reasons)
     assert got == expected
 
 
+def test_a_refused_item_uses_nothing_up(spark):
+    t = airport(spark)
+    items = spark.createDataFrame([(1, 13, 5317, 15), (2, 13, 5317, 10), (3, 13, 5317, 3)], ITEM)
+    assert {r.seq: r.accepted for r in changes.add_baggage(t, items).collect()} == {1: True, 2: False, 3: True}
+
+
 def test_remove_baggage(spark):
     t = airport(spark)
     left = changes.remove_baggage(t["object"], spark.createDataFrame([(2,), (2,), (99,)], "volgnummer long"))
@@ -66,15 +74,56 @@ def test_remove_baggage(spark):
 
 def test_register_airline(spark):
     batch = spark.createDataFrame(
-        [(1, 1, "TT", "Test"), (2, 99, "UU", "Unknown desk"), (3, 2, "KL", "Other"), (4, 2, "VV", "KLM"), (5, 2, "TT", "Again"), (6, 2, "WW", "Test")],
+        [
+            (1, 1, "TT", "Test"), (2, 99, "UU", "Unknown desk"), (3, 2, "KL ", "Other"), (4, 2, "VV", "KLM"), (5, 2, "TT ", "Again"),
+            (6, 2, "WW", "Test"), (7, 2, "XX", "Again"), (8, 2, "WW", "Free"), (9, 1, "YY", "Free"), (10, 1, None, "No code"), (11, 1, "YY", "Last"),
+        ],
         "seq long, balienummer int, maatschappijcode string, naam string",
     )
     done = changes.register_airline(airport(spark), batch)
-    assert found(done.airlines, "maatschappijcode", "naam") == [("TT", "Test")]
-    assert found(done.desks, "balienummer", "maatschappijcode") == [(1, "TT")]
+    assert found(done.airlines, "maatschappijcode", "naam") == [("TT", "Test"), ("WW", "Free"), ("XX", "Again"), ("YY", "Last")]
+    assert found(done.desks, "balienummer", "maatschappijcode") == [(1, "TT"), (1, "YY"), (2, "WW"), (2, "XX")]
     assert {r.seq: r.broken for r in done.refused.collect()} == {
-        2: ["fk_desk"], 3: ["pk_airline"], 4: ["unique_name"], 5: ["pk_airline"], 6: ["unique_name"],
+        2: ["fk_desk"], 3: ["pk_airline"], 4: ["unique_name"], 5: ["pk_airline"], 6: ["unique_name"], 9: ["unique_name"], 10: ["not_null"],
+    }
+
+
+def test_register_airline_one_at_a_time(spark):
+    rng = random.Random(6)
+    rows = [(i, 1, f"{rng.randint(0, 30):02}", f"n{rng.randint(0, 30)}") for i in range(150)]
+    batch = spark.createDataFrame(rows, "seq long, balienummer int, maatschappijcode string, naam string")
+    codes, names, want = set(), set(), []
+    for _, _, code, name in rows:
+        if code not in codes and name not in names:
+            codes.add(code)
+            names.add(name)
+            want.append((code, name))
+    assert found(changes.register_airline(airport(spark), batch).airlines, "maatschappijcode", "naam") == sorted(want)
+
+
+def test_guarded_update_keeps_the_table_valid(spark):
+    t = airport(spark)
+    updates = spark.createDataFrame(
+        [(5314, "C ", 110), (5315, "D", None), (5316, None, 9999), (5320, "C", 90), (5320, "C", 80), (9999, "C", 1)],
+        "vluchtnummer long, gatecode string, max_aantal_psgrs int",
+    )
+    done = changes.guard_flight_update(t, updates)
+    assert {(r.vluchtnummer, *r.broken) for r in done.refused.collect()} == {
+        (5315, "fk_flight"), (5316, "rule06_weight_budget"), (5320, "pk_flight"),
     }
+    assert done.flights.count() == 6
+    assert {r.vluchtnummer: r.max_aantal_psgrs for r in done.flights.collect()}[5314] == 110
+    assert {r.gatecode for r in done.flights.collect()} == {"C"}
+
+
+def test_renamed_keys_need_parents(spark):
+    pairs = spark.createDataFrame(
+        [(850, 5317, 850, 9999), (11, 5317, 11, 5316)],
+        "passagiernummer long, vluchtnummer long, new_passagiernummer long, new_vluchtnummer long",
+    )
+    done = rekey_cascade(airport(spark), "passagier_voor_vlucht", pairs)
+    assert found(done.refused, *BOOKING) == [(850, 5317)]
+    assert (11, 5316) in found(done.tables["passagier_voor_vlucht"], *BOOKING)
 
 
 def test_backfill(spark):
