@@ -12,6 +12,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -25,12 +26,12 @@ PASSAGE = 64
 #: Passages with fewer words can't be told from chance and are matched nowhere.
 LEAST_WORDS = 5
 #: Words of a document's windows, a quarter of which lies between two starts.
-WINDOWS = (16, 32, 64)
+WINDOWS = (16, 24, 32, 48, 64)
 #: Hash buckets of words: as features, and for document frequencies.
 FEATURES, DF_BUCKETS = 1 << 18, 1 << 16
 #: Passages that share one latent space, its dimensions at most and the part of their energy that it has to hold.
 BLOCK, RANK, ENERGY, OVERSAMPLE = 224, 224, 0.98, 16
-COSINE = 0.35
+COSINE = 0.45
 #: Parts of a passage's words in the common subsequence: alone, and together with that part of the answer.
 LCS_ALONE, LCS_WITH_ANSWER, ANSWER = 0.8, 0.6, 0.8
 
@@ -84,7 +85,7 @@ def _document_frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFr
     for batch in batches:
         for text in batch["text"]:
             h = hashes(list(set(words_of(text))))
-            np.add.at(total, np.unique(h & np.uint32(DF_BUCKETS - 1)), 1)
+            total[np.unique(h & np.uint32(DF_BUCKETS - 1))] += 1
             rows += 1
     held = np.flatnonzero(total)
     yield pd.DataFrame({"bucket": np.append(held, -1), "df": np.append(total[held], rows)})
@@ -184,27 +185,39 @@ class Index:
     basis: np.ndarray
     idf: np.ndarray
 
+    @cached_property
+    def reach(self) -> np.ndarray:
+        """For each feature the most that it adds to the product of a window with any passage, for a weight of one."""
+        most = np.zeros(FEATURES)
+        held = self.row_of >= 0
+        for at in range(0, len(self.basis), 4096):
+            part = np.abs(self.basis[at : at + 4096] @ self.latent.T).max(axis=1)
+            most[np.flatnonzero(held)[at : at + 4096]] = part
+        return most
+
     def candidates(self, h: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
-        """(start, length, cosine, passage) for each window and passage of at least ``COSINE``."""
-        row = self.row_of[h & np.uint32(FEATURES - 1)]
+        """(start, length, cosine, passage) for each window and passage of at least ``COSINE``.
+
+        A window's product with any passage is at most the sum of what its words add at most, and its length at
+        least the root of their squares; only windows for which that leaves room are projected.
+        """
+        feature_of = h & np.uint32(FEATURES - 1)
         weight = self.idf[h & np.uint32(DF_BUCKETS - 1)]
-        known = row >= 0
         energy = np.concatenate(([0.0], np.cumsum(weight**2)))
-        inside = np.concatenate(([0.0], np.cumsum(np.where(known, weight**2, 0.0))))
+        most = np.concatenate(([0.0], np.cumsum(weight * self.reach[feature_of])))
         for length in WINDOWS:
             start = np.arange(0, max(1, len(h) - length + length // 4), length // 4)
             end = np.minimum(start + length, len(h))
-            # A cosine can't exceed the root of the energy that lies in the passages' features. Words that repeat add
-            # up before they are squared, at most as often as the window has them; windows of few features are few.
-            share = (inside[end] - inside[start]) >= COSINE**2 * (energy[end] - energy[start]) / 2
-            for s, e in zip(start[share].tolist(), end[share].tolist()):
-                feature, first, count = np.unique(h[s:e] & np.uint32(FEATURES - 1), return_index=True, return_counts=True)
+            room = most[end] - most[start] >= COSINE * np.sqrt(energy[end] - energy[start]) - 1e-6
+            for s, e in zip(start[room].tolist(), end[room].tolist()):
+                feature, first, count = np.unique(feature_of[s:e], return_index=True, return_counts=True)
                 w = count * weight[s:e][first]
                 norm = np.sqrt((w**2).sum())
                 r = self.row_of[feature]
-                if not norm or not (r >= 0).any():
+                known = r >= 0
+                if not norm or not known.any():
                     continue
-                z = (w[r >= 0] / norm).astype(np.float32) @ self.basis[r[r >= 0]]
+                z = (w[known] / norm).astype(np.float32) @ self.basis[r[known]]
                 cosine = self.latent @ z
                 for p in np.flatnonzero(cosine >= COSINE):
                     yield s, e, float(cosine[p]), int(p)
