@@ -299,11 +299,12 @@ def repeated_windows(plain: DataFrame) -> DataFrame:
     """(doc, at, mask): whole runs with a mask of -1, and slices as their first window and a mask of windows."""
     runs = settle(plain.mapInPandas(_runs, "key bigint, ctx bigint, doc bigint, at bigint"), "suffix-runs")
     often = runs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("ctx").alias("low"), F.max("ctx").alias("high")).where("n > 1")
-    often = often.select(F.col("key").alias("_key"), (F.col("low") != F.col("high")).alias("mixed"))
+    # Written down before the join, so that a hot key is split there: an aggregate on the same key would keep it whole.
+    often = settle(often.select(F.col("key").alias("_key"), (F.col("low") != F.col("high")).alias("mixed")), "suffix-often")
     met = settle(runs.join(often, F.col("key") == F.col("_key")).drop("_key"), "suffix-met")
     forget(runs)
     classes = met.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "at")).alias("rep"))
-    classes = classes.select(F.col("key").alias("_key"), F.col("ctx").alias("_ctx"), "n", "rep")
+    classes = settle(classes.select(F.col("key").alias("_key"), F.col("ctx").alias("_ctx"), "n", "rep"), "suffix-classes")
     judged = settle(
         met.join(classes, (F.col("key") == F.col("_key")) & (F.col("ctx") == F.col("_ctx"))).select(
             "doc",
@@ -313,7 +314,7 @@ def repeated_windows(plain: DataFrame) -> DataFrame:
         ),
         "suffix-judged",
     )
-    forget(met)
+    forget(met, often, classes)
     lists = settle(judged.where("open").groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("at").alias("ats")), "suffix-lists")
     read = _addressed(plain, _bitmap(lists.select(F.col("_doc").alias("doc"))))
     cut = read.join(lists, F.col("doc") == F.col("_doc")).select("doc", "text", "ats").dropDuplicates(["doc"])
