@@ -142,7 +142,8 @@ def scan_secrets(docs: DataFrame, ledger: Ledger | None = None, rules: tuple[Rul
     """
     ledger = ledger or Ledger(docs.sparkSession, work_folder(docs.sparkSession, "ledger"))
     paths = ledger.scan(docs, rules)
-    found = ledger.findings(rules)
+    # Written down before the join, so that a blob with very many paths is split there.
+    found = settle(ledger.findings(rules), "secret-findings")
     none = F.slice(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("nr"), F.lit(0).alias("end"), F.lit("").alias("kind"))), 1, 0)
     return paths.join(found, "blob", "left").select("doc_id", "blob", F.coalesce("spans", none).alias("spans"))
 
