@@ -19,8 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of one batch that goes to Python: documents may be long, and a worker holds a batch several times over.
+BATCH_ROWS = 1000
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
-    """``doc_id`` as long and ``text`` without nulls, and the named further columns; all others go."""
+    """``doc_id`` as long and ``text`` without nulls, and the named further columns; all others go.
+
+    Lowers the session's rows for each Arrow batch to ``BATCH_ROWS`` where they are at Spark's default.
+    """
+    conf = docs.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),

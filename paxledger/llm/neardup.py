@@ -250,7 +250,8 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False) -> DataFrame:
     keys = nodes.select("node", "sig").mapInPandas(_keys, "key bigint, node bigint")
     turn = F.pmod(F.col("key"), F.lit(LEADERS))
     led = keys.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min_by("node", F.xxhash64("node", turn)).alias("leader")).where("many > 1")
-    shared = settle(keys.join(led.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key")).select("key", "node", "leader", "many"), "near-shared")
+    led = settle(led.withColumnRenamed("key", "_key"), "near-led")
+    shared = settle(keys.join(led, F.col("key") == F.col("_key")).select("key", "node", "leader", "many"), "near-shared")
 
     met = shared.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     first = settle(_near(met, nodes), "near-first")
@@ -267,11 +268,12 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False) -> DataFrame:
     def mixed(rows: DataFrame) -> DataFrame:
         """Rows of keys that still hold nodes of different components."""
         apart = rows.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
-        return rows.join(apart.select(F.col("key").alias("_key")), F.col("key") == F.col("_key")).drop("_key")
+        apart = settle(apart.select(F.col("key").alias("_key")), "near-apart")
+        return rows.join(apart, F.col("key") == F.col("_key")).drop("_key")
 
-    placed = shared.join(comps, "node", "left").select("key", "node", "many", F.coalesce("comp", "node").alias("comp"))
+    placed = settle(shared.join(comps, "node", "left").select("key", "node", "many", F.coalesce("comp", "node").alias("comp")), "near-placed")
     left = settle(mixed(placed), "near-left")
-    forget(shared)
+    forget(shared, placed, led)
     # An element that no other node left has can't be shared with any: it counts against every pair of its node.
     of_left = sets.join(left.select("node").distinct(), "node", "left_semi")
     lone = (
