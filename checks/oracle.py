@@ -400,9 +400,9 @@ QUERY_SQL: dict[str, str] = {
     "scan_desk_airports": _scan("inchecken_voor_bestemming"),
     "write_version": _scan("vlucht"),
     "passenger_search": _search(f"naam LIKE '%{SEARCH}%'"),
-    "passenger_search_literal": _search(f"contains(naam, '{SEARCH}')"),
+    "passenger_search_literal": _search("contains(naam, '#0000000')").replace("naam, vlucht", "replace(naam, '#', '%') AS naam, vlucht"),
     "passenger_search_wildcards": _search("naam LIKE '%0%7_%'"),
-    "passenger_search_ignore_case": _search("naam ILIKE '%cUSTOMER#%'"),
+    "passenger_search_ignore_case": _search("naam ILIKE '%cUSTOMER#0000000%'"),
     "baggage_of_booking": f"{_scan('object')} WHERE passagiernummer = {PASSENGER} AND vluchtnummer = {FLIGHT}",
     "booking_detail": f"""
         SELECT passagiernummer, naam, geslacht, geboortedatum, vluchtnummer, balienummer, inchecktijdstip, stoel
@@ -487,7 +487,8 @@ QUERY_SQL: dict[str, str] = {
         ]
     )
     + ") WHERE n_null > 0",
-    "check_in_list": "SELECT event_id, event_type AS actie FROM events WHERE event_type NOT IN ('update', 'delete')",
+    "check_in_list": """
+        SELECT event_id, event_type AS actie FROM events WHERE event_id % 3 = 2 AND event_type NOT IN ('update', 'delete')""",
     "audit_all": _union(*_audit_parts().values()),
     "audit_summary": _union(
         *[f"SELECT '{rule}' AS rule, count(*) AS n_violations FROM ({sql})" for rule, sql in _audit_parts().items()]

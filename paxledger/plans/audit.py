@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paxledger.functions.scalars import describe, key_map
@@ -49,40 +49,73 @@ def rule_reports(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: _report(name, table, check(t), key, shown) for name, (check, table, key, shown) in BUSINESS_RULES.items()}
 
 
-def key_reports(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Violations of primary, unique and foreign keys and of NOT NULL, by constraint."""
-    found: dict[str, DataFrame] = {}
+def table_reports(t: Mapping[str, DataFrame], name: str) -> DataFrame:
+    """Violations of NOT NULL and of the foreign keys of one table, in one pass over it.
+
+    Each parent comes as its distinct keys, so a parent row that is stored twice doubles nothing.
+    """
+    spec, rows = TABLES[name], t[name]
+    required = REQUIRED[name]
+    found = [(f"not_null:{name}", reduce(Column.__or__, [F.col(c).isNull() for c in required]), required)]
+    for i, fk in enumerate(k for k in FOREIGN_KEYS if k.child == name):
+        names = [f"_{i}_{p}" for p in fk.parent_columns]
+        parents = t[fk.parent].select(*[F.col(p).alias(n) for p, n in zip(fk.parent_columns, names)]).distinct()
+        rows = rows.join(parents.withColumn(f"_{i}", F.lit(True)), [F.col(c) == F.col(n) for c, n in zip(fk.columns, names)], "left")
+        given = reduce(Column.__and__, [F.col(c).isNotNull() for c in fk.columns])
+        found.append((f"fk:{fk.name}", given & F.col(f"_{i}").isNull(), list(fk.columns)))
+    lines = [
+        F.when(
+            broken,
+            F.struct(
+                F.lit(rule).alias("rule"),
+                F.lit(name).alias("table"),
+                key_map(*spec.key).alias("key"),
+                describe(**{c: F.col(c) for c in shown}).alias("detail"),
+            ),
+        )
+        for rule, broken, shown in found
+    ]
+    return rows.select(F.inline(F.array_compact(F.array(*lines))))
+
+
+def group_reports(t: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Violations of primary and unique keys."""
+    found = []
     for name, spec in TABLES.items():
-        rule = f"pk:{name}"
-        found[rule] = _report(rule, name, keys.pk_duplicates(t[name], list(spec.key)), list(spec.key), ["n_rows"])
+        found.append(_report(f"pk:{name}", name, keys.pk_duplicates(t[name], list(spec.key)), list(spec.key), ["n_rows"]))
         for column in spec.unique:
-            rule = f"unique:{name}.{column}"
-            found[rule] = _report(rule, name, keys.unique_violations(t[name], column), [column], ["n_rows"])
-        rule = f"not_null:{name}"
-        found[rule] = _report(rule, name, keys.not_null_rows(t[name], REQUIRED[name]), list(spec.key), REQUIRED[name])
-    for fk in FOREIGN_KEYS:
-        rule = f"fk:{fk.name}"
-        orphans = keys.fk_orphans(t[fk.child], t[fk.parent], list(fk.columns), list(fk.parent_columns))
-        found[rule] = _report(rule, fk.child, orphans, list(TABLES[fk.child].key), list(fk.columns))
+            found.append(_report(f"unique:{name}.{column}", name, keys.unique_violations(t[name], column), [column], ["n_rows"]))
     return found
 
 
-def reports(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {**rule_reports(t), **key_reports(t)}
-
-
-def audit_all(t: Mapping[str, DataFrame]) -> DataFrame:
-    """Every violation of every rule and constraint. Give it stored tables (``load_tables``): each of
-    its branches reads its own columns of them."""
-    return reduce(DataFrame.unionByName, reports(t).values())
-
-
-def audit_summary(t: Mapping[str, DataFrame]) -> DataFrame:
-    """Number of violations per rule and constraint, 0 where there are none.
-
-    Each branch counts for itself and only its count leaves it.
-    """
-    def counted(rule: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count("*").alias("n_violations")).select(F.lit(rule).alias("rule"), "n_violations")
-
-    return reduce(DataFrame.unionByName, [counted(rule, df) for rule, df in reports(t).items()])
+def rule_names(with_changes: bool = False) -> list[str]:
+    """Every rule and constraint that a report can name."""
+    tables = [(n, s) for n, s in TABLES.items()]
+    return [
+        *BUSINESS_RULES,
+        *(["rule02_changed_booked_flights"] if with_changes else []),
+        *[f"pk:{n}" for n, _ in tables],
+        *[f"unique:{n}.{c}" for n, s in tables for c in s.unique],
+        *[f"not_null:{n}" for n, _ in tables],
+        *[f"fk:{fk.name}" for fk in FOREIGN_KEYS],
+    ]
+
+
+def audit_all(t: Mapping[str, DataFrame], before: DataFrame | None = None) -> DataFrame:
+    """Every violation of every rule and constraint. Give it stored tables (``load_tables``): each of its branches
+    reads its own columns of them. Rule 2 is about a change: it takes part if ``before``, the flights as they
+    were, is given."""
+    parts = [*rule_reports(t).values(), *group_reports(t), *[table_reports(t, name) for name in TABLES]]
+    if before is not None:
+        changed = rules.rule02_changed_booked_flights(before, t["vlucht"], t["passagier_voor_vlucht"])
+        parts.append(_report("rule02_changed_booked_flights", "vlucht", changed, ["vluchtnummer"], ["changed"]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def audit_summary(t: Mapping[str, DataFrame], before: DataFrame | None = None, report: DataFrame | None = None) -> DataFrame:
+    """Number of violations per rule and constraint, 0 where there are none: counts over ``report``, a result of
+    ``audit_all`` for the same tables, or over one made here."""
+    lines = audit_all(t, before) if report is None else report
+    counts = lines.groupBy("rule").agg(F.count("*").alias("_n"))
+    names = lines.sparkSession.createDataFrame([(n,) for n in rule_names(before is not None)], "rule string")
+    return names.join(counts, "rule", "left").select("rule", F.coalesce("_n", F.lit(0)).alias("n_violations"))

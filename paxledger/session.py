@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,7 +57,28 @@ def _shared_root(spark: SparkSession) -> str:
 
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the cluster's shared folder; never reused, so a retry cannot meet old files."""
-    return f"{_shared_root(spark)}/paxledger/{label}-{uuid.uuid4().hex}"
+    path = f"{_shared_root(spark)}/paxledger/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end every work folder made inside. What is still to be read must be written elsewhere by then."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        configuration = spark._jsparkSession.sessionState().newHadoopConf()
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(configuration).delete(place, True)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from paxledger.operators.joins import BOOKING
 from paxledger.plans.admission import REQUEST, admit_rows, row_checks
-from paxledger.session import settle
+from paxledger.session import scratch, settle
 from paxledger.sources.schema import REQUEST_SCHEMA, TABLES
 from paxledger.sources.tables import load_tables
 
@@ -65,12 +65,13 @@ def stream_admit(stream: DataFrame, base_path: str, out: str, checkpoint: str) -
         if batch_id > 0:
             bookings = current_bookings(t["passagier_voor_vlucht"], accepted_before(batch.sparkSession, out, batch_id))
             t = t.replacing(passagier_voor_vlucht=bookings)
-        # Both sinks are written from one result.
-        decided = settle(admit_rows(t, batch), "decided")
-        decided.where("accepted").select(*REQUEST).write.mode("overwrite").parquet(_batch_folder(out, "accepted", batch_id))
-        decided.where("not accepted").select(*REQUEST, "broken").write.mode("overwrite").parquet(
-            _batch_folder(out, "rejected", batch_id)
-        )
+        # Both sinks are written from one result; the batch's work folders go when they are.
+        with scratch(batch.sparkSession):
+            decided = settle(admit_rows(t, batch), "decided")
+            decided.where("accepted").select(*REQUEST).write.mode("overwrite").parquet(_batch_folder(out, "accepted", batch_id))
+            decided.where("not accepted").select(*REQUEST, "broken").write.mode("overwrite").parquet(
+                _batch_folder(out, "rejected", batch_id)
+            )
 
     return (
         stream.writeStream.foreachBatch(admit)
