@@ -252,6 +252,15 @@ PARTS: dict[str, str] = {
         WHERE vluchtnummer NOT IN (SELECT vluchtnummer FROM vlucht)
         UNION ALL SELECT 'fk_balie', passagiernummer, vluchtnummer FROM touched
         WHERE balienummer IS NOT NULL AND balienummer NOT IN (SELECT balienummer FROM balie)""",
+    "desk_requests": "SELECT CAST(balienummer % 50 + 1 AS INT) AS balienummer, vluchtnummer FROM inchecken_voor_vlucht",
+    "desk_judged": """
+        SELECT r.*, EXISTS (SELECT 1 FROM inchecken_bij_maatschappij b WHERE b.balienummer = r.balienummer AND b.maatschappijcode = v.maatschappijcode)
+            AND EXISTS (SELECT 1 FROM inchecken_voor_bestemming b WHERE b.balienummer = r.balienummer AND b.luchthavencode = v.luchthavencode) AS fits,
+          v.vluchtnummer IS NOT NULL AS flies, r.balienummer IN (SELECT balienummer FROM balie) AS stands
+        FROM desk_requests r LEFT JOIN vlucht v ON v.vluchtnummer = r.vluchtnummer""",
+    "flight_rows": """
+        SELECT * REPLACE (chr(CAST(65 + (vluchtnummer + max_aantal_psgrs) % 6 AS INT)) AS gatecode,
+                          CAST(max_aantal_psgrs + vluchtnummer % 2 AS INT) AS max_aantal_psgrs) FROM vlucht""",
     # --- history ---
     "second": """
         SELECT * REPLACE (CASE WHEN passagiernummer % 13 = 0 THEN 1 ELSE balienummer END AS balienummer)
@@ -517,6 +526,21 @@ QUERY_SQL: dict[str, str] = {
     "admit_statement_accepted": """
         SELECT seq, passagiernummer, vluchtnummer, balienummer, inchecktijdstip, stoel FROM requests
         WHERE NOT EXISTS (SELECT 1 FROM statement_plain WHERE rule LIKE 'fk_%')""",
+    "admit_desks": """
+        SELECT 'rule08a_desk_allowed' AS rule, balienummer, vluchtnummer FROM desk_judged WHERE NOT fits
+        UNION ALL SELECT 'fk_vlucht', balienummer, vluchtnummer FROM desk_judged WHERE NOT flies
+        UNION ALL SELECT 'fk_balie', balienummer, vluchtnummer FROM desk_judged WHERE NOT stands
+        UNION ALL SELECT 'pk', balienummer, vluchtnummer FROM desk_requests GROUP BY ALL HAVING count(*) > 1""",
+    "admit_desks_accepted": "SELECT balienummer, vluchtnummer FROM desk_judged WHERE fits AND flies AND stands",
+    "admit_flights": """
+        SELECT 'rule02_changed_booked_flights' AS rule, vluchtnummer FROM flight_rows n JOIN vlucht v USING (vluchtnummer)
+        WHERE (n.gatecode <> v.gatecode OR n.max_aantal_psgrs <> v.max_aantal_psgrs) AND vluchtnummer IN (SELECT vluchtnummer FROM passagier_voor_vlucht)
+        UNION ALL SELECT 'rule06_weight_budget', vluchtnummer FROM flight_rows WHERE max_aantal_psgrs * max_ppgewicht > max_totaalgewicht
+        UNION ALL SELECT 'fk_gate', vluchtnummer FROM flight_rows WHERE gatecode NOT IN (SELECT gatecode FROM gate)
+        UNION ALL SELECT 'fk_maatschappij', vluchtnummer FROM flight_rows WHERE maatschappijcode NOT IN (SELECT maatschappijcode FROM maatschappij)
+        UNION ALL SELECT 'fk_luchthaven', vluchtnummer FROM flight_rows WHERE luchthavencode NOT IN (SELECT luchthavencode FROM luchthaven)""",
+    "admit_flights_accepted": """
+        SELECT * REPLACE (-1 - vluchtnummer AS vluchtnummer) FROM vlucht WHERE max_aantal_psgrs * max_ppgewicht <= max_totaalgewicht""",
     "admit_rows": _ADMITTED,
     "admit_capacity": """
         SELECT seq, passagiernummer, vluchtnummer, places IS NOT NULL AND (stored OR taken + (SELECT count(*) FROM newcomers n

@@ -267,6 +267,47 @@ def accepted_statement(spark: SparkSession, folder: str) -> DataFrame:
     return admission.admit_statement(_at_handled(spark, folder), project_requests(spark, folder), names).accepted
 
 
+def _desk_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """The next desk for every desk and flight of the list."""
+    desk = F.col("balienummer") % 50 + 1
+    return project(spark, folder)["inchecken_voor_vlucht"].select(desk.cast("int").alias("balienummer"), "vluchtnummer")
+
+
+def desk_violations(spark: SparkSession, folder: str) -> DataFrame:
+    return admission.admit_desks(project(spark, folder), _desk_requests(spark, folder)).violations
+
+
+def desks_taken(spark: SparkSession, folder: str) -> DataFrame:
+    """Those of the next desks that the airline and the destination have, as one statement."""
+    t = project(spark, folder)
+    flights = t["vlucht"].select("vluchtnummer", "maatschappijcode", "luchthavencode")
+    fit = (
+        _desk_requests(spark, folder)
+        .join(flights, "vluchtnummer")
+        .join(t["inchecken_bij_maatschappij"], ["balienummer", "maatschappijcode"], "left_semi")
+        .join(t["inchecken_voor_bestemming"], ["balienummer", "luchthavencode"], "left_semi")
+        .join(t["balie"], "balienummer", "left_semi")
+    )
+    return admission.admit_desks(t, fit).accepted
+
+
+def _flight_rows(spark: SparkSession, folder: str, new: bool) -> DataFrame:
+    """Every flight again with another gate and more places, or as a new flight with its own number."""
+    flights = project(spark, folder)["vlucht"]
+    if new:
+        return flights.where("max_aantal_psgrs * max_ppgewicht <= max_totaalgewicht").withColumn("vluchtnummer", -1 - F.col("vluchtnummer"))
+    gate = F.char((F.lit(65) + (F.col("vluchtnummer") + F.col("max_aantal_psgrs")) % 6).cast("int"))
+    return flights.withColumns({"gatecode": gate, "max_aantal_psgrs": F.col("max_aantal_psgrs") + F.col("vluchtnummer").cast("int") % 2})
+
+
+def flight_violations(spark: SparkSession, folder: str) -> DataFrame:
+    return admission.admit_flights(project(spark, folder), _flight_rows(spark, folder, new=False)).violations
+
+
+def flights_taken(spark: SparkSession, folder: str) -> DataFrame:
+    return admission.admit_flights(project(spark, folder), _flight_rows(spark, folder, new=True)).accepted
+
+
 # --- history -----------------------------------------------------------------------------------------
 
 
@@ -513,6 +554,10 @@ QUERIES: dict[str, Query] = {
     "admit_statement_as_written": lambda s, d: statement_violations(s, d, as_written=True),
     "admit_statement_refused": refused_statement,
     "admit_statement_accepted": accepted_statement,
+    "admit_desks": desk_violations,
+    "admit_desks_accepted": desks_taken,
+    "admit_flights": flight_violations,
+    "admit_flights_accepted": flights_taken,
     "admit_rows": admitted_rows,
     "admit_capacity": capacity,
     "admit_capacity_as_written": lambda s, d: capacity(s, d, as_written=True),

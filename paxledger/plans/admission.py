@@ -20,6 +20,7 @@ from paxledger.operators.ordered import interval_hits, least_overlapping, runnin
 from paxledger.plans import keys, rules
 from paxledger.plans.changes import upsert_bookings
 from paxledger.session import settle
+from paxledger.sources.schema import FOREIGN_KEYS, TABLES
 from paxledger.sources.tables import incoming, lacks
 
 REQUEST = ["seq", *BOOKING, "balienummer", "inchecktijdstip", "stoel"]
@@ -368,3 +369,57 @@ def admit_statement(
     ]
     violations = reduce(DataFrame.unionByName, found)
     return Statement(accepted=batch.where(~violations.exists()), violations=violations)
+
+
+def _keyed(rows: DataFrame, table: str, rule: str) -> DataFrame:
+    return rows.select(F.lit(rule).alias("rule"), *TABLES[table].key)
+
+
+def _row_violations(t: Mapping[str, DataFrame], table: str, batch: DataFrame) -> list[DataFrame]:
+    """What a batch of whole rows of ``table`` breaks by itself: NOT NULL, its keys, its foreign keys."""
+    key = list(TABLES[table].key)
+    twice = batch.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1")
+    found = [_keyed(batch.where(lacks(table, batch.columns)), table, "not_null"), _keyed(twice, table, "pk")]
+    for fk in FOREIGN_KEYS:
+        if fk.child == table:
+            orphans = keys.fk_orphans(batch, t[fk.parent], list(fk.columns), list(fk.parent_columns))
+            found.append(_keyed(orphans, table, f"fk_{fk.parent}"))
+    return found
+
+
+def _judged(batch: DataFrame, found: list[DataFrame]) -> Statement:
+    violations = settle(reduce(DataFrame.unionByName, found), "violations")
+    return Statement(accepted=batch.where(~violations.exists()), violations=violations)
+
+
+def admit_desks(t: Mapping[str, DataFrame], batch: DataFrame) -> Statement:
+    """Desks of flights (rows of ``inchecken_voor_vlucht``), new or changed, taken whole or not at all.
+
+    A desk must be one of the flight's airline and of its destination (rule 8a). A row that is stored already
+    is judged like any other and taken once. ``violations`` has rule, balienummer, vluchtnummer.
+    """
+    table = "inchecken_voor_vlucht"
+    rows = settle(incoming(batch.select(*TABLES[table].names), table), "desks")
+    barred = rules.rule08a_desk_allowed(t.replacing(inchecken_voor_vlucht=rows.distinct()))
+    return _judged(rows, [*_row_violations(t, table, rows), _keyed(barred, table, "rule08a_desk_allowed")])
+
+
+def admit_flights(t: Mapping[str, DataFrame], batch: DataFrame) -> Statement:
+    """Flights as whole rows, new ones and new values of stored ones, taken whole or not at all.
+
+    Booked flights keep their values (rule 2), and places times weight per person stays within the total (rule 6).
+    ``violations`` has rule and vluchtnummer.
+    """
+    table = "vlucht"
+    rows = settle(incoming(batch.select(*TABLES[table].names), table), "flights")
+    stored = t[table].join(rows.select("vluchtnummer").distinct(), "vluchtnummer", "left_semi")
+    changed = rules.rule02_changed_booked_flights(stored, rows, t["passagier_voor_vlucht"])
+    heavy = rules.rule06_weight_budget(t.replacing(vlucht=rows))
+    return _judged(
+        rows,
+        [
+            *_row_violations(t, table, rows),
+            _keyed(changed, table, "rule02_changed_booked_flights"),
+            _keyed(heavy, table, "rule06_weight_budget"),
+        ],
+    )

@@ -19,7 +19,7 @@ EAGER = {
     "load_tables", "write_version", "audit_all", "audit_summary", "admit_rows", "admit_statement",
     "admit_statement_as_written", "admit_statement_refused", "admit_statement_accepted", "admit_capacity",
     "admit_capacity_as_written", "stream_row_rules", "stream_admit", "add_baggage", "register_airline", "guard_flight_update",
-    "guard_flight_update_as_written", "rule02_changed_booked_flights", "rule02_as_written", "history_all", "delete_cascade",
+    "admit_desks", "admit_desks_accepted", "admit_flights", "admit_flights_accepted", "guard_flight_update_as_written", "rule02_changed_booked_flights", "rule02_as_written", "history_all", "delete_cascade",
     "delete_cascade_refused", "rekey_cascade", "rekey_cascade_refused",
 }
 #: Compared on every run; ORACLE_ALL=1 compares the rest as well.
@@ -28,7 +28,7 @@ CORE = {
     "scalar_count_join", "global_exists_gate", "flight_load", "duplicate_seats", "scalar_functions", "rule01_pair_null",
     "rule02_changed_booked_flights", "rule03_late_checkin", "rule04_over_capacity", "rule05_baggage_limit",
     "rule06_weight_budget", "rule07_seat_unique", "rule08a_desk_allowed", "rule08b_booking_desk", "rule09_airline_has_desk",
-    "rule10_overlap", "pk_duplicates", "fk_orphans", "not_null_violations", "admit_capacity", "upsert_bookings", "add_baggage",
+    "rule10_overlap", "pk_duplicates", "fk_orphans", "not_null_violations", "admit_capacity", "admit_desks", "admit_flights_accepted", "admit_rows", "audit_all", "upsert_bookings", "add_baggage",
     "register_airline", "guard_flight_update", "backfill_flights", "delete_cascade", "rekey_cascade", "history_rows",
     "as_of_state",
 }
