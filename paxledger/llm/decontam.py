@@ -13,6 +13,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,8 @@ WINDOWS = (16, 24, 32, 48, 64)
 FEATURES, DF_BUCKETS = 1 << 18, 1 << 16
 #: Passages that share one latent space, its dimensions at most and the part of their energy that it has to hold.
 BLOCK, RANK, ENERGY, OVERSAMPLE = 224, 224, 0.98, 16
+#: Blocks that one pass over the documents searches: about 4 MB each on every executor.
+TOGETHER = 8
 COSINE = 0.45
 #: Parts of a passage's words in the common subsequence: alone, and together with that part of the answer.
 LCS_ALONE, LCS_WITH_ANSWER, ANSWER = 0.8, 0.6, 0.8
@@ -121,7 +124,8 @@ def _summed(key: str, value: str):
         for batch in batches:
             for k, v in zip(batch[key], batch[value]):
                 total[k] = total[k] + v if k in total else np.array(v)
-        yield pd.DataFrame({key: list(total), value: [v.tolist() for v in total.values()]})
+        if total:
+            yield pd.DataFrame({key: list(total), value: [v.tolist() for v in total.values()]})
 
     return add
 
@@ -148,7 +152,8 @@ def latent_space(passages: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, np.n
             y = weight @ _noise(feature, dims)
             for f, w in zip(feature.tolist(), weight):
                 total[f] = total.get(f, 0.0) + w * y
-        yield pd.DataFrame({"feature": list(total), "row": [v.tolist() for v in total.values()]})
+        if total:
+            yield pd.DataFrame({"feature": list(total), "row": [v.tolist() for v in total.values()]})
 
     kind = "feature bigint, row array<double>"
     summed = passages.mapInPandas(spread, kind).repartition("feature").mapInPandas(_summed("feature", "row"), kind)
@@ -222,14 +227,11 @@ class Index:
                 for p in np.flatnonzero(cosine >= COSINE):
                     yield s, e, float(cosine[p]), int(p)
 
-    def leaks(self, text: str) -> Iterator[tuple[int, float, int, int, int, int]]:
+    def leaks(self, words: list[bytes], h: np.ndarray) -> Iterator[tuple[int, float, int, int, int, int]]:
         """(item_id, cosine, common words, words, common words of the answer, words of the answer), the best of each item."""
-        words = words_of(text)
-        if not words:
-            return
         best: dict[int, tuple] = {}
         seen: dict[tuple[int, int, int], tuple[int, int]] = {}
-        for s, e, cosine, p in self.candidates(hashes(words)):
+        for s, e, cosine, p in self.candidates(h):
             passage = self.passages[p]
             n = len(passage.words)
             reach = -(-n // 4)
@@ -249,8 +251,23 @@ class Index:
         yield from best.values()
 
 
+def leaks_of(indexes: list[Index], text: str) -> Iterator[tuple[int, float, int, int, int, int]]:
+    """The leaks of a text under each of the indexes; its words are taken once."""
+    words = words_of(text)
+    if words:
+        h = hashes(words)
+        for index in indexes:
+            yield from index.leaks(words, h)
+
+
+def in_lots(indexes: Iterator[Index]) -> Iterator[list[Index]]:
+    """Up to ``TOGETHER`` indexes at a time, for one pass over the documents."""
+    while lot := list(islice(indexes, TOGETHER)):
+        yield lot
+
+
 def build_indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[Index]:
-    """An index for each block of the benchmark; one at a time is held."""
+    """An index for each block of the benchmark."""
     idf = idf_table(docs)
     items = settle(
         benchmark.select(
@@ -258,8 +275,10 @@ def build_indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[Index]:
         ).where("item_id IS NOT NULL").distinct(),
         "leak-items",
     )
-    # Blocks by number of passages: an item of w words has about w / 32.
-    sized = items.select("item_id", "text", (1 + F.floor(F.length("text") / (PASSAGE * 2))).alias("_n"))
+    # Blocks by number of passages, of which an item beyond the first has one for each half passage of words.
+    n_words = F.size(F.split("text", r"\s+"))
+    passages_in = 1 + F.greatest(F.lit(0), F.ceil((n_words - PASSAGE) / (PASSAGE // 2)))
+    sized = items.select("item_id", "text", passages_in.alias("_n"))
     total = sized.agg(F.sum("_n")).first()[0]
     if not total:
         return
@@ -282,9 +301,8 @@ _HITS = "doc_id bigint, item_id bigint, cosine double, common int, words int, an
 
 def _search(shared):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = shared.value
         for batch in batches:
-            rows = [(doc, *hit) for doc, text in zip(batch["doc"], batch["text"]) for hit in index.leaks(text)]
+            rows = [(doc, *hit) for doc, text in zip(batch["doc"], batch["text"]) for hit in leaks_of(shared.value, text)]
             yield pd.DataFrame(rows, columns=["doc", *[c.split()[0] for c in _HITS.split(", ")[1:]]])
 
     return search
@@ -300,8 +318,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     plain = texts(docs).select(F.col("doc_id").cast("string").alias("doc"), "text")
     found = spark.createDataFrame([], _HITS.replace("doc_id bigint", "doc string"))
-    for index in build_indexes(docs, benchmark):
-        shared = spark.sparkContext.broadcast(index)
+    for lot in in_lots(build_indexes(docs, benchmark)):
+        shared = spark.sparkContext.broadcast(lot)
         found = found.unionByName(plain.mapInPandas(_search(shared), _HITS.replace("doc_id bigint", "doc string")))
     best = F.max_by(F.struct("cosine", "common", "words", "answer_common", "answer_words"), F.struct(F.col("common") / F.col("words"), "cosine"))
     grouped = found.groupBy(F.col("doc").cast("long").alias("doc_id"), "item_id").agg(best.alias("b"))
@@ -312,15 +330,15 @@ def _clean(shared):
     @F.pandas_udf("boolean")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([next(shared.value.leaks(t), None) is None for t in batch], dtype=bool)
+            yield pd.Series([next(leaks_of(shared.value, t), None) is None for t in batch], dtype=bool)
 
     return clean(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, with their columns, that hold no benchmark passage."""
-    for index in build_indexes(docs.select("doc_id", "text"), benchmark):
-        docs = docs.where(_clean(docs.sparkSession.sparkContext.broadcast(index)))
+    for lot in in_lots(build_indexes(docs.select("doc_id", "text"), benchmark)):
+        docs = docs.where(_clean(docs.sparkSession.sparkContext.broadcast(lot)))
     return docs
 
 
