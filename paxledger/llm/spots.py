@@ -94,7 +94,7 @@ def ranged(rows: DataFrame) -> tuple[DataFrame, Column]:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text, next_text: the text of the next document by doc_id, after the last that of the first.
+    """doc_id, text, sigs, next_text, next_sigs: text and signatures, and those of the next document by doc_id, after the last the first's.
 
     Nulls come first and rows of one id by their text, so the result doesn't depend on how rows are dealt out. Text
     is shuffled once: ranges of ids are sorted each by itself, and only the first text of a range travels to the one
@@ -114,9 +114,18 @@ def with_next(docs: DataFrame) -> DataFrame:
         .join(firsts, F.col("_then") == F.col("_range"))
         .select("_here", "_first")
     )
-    led = placed.withColumn("_lead", F.lead("text").over(Window.partitionBy("_range").orderBy(*order)))
+    line = Window.partitionBy("_range").orderBy(*order)
+    # Signatures are made before the sort and travel with the text, so that each text is taken apart once.
+    marked = placed.withColumn("sigs", signatures(F.col("text")))
+    led = marked.select("*", F.lead("text").over(line).alias("_lead"), F.lead("sigs").over(line).alias("_lead_sigs"))
     led = led.join(joined, F.col("_range") == F.col("_here"))
-    return led.select("doc_id", "text", F.coalesce("_lead", "_first").alias("next_text"))
+    return led.select(
+        "doc_id",
+        "text",
+        "sigs",
+        F.coalesce("_lead", "_first").alias("next_text"),
+        F.coalesce(F.col("_lead_sigs"), signatures(F.col("_first"))).alias("next_sigs"),
+    )
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -131,9 +140,9 @@ def op9_spotsigs(spark: SparkSession, docs: DataFrame) -> DataFrame:
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        signatures(F.col("text")).alias("a"),
+        F.col("sigs").alias("a"),
         signatures(F.col("edited")).alias("b"),
-        signatures(F.col("next_text")).alias("c"),
+        F.col("next_sigs").alias("c"),
     )
     return sets.select(
         "doc_id",
