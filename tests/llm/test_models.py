@@ -196,6 +196,19 @@ def test_packing(spark):
     assert packing.pack(nasty.nothing(spark)).count() == 0
 
 
+def test_ids_of_added_tokens():
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    encode = packing.encoder(packing.vocabulary_path())
+    assert encode("hello <|endoftext|> world") == [31373, 220, 50256, 995]
+    tokenizer = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    rng = random.Random(3)
+    bits = ["<|endoftext|>", "<|endoftext", "<|", "|>", "hello", " ", "  ", "\n", "'s", "é", "🎉", "12", ""]
+    for text in [t or "" for _, t in nasty.TEXTS] + ["".join(rng.choices(bits, k=12)) for _ in range(500)]:
+        assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 # Chat
 
 
