@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paxledger.llm.common import settle, table, texts
+from paxledger.llm.common import bins_for, numbered, settle, table, texts
 
 #: Words of a passage at most; passages of one item overlap by half.
 PASSAGE = 64
@@ -30,8 +30,8 @@ LEAST_WORDS = 5
 WINDOWS = (16, 24, 32, 48, 64)
 #: Hash buckets of words: as features, and for document frequencies.
 FEATURES, DF_BUCKETS = 1 << 18, 1 << 16
-#: Passages that share one latent space, its dimensions at most and the part of their energy that it has to hold.
-BLOCK, RANK, ENERGY, OVERSAMPLE = 224, 224, 0.98, 16
+#: Passages that share one latent space at most, and the part of its energy that each of them has to keep there.
+BLOCK, ENERGY, OVERSAMPLE = 224, 0.98, 16
 #: Blocks that one pass over the documents searches: about 4 MB each on every executor.
 TOGETHER = 8
 COSINE = 0.45
@@ -133,18 +133,17 @@ def _summed(key: str, value: str):
 def latent_space(passages: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(features, basis) of the right singular vectors of the passages' matrix A, by randomised SVD.
 
-    ``passages``: item_id, text of one block. Tasks sum up A'(A R) for a random R, of which the driver keeps a row
+    ``passages``: words of one block. Tasks sum up A'(A R) for a random R, of which the driver keeps a row
     for each feature of the block; an orthogonal basis Q of its columns, then Q'A'AQ, again summed up by tasks,
-    whose eigenvectors turn Q into singular vectors. Dimensions beyond ``ENERGY`` are left out.
+    whose eigenvectors turn Q into singular vectors, by falling energy. A block has no more passages than there are
+    dimensions, so that only those without energy are left out.
     """
-    dims = RANK + OVERSAMPLE
+    dims = BLOCK + OVERSAMPLE
 
     def rows(batches):
         for batch in batches:
-            for item, text in zip(batch["item_id"], batch["text"]):
-                for p in passages_of(item, text):
-                    if len(p.words) >= LEAST_WORDS:
-                        yield vector(p.words, idf)
+            for words in batch["words"]:
+                yield vector(words.split(), idf)
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[int, np.ndarray] = {}
@@ -176,8 +175,15 @@ def latent_space(passages: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, np.n
     g = np.array([r.row for r in sorted(parts.collect(), key=lambda r: r.at)])
     value, turn = np.linalg.eigh(g)
     value, turn = np.maximum(value[::-1], 0), turn[:, ::-1]
-    keep = min(RANK, 1 + int(np.searchsorted(np.cumsum(value), ENERGY * value.sum())))
-    return features, (q @ turn[:, :keep]).astype(np.float32)
+    keep = value > 1e-12 * value.sum()
+    return features, (q @ turn[:, keep]).astype(np.float32)
+
+
+def shortened(latent: np.ndarray) -> np.ndarray:
+    """Passages in as many dimensions as leave each of them ``ENERGY``, scaled so that a passage's own text has cosine one."""
+    kept = np.cumsum(latent.astype(np.float64) ** 2, axis=1)
+    keep = min(latent.shape[1], 1 + int((kept < ENERGY).sum(axis=1).max()))
+    return (latent[:, :keep] / kept[:, keep - 1 : keep]).astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -266,6 +272,17 @@ def in_lots(indexes: Iterator[Index]) -> Iterator[list[Index]]:
         yield lot
 
 
+def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = [
+            (item, at, b" ".join(p.words), b" ".join(p.answer))
+            for item, text in zip(batch["item_id"], batch["text"])
+            for at, p in enumerate(passages_of(item, text))
+            if len(p.words) >= LEAST_WORDS
+        ]
+        yield pd.DataFrame(rows, columns=["item_id", "at", "words", "answer"])
+
+
 def build_indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[Index]:
     """An index for each block of the benchmark."""
     idf = idf_table(docs)
@@ -275,25 +292,23 @@ def build_indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[Index]:
         ).where("item_id IS NOT NULL").distinct(),
         "leak-items",
     )
-    # Blocks by number of passages, of which an item beyond the first has one for each half passage of words.
-    n_words = F.size(F.split("text", r"\s+"))
-    passages_in = 1 + F.greatest(F.lit(0), F.ceil((n_words - PASSAGE) / (PASSAGE // 2)))
-    sized = items.select("item_id", "text", passages_in.alias("_n"))
-    total = sized.agg(F.sum("_n")).first()[0]
-    if not total:
-        return
+    # Passages, not items, are dealt to blocks: a long item fills several.
+    cut = settle(items.mapInPandas(_cut, "item_id bigint, at bigint, words binary, answer binary"), "leak-passages")
+    total = cut.count()
     blocks = -(-total // BLOCK)
-    dealt = settle(sized.withColumn("_block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "leak-blocks") if blocks > 1 else sized.withColumn("_block", F.lit(0))
+    order = ["item_id", "at", "words"]
+    dealt = cut.withColumn("_block", F.lit(0))
+    if blocks > 1:
+        nr = numbered(cut, [], bins_for(total), F.xxhash64(*order), order, "_nr")
+        dealt = settle(nr.withColumn("_block", F.floor(F.col("_nr") / BLOCK)), "leak-blocks")
     for block in range(blocks):
-        part = dealt.where(F.col("_block") == block).select("item_id", "text")
+        part = dealt.where(F.col("_block") == block).select("item_id", "words", "answer")
         features, basis = latent_space(part, idf)
-        passages = [p for r in part.collect() for p in passages_of(r.item_id, r.text) if len(p.words) >= LEAST_WORDS]
-        if not passages:
-            continue
+        passages = [Passage(r.item_id, tuple(bytes(r.words).split()), tuple(bytes(r.answer).split())) for r in part.collect()]
         row_of = np.full(FEATURES, -1, np.int32)
         row_of[features] = np.arange(len(features))
-        latent = np.stack([w.astype(np.float32) @ basis[row_of[f]] for f, w in (vector(p.words, idf) for p in passages)])
-        yield Index(passages, latent, row_of, basis, idf)
+        latent = shortened(np.stack([w.astype(np.float32) @ basis[row_of[f]] for f, w in (vector(p.words, idf) for p in passages)]))
+        yield Index(passages, latent, row_of, basis[:, : latent.shape[1]], idf)
 
 
 _HITS = "doc_id bigint, item_id bigint, cosine double, common int, words int, answer_common int, answer_words int"

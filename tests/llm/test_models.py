@@ -105,6 +105,22 @@ def test_leaks_in_several_blocks(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(nasty.documents(spark, docs), bench).collect()} == want
 
 
+def test_leaks_of_a_very_long_item(spark):
+    """An item of 900 passages, with its words parted by signs alone: every passage finds its own text."""
+    words = [f"w{i}q" for i in range(450 * decontam.PASSAGE)]
+    bench = spark.createDataFrame([(1, "-".join(words)), *ITEMS[:3]], "item_id bigint, text string")
+    docs = [(i, nasty.prose(3000 + i, 20) + " " + " ".join(words[s : s + decontam.PASSAGE])) for i, s in enumerate(range(0, len(words), 2880))]
+    docs += [(500 + i, nasty.prose(2000 + i, 400)) for i in range(9)]
+    frame = nasty.documents(spark, docs)
+    indexes = list(decontam.build_indexes(frame, bench))
+    assert sum(len(x.passages) for x in indexes) == 902 and all(len(x.passages) <= decontam.BLOCK for x in indexes)
+    for x in indexes:
+        for p, row in zip(x.passages, x.latent):
+            feature, weight = decontam.vector(p.words, x.idf)
+            assert row @ (weight.astype(np.float32) @ x.basis[x.row_of[feature]]) > 0.99
+    assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(frame, bench).collect()} == {(i, 1) for i in range(10)}
+
+
 def test_candidates_against_brute_force():
     """Recall of the latent search: windows whose full TF-IDF cosine is well above the threshold are candidates."""
     docs, _ = leak_cases()
