@@ -26,9 +26,10 @@ from paxledger.llm.common import bins_for, numbered, settle, table, texts
 PASSAGE = 64
 #: Passages with fewer words can't be told from chance and are matched nowhere.
 LEAST_WORDS = 5
-#: Words of a document's windows, a quarter of which lies between two starts.
+#: Words of a document's windows, a quarter of which lies between two starts. Passages shorter than these have
+#: windows of their own lengths besides, from every word on.
 WINDOWS = (16, 24, 32, 48, 64)
-#: Hash buckets of words: as features, and for document frequencies.
+#: Hash buckets of words: as features, and for document frequencies of words that no passage has.
 FEATURES, DF_BUCKETS = 1 << 18, 1 << 16
 #: Passages that share one latent space at most, and the part of its energy that each of them has to keep there.
 BLOCK, ENERGY, OVERSAMPLE = 224, 0.98, 16
@@ -83,32 +84,68 @@ def common_words(a: tuple[bytes, ...], b: list[bytes]) -> int:
     return len(a) - row.bit_count()
 
 
-def _document_frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total, rows = np.zeros(DF_BUCKETS, np.int64), 0
+#: Sorted hashes of the passages' words and their inverse document frequencies.
+Own = tuple[np.ndarray, np.ndarray]
+
+
+def places(h: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of ``h`` lies in the sorted ``among``, and whether it does."""
+    if not len(among):
+        return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+    at = np.minimum(np.searchsorted(among, h), len(among) - 1)
+    return at, among[at] == h
+
+
+def weights(h: np.ndarray, idf: np.ndarray, own: Own | None) -> np.ndarray:
+    """Weights of words. A bucket's words are at least as rare as the bucket, so a window's length is never overrated."""
+    weight = idf[h & np.uint32(DF_BUCKETS - 1)]
+    if own is not None:
+        at, held = places(h, own[0])
+        weight[held] = own[1][at[held]]
+    return weight
+
+
+def _document_frequencies(shared):
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = shared.value
+        total, rows = np.zeros(DF_BUCKETS + len(own), np.int64), 0
+        for batch in batches:
+            for text in batch["text"]:
+                h = np.unique(hashes(list(set(words_of(text)))))
+                total[np.unique(h & np.uint32(DF_BUCKETS - 1))] += 1
+                at, held = places(h, own)
+                total[DF_BUCKETS + at[held]] += 1
+                rows += 1
+        held = np.flatnonzero(total)
+        yield pd.DataFrame({"bucket": np.append(held, -1), "df": np.append(total[held], rows)})
+
+    return count
+
+
+def _vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for text in batch["text"]:
-            h = hashes(list(set(words_of(text))))
-            total[np.unique(h & np.uint32(DF_BUCKETS - 1))] += 1
-            rows += 1
-    held = np.flatnonzero(total)
-    yield pd.DataFrame({"bucket": np.append(held, -1), "df": np.append(total[held], rows)})
-
-
-def idf_table(docs: DataFrame) -> np.ndarray:
-    """Inverse document frequency of each bucket, counted over all of ``docs``: a table of fixed size."""
-    counted = texts(docs).select("text").mapInPandas(_document_frequencies, "bucket bigint, df bigint")
-    df = np.zeros(DF_BUCKETS + 1)
+        yield pd.DataFrame({"h": np.unique(hashes([w for words in batch["words"] for w in words.split()])).astype(np.int64)})
+
+
+def idf_table(docs: DataFrame, passages: DataFrame) -> tuple[np.ndarray, Own]:
+    """Inverse document frequencies over all of ``docs``: of each word of ``passages``, and of buckets for all others."""
+    vocabulary = passages.select("words").mapInPandas(_vocabulary, "h bigint").distinct().collect()
+    own = np.sort(np.array([r.h for r in vocabulary], np.uint32))
+    shared = docs.sparkSession.sparkContext.broadcast(own)
+    counted = texts(docs).select("text").mapInPandas(_document_frequencies(shared), "bucket bigint, df bigint")
+    df = np.zeros(DF_BUCKETS + len(own) + 1)
     for bucket, n in counted.groupBy("bucket").agg(F.sum("df")).collect():
         df[bucket] = n
     n = df[-1]
-    return np.log((n + 1) / (df[:-1] + 1)) + 1e-3
+    idf = np.log((n + 1) / (df[:-1] + 1)) + 1e-3
+    return idf[:DF_BUCKETS], (own, idf[DF_BUCKETS:])
 
 
-def vector(words, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def vector(words, idf: np.ndarray, own: Own | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Features and weights of a passage, of length one."""
     h = hashes(list(words))
     feature, first, count = np.unique(h & np.uint32(FEATURES - 1), return_index=True, return_counts=True)
-    weight = count * idf[h[first] & np.uint32(DF_BUCKETS - 1)]
+    weight = count * weights(h[first], idf, own)
     norm = np.sqrt((weight**2).sum())
     return feature.astype(np.int64), weight / (norm or 1.0)
 
@@ -130,7 +167,7 @@ def _summed(key: str, value: str):
     return add
 
 
-def latent_space(passages: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def latent_space(passages: DataFrame, idf: np.ndarray, own: Own) -> tuple[np.ndarray, np.ndarray]:
     """(features, basis) of the right singular vectors of the passages' matrix A, by randomised SVD.
 
     ``passages``: words of one block. Tasks sum up A'(A R) for a random R, of which the driver keeps a row
@@ -143,7 +180,7 @@ def latent_space(passages: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, np.n
     def rows(batches):
         for batch in batches:
             for words in batch["words"]:
-                yield vector(words.split(), idf)
+                yield vector(words.split(), idf, own)
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[int, np.ndarray] = {}
@@ -195,17 +232,25 @@ class Index:
     row_of: np.ndarray  # of the basis for each feature, -1 for those without
     basis: np.ndarray
     idf: np.ndarray
+    own: Own | None = None
 
-    @cached_property
-    def reach(self) -> np.ndarray:
-        """For each feature the most that it adds to the product of a window with any passage, for a weight of one."""
+    def _reach(self, latent: np.ndarray) -> np.ndarray:
+        """For each feature the most that it adds to the product of a window with one of the passages, for a weight of one."""
         most = np.zeros(FEATURES)
         held = self.row_of >= 0
         for at in range(0, len(self.basis), 4096):
-            part = np.abs(self.basis[at : at + 4096] @ self.latent.T).max(axis=1)
+            part = np.abs(self.basis[at : at + 4096] @ latent.T).max(axis=1)
             most[np.flatnonzero(held)[at : at + 4096]] = part
         return most
 
+    @cached_property
+    def searched(self) -> list[tuple[list[tuple[int, int]], np.ndarray, np.ndarray, np.ndarray]]:
+        """(lengths and steps of windows, numbers of the passages they are compared with, their rows, their reach)."""
+        sizes = np.array([len(p.words) for p in self.passages])
+        every, short = np.arange(len(sizes)), np.flatnonzero(sizes < WINDOWS[0])
+        kinds = [([(n, n // 4) for n in WINDOWS], every), ([(n, 1) for n in np.unique(sizes[short]).tolist()], short)]
+        return [(windows, which, self.latent[which], self._reach(self.latent[which])) for windows, which in kinds if len(which)]
+
     def candidates(self, h: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
         """(start, length, cosine, passage) for each window and passage of at least ``COSINE``.
 
@@ -213,12 +258,16 @@ class Index:
         least the root of their squares; only windows for which that leaves room are projected.
         """
         feature_of = h & np.uint32(FEATURES - 1)
-        weight = self.idf[h & np.uint32(DF_BUCKETS - 1)]
+        weight = weights(h, self.idf, self.own)
         energy = np.concatenate(([0.0], np.cumsum(weight**2)))
-        most = np.concatenate(([0.0], np.cumsum(weight * self.reach[feature_of])))
-        for length in WINDOWS:
-            start = np.arange(0, max(1, len(h) - length + length // 4), length // 4)
-            end = np.minimum(start + length, len(h))
+        for windows, which, latent, reach in self.searched:
+            most = np.concatenate(([0.0], np.cumsum(weight * reach[feature_of])))
+            yield from self._candidates(windows, which, latent, feature_of, weight, energy, most)
+
+    def _candidates(self, windows, which, latent, feature_of, weight, energy, most) -> Iterator[tuple[int, int, float, int]]:
+        for length, step in windows:
+            start = np.arange(0, max(1, len(weight) - length + step), step)
+            end = np.minimum(start + length, len(weight))
             room = most[end] - most[start] >= COSINE * np.sqrt(energy[end] - energy[start]) - 1e-6
             for s, e in zip(start[room].tolist(), end[room].tolist()):
                 feature, first, count = np.unique(feature_of[s:e], return_index=True, return_counts=True)
@@ -229,9 +278,9 @@ class Index:
                 if not norm or not known.any():
                     continue
                 z = (w[known] / norm).astype(np.float32) @ self.basis[r[known]]
-                cosine = self.latent @ z
+                cosine = latent @ z
                 for p in np.flatnonzero(cosine >= COSINE):
-                    yield s, e, float(cosine[p]), int(p)
+                    yield s, e, float(cosine[p]), int(which[p])
 
     def leaks(self, words: list[bytes], h: np.ndarray) -> Iterator[tuple[int, float, int, int, int, int]]:
         """(item_id, cosine, common words, words, common words of the answer, words of the answer), the best of each item."""
@@ -285,7 +334,6 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def build_indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[Index]:
     """An index for each block of the benchmark."""
-    idf = idf_table(docs)
     items = settle(
         benchmark.select(
             F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
@@ -295,6 +343,9 @@ def build_indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[Index]:
     # Passages, not items, are dealt to blocks: a long item fills several.
     cut = settle(items.mapInPandas(_cut, "item_id bigint, at bigint, words binary, answer binary"), "leak-passages")
     total = cut.count()
+    if not total:
+        return
+    idf, own = idf_table(docs, cut)
     blocks = -(-total // BLOCK)
     order = ["item_id", "at", "words"]
     dealt = cut.withColumn("_block", F.lit(0))
@@ -303,12 +354,12 @@ def build_indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[Index]:
         dealt = settle(nr.withColumn("_block", F.floor(F.col("_nr") / BLOCK)), "leak-blocks")
     for block in range(blocks):
         part = dealt.where(F.col("_block") == block).select("item_id", "words", "answer")
-        features, basis = latent_space(part, idf)
+        features, basis = latent_space(part, idf, own)
         passages = [Passage(r.item_id, tuple(bytes(r.words).split()), tuple(bytes(r.answer).split())) for r in part.collect()]
         row_of = np.full(FEATURES, -1, np.int32)
         row_of[features] = np.arange(len(features))
-        latent = shortened(np.stack([w.astype(np.float32) @ basis[row_of[f]] for f, w in (vector(p.words, idf) for p in passages)]))
-        yield Index(passages, latent, row_of, basis[:, : latent.shape[1]], idf)
+        latent = shortened(np.stack([w.astype(np.float32) @ basis[row_of[f]] for f, w in (vector(p.words, idf, own) for p in passages)]))
+        yield Index(passages, latent, row_of, basis[:, : latent.shape[1]], idf, own)
 
 
 _HITS = "doc_id bigint, item_id bigint, cosine double, common int, words int, answer_common int, answer_words int"

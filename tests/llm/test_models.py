@@ -116,11 +116,33 @@ def test_leaks_of_a_very_long_item(spark):
     assert sum(len(x.passages) for x in indexes) == 902 and all(len(x.passages) <= decontam.BLOCK for x in indexes)
     for x in indexes:
         for p, row in zip(x.passages, x.latent):
-            feature, weight = decontam.vector(p.words, x.idf)
+            feature, weight = decontam.vector(p.words, x.idf, x.own)
             assert row @ (weight.astype(np.float32) @ x.basis[x.row_of[feature]]) > 0.99
     assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(frame, bench).collect()} == {(i, 1) for i in range(10)}
 
 
+def test_leaks_of_short_items(spark):
+    """Items of 5 to 15 words that many documents use, verbatim among words that no other document has."""
+    items = [(n, " ".join(f"item{n}x{k}" for k in range(n))) for n in range(5, 16)]
+    docs = [(n, " ".join(f"rare{n}y{k}" for k in range(41)) + f" {t} " + " ".join(f"rare{n}z{k}" for k in range(41))) for n, t in items]
+    used = sorted({w for _, t in items for w in t.split()})
+    docs += [(100 + i, " ".join(f"{w} {nasty.prose(5000 + 997 * i + k, 20)}" for k, w in enumerate(used))) for i in range(60)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    frame = nasty.documents(spark, docs)
+    assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(frame, bench).collect()} == {(n, n) for n, _ in items}
+
+
+def test_frequencies_by_word(spark, monkeypatch):
+    """Words of passages have their own frequencies, however full the buckets are."""
+    monkeypatch.setattr(decontam, "DF_BUCKETS", 1)
+    frame = nasty.documents(spark, [(i, f"often{i % 2} only{i}") for i in range(10)])
+    passages = spark.createDataFrame([(bytearray(b"often1 only3 never"),)], "words binary")
+    idf, own = decontam.idf_table(frame, passages)
+    assert idf.tolist() == [np.log(11 / 11) + 1e-3]
+    got = decontam.weights(decontam.hashes([b"often1", b"only3", b"never", b"only4"]), idf, own)
+    assert np.allclose(got, np.log(11 / np.array([6, 2, 1, 11])) + 1e-3)
+
+
 def test_candidates_against_brute_force():
     """Recall of the latent search: windows whose full TF-IDF cosine is well above the threshold are candidates."""
     docs, _ = leak_cases()
