@@ -257,7 +257,7 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False) -> DataFrame:
     """
     plain = texts(docs)
     signed = settle(
-        plain.select(F.col("doc_id").cast("string").alias("doc"), "text", (F.sha2("text", 256) if with_text_key else F.lit("")).alias("text_key"))
+        plain.select(F.col("doc_id").cast("string").alias("doc"), "text", F.sha2("text", 256).alias("text_key"))
         .mapInPandas(_signed, "doc string, n bigint, set_key binary, sig binary, text_key string")
         .select(F.col("doc").cast("long").alias("doc_id"), "n", "set_key", "sig", "text_key"),
         "near-signed",
@@ -266,7 +266,8 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False) -> DataFrame:
     classes = (
         signed.where("n > 0")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("at"), F.min("sig").alias("sig"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("k"), F.min("sig").alias("sig"))
+        .select("set_key", "sig", F.col("k.doc_id").alias("at"), F.col("k.text_key").alias("at_key"))
         .withColumn("node", F.monotonically_increasing_id())
     )
     nodes = settle(classes, "near-nodes")
@@ -278,12 +279,9 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False) -> DataFrame:
 
     met = shared.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     first = settle(_near(met, nodes), "near-first")
-    # Texts of nodes that share a key, read once more for their sets.
-    wanted = shared.select("node").distinct().join(nodes, "node").select("node", F.col("at").alias("_at"), F.col("set_key").alias("_set"))
-    keyed = plain.join(
-        signed.select(F.col("doc_id").alias("_doc"), "set_key").distinct().join(wanted, F.col("_doc").eqNullSafe(F.col("_at")) & (F.col("set_key") == F.col("_set"))).select("node", "_at"),
-        F.col("doc_id").eqNullSafe(F.col("_at")),
-    )
+    # Texts of nodes that share a key, read once more for their sets: by id and text, since an id may be null or have several.
+    wanted = shared.select("node").distinct().join(nodes, "node").select("node", F.col("at").alias("_at"), F.col("at_key").alias("_key"))
+    keyed = plain.join(wanted, F.col("doc_id").eqNullSafe(F.col("_at")) & (F.sha2("text", 256) == F.col("_key")))
     sets = settle(keyed.select("node", "text").mapInPandas(_sets, "node bigint, shingles binary").distinct(), "near-sets")
     links = settle(_links(first, sets), "near-links")
     comps = settle(components(links), "near-comps")

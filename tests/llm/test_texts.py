@@ -115,6 +115,26 @@ def edits(base: str, n: int, seed: int) -> str:
     return " ".join(words)
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    """Texts without an id, or of the same id, whose signatures are near but whose sets are not, stay apart."""
+    import numpy as np
+
+    given = []
+    for i, d in enumerate([None, 3]):
+        base = nasty.prose(90 + i, 200)
+        words = base.split()
+        words[5::17] = [f"new{i}x{k}" for k in range(len(words[5::17]))]
+        pair = [base, " ".join(words)]
+        a, b = (neardup.shingle_set(t) for t in pair)
+        sigs = np.stack([np.frombuffer(neardup.signature(s), np.uint16) for s in (a, b)])
+        assert not neardup.can_link(len(a), len(b), len(np.intersect1d(a, b))) and (sigs[0] != sigs[1]).sum() <= neardup.DISTANCE
+        keys = neardup.signature_keys(sigs)
+        assert (keys[0] == keys[1]).any()
+        given += [(d, t) for t in pair]
+    kept = neardup.keep_one(nasty.documents(spark, given)).collect()
+    assert {(r.doc_id, r.text) for r in kept} == set(given)
+
+
 def test_near_duplicates(spark):
     base = [nasty.prose(s, 220) for s in (31, 32)]
     given = nasty.TEXTS + [(1000 + i, edits(base[i % 2], i % 13, i)) for i in range(150)]
