@@ -40,6 +40,9 @@ RULES = (
     Rule("hex", 1, HEX),
     Rule("pem", 1, PEM),
 )
+#: For redaction a private key is its head, its base64 body and, if there is one, its END line.
+PEM_KEY = PEM + r"[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]{0,32}PRIVATE KEY-----)?"
+REDACTED = (*RULES[:3], Rule("pem", 2, PEM_KEY))
 BASE = ("assign", "access", "hex")
 
 _SCANNED = "blob string, kind string, version int"
@@ -174,7 +177,7 @@ def redacted(text, spans, mark: str = "[SECRET]"):
 def redact_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with their columns, secrets in ``text`` replaced by a mark and ``n_chars`` counted anew."""
     blob_, doc_, spans_ = spare(docs, "_blob", "_doc", "_spans")
-    found = scan_secrets(docs.select("doc_id", "text")).where(F.size("spans") > 0)
+    found = scan_secrets(docs.select("doc_id", "text"), rules=REDACTED).where(F.size("spans") > 0)
     found = found.select(F.col("blob").alias(blob_), F.col("spans").alias(spans_), F.col("doc_id").alias(doc_)).distinct()
     blob = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
     joined = docs.join(found, (blob == F.col(blob_)) & F.col("doc_id").cast("long").eqNullSafe(F.col(doc_)), "left")
