@@ -55,6 +55,14 @@ def layout(pages: DataFrame) -> DataFrame:
     )
 
 
+def _grown(levels: list[DataFrame], label: str) -> list[DataFrame]:
+    """``levels`` and one more above them."""
+    above = levels[-1].groupBy(F.floor(F.col("node") / FAN).cast("long").alias("_up")).agg(
+        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", "digest"))), lambda x: x["digest"]), ""), 256).alias("digest")
+    )
+    return [*levels, settle(above.withColumnRenamed("_up", "node"), f"{label}-{len(levels)}")]
+
+
 def tree(leaves: DataFrame, label: str) -> list[DataFrame]:
     """Levels of the tree from the leaves up to one root: (node, digest). ``leaves``: place, start, length, record_sha256.
 
@@ -63,11 +71,7 @@ def tree(leaves: DataFrame, label: str) -> list[DataFrame]:
     digest = F.sha2(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("start", "length", "record_sha256")]), 256)
     levels = [settle(leaves.select(F.col("place").alias("node"), digest.alias("digest")), f"{label}-0")]
     while True:
-        below = levels[-1]
-        above = below.groupBy(F.floor(F.col("node") / FAN).cast("long").alias("_up")).agg(
-            F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", "digest"))), lambda x: x["digest"]), ""), 256).alias("digest")
-        )
-        levels.append(settle(above.withColumnRenamed("_up", "node"), f"{label}-{len(levels)}"))
+        levels = _grown(levels, label)
         if levels[-1].count() <= 1:
             return levels
 
@@ -90,6 +94,11 @@ def mismatches(ours: list[DataFrame], theirs: list[DataFrame]) -> DataFrame:
 def audit(leaves: DataFrame, replica: DataFrame) -> DataFrame:
     """``leaves`` with ``intact``: whether the replica's record at that place has the same range and bytes."""
     ours, theirs = tree(leaves, "warc-ours"), tree(replica, "warc-theirs")
+    # Trees of different heights get the same one, so that nodes of one level cover the same places.
+    while len(ours) < len(theirs):
+        ours = _grown(ours, "warc-ours")
+    while len(theirs) < len(ours):
+        theirs = _grown(theirs, "warc-theirs")
     sound = mismatches(ours, theirs) if ours[-1].count() else ours[0].select(F.col("node").alias("place")).limit(0)
     bad = sound.select(F.col("place").alias("_bad"))
     return leaves.join(bad, F.col("place") == F.col("_bad"), "left").withColumn("intact", F.col("_bad").isNull()).drop("_bad")

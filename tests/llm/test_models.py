@@ -312,6 +312,13 @@ def test_audit_finds_what_differs(spark):
     assert archive.op6_merkle_audit(spark, pages.limit(0)).count() == 0
 
 
+def test_audit_of_trees_of_different_heights(spark):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "x") for i in range(17)], "page_id bigint, url string, html string")
+    leaves = archive.settle(archive.layout(pages), "leaves")
+    assert [r.place for r in archive.audit(leaves, leaves.where("place < 16")).where("NOT intact").collect()] == [16]
+    assert archive.audit(leaves.where("place < 16"), leaves).where("NOT intact").count() == 0
+
+
 # Pipeline
 
 
