@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paxledger.llm import archive, chat, decontam, neardup, packing, quality, ratios, secrets, shards, spots, suffixes
+from paxledger.llm import archive, chat, decontam, negatives, neardup, packing, quality, ratios, secrets, shards, spots, suffixes
 from paxledger.llm.common import table
 
 QUERIES = {
@@ -17,10 +17,12 @@ QUERIES = {
     "op9_spotsigs": lambda spark, d: spots.op9_spotsigs(spark, table(spark, d, "documents")),
     "op10_event_sourced_chat": lambda spark, d: chat.op10_event_sourced_chat(spark, table(spark, d, "conversations")),
     "op12_ngram_ratio": ratios.op12_ngram_ratio,
+    "op13_lemp_negatives": negatives.op13_lemp_negatives,
 }
 SQL = {
     "op5_secret_ledger": secrets.OP5_SQL,
     "op6_merkle_audit": archive.OP6_SQL,
     "op10_event_sourced_chat": chat.OP10_SQL,
     "op12_ngram_ratio": ratios.OP12_SQL,
+    "op13_lemp_negatives": negatives.OP13_SQL,
 }
