@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paxledger.llm import archive, chat, decontam, negatives, neardup, packing, quality, ratios, secrets, shards, spots, suffixes
+from paxledger.llm import archive, chat, decontam, negatives, neardup, packing, quality, ratios, runs, secrets, shards, spots, suffixes
 from paxledger.llm.common import table
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_shortest_pack_first": lambda spark, d: packing.op8_shortest_pack_first(spark, table(spark, d, "documents")),
     "op9_spotsigs": lambda spark, d: spots.op9_spotsigs(spark, table(spark, d, "documents")),
     "op10_event_sourced_chat": lambda spark, d: chat.op10_event_sourced_chat(spark, table(spark, d, "conversations")),
+    "op11_scale_tiled_runs": runs.op11_scale_tiled_runs,
     "op12_ngram_ratio": ratios.op12_ngram_ratio,
     "op13_lemp_negatives": negatives.op13_lemp_negatives,
 }
