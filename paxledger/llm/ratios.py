@@ -7,7 +7,7 @@ weights are added up and held against ``THRESHOLD`` times their number, in integ
 verdicts wherever they are computed. DataFrame functions throughout.
 
 Counts are reduced on the map side to at most one row a bucket and task. The weights are one array of fixed size, read
-by a scalar subquery. Texts are shuffled only where the trusted ids are too many for Spark to broadcast.
+by a scalar subquery. Texts are shuffled once, to meet their labels.
 
 Null texts count as empty. Texts without words have no n-grams and fail the base rule. A null doc_id is never trusted.
 Repeated rows are counted and judged each; without labels, or without documents, all weights are 0. Other columns of
@@ -49,22 +49,45 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(plain, BLANKS[0], -1), lambda w: w != "")
 
 
+def _pair(a: Column, b: Column) -> Column:
+    return (F.lit(BUCKETS) + (F.shiftright(a, 16) * 40503 + b % BUCKETS) % BUCKETS).cast("int")
+
+
+def numbers(words: Column) -> Column:
+    return F.transform(words, lambda w: F.crc32(w))
+
+
 def buckets(words: Column) -> Column:
     """The bucket of each word, then of each pair of neighbours."""
 
     def both(m: Column) -> Column:
-        pair = lambda a, b: (F.lit(BUCKETS) + (F.shiftright(a, 16) * 40503 + b % BUCKETS) % BUCKETS).cast("int")
-        pairs = F.zip_with(F.slice(m, 1, F.greatest(F.size(m) - 1, F.lit(0))), F.slice(m, 2, F.size(m)), pair)
+        pairs = F.zip_with(F.slice(m, 1, F.greatest(F.size(m) - 1, F.lit(0))), F.slice(m, 2, F.size(m)), _pair)
         return F.concat(F.transform(m, lambda x: (x % BUCKETS).cast("int")), pairs)
 
-    return _let(F.transform(words, lambda w: F.crc32(w)), both)
+    return _let(numbers(words), both)
+
+
+def total_weight(words: Column, given: Column) -> Column:
+    """The sum of ``given``, the weights in order of the buckets, over the buckets of ``words``."""
+    none = F.lit(0).cast("bigint")
+
+    def added(m: Column) -> Column:
+        # The last word has no word after it.
+        pair = lambda x, i: F.coalesce(F.get(given, _pair(x, F.get(m, i + 1))), F.lit(0).cast("smallint"))
+        each = F.transform(m, lambda x, i: F.get(given, (x % BUCKETS).cast("int")).cast("int") + pair(x, i))
+        return F.aggregate(each, none, lambda s, x: s + x)
+
+    return _let(numbers(words), added)
 
 
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
-    """How many of ``words`` lie in windows of ``window`` (a power of two) words that occur twice or more."""
+    """How many of ``words`` lie in windows of ``window`` words that occur twice or more. ``words`` is read many times over."""
 
-    def doubled(step: int) -> Callable[[Column], Column]:
-        return lambda h: F.zip_with(h, F.slice(h, step + 1, F.size(h)), lambda a, b: F.xxhash64(a, b))
+    def hashed(size: int) -> Column:
+        """A hash of the ``size`` words from each place on."""
+        n = F.greatest(F.size(words) - size + 1, F.lit(0))
+        parts = lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, size)])
+        return F.slice(F.transform(words, parts), 1, n)
 
     def covered(found: Column) -> Column:
         """Length of the union of windows, given their windows sorted as (hash, place)."""
@@ -79,14 +102,10 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
         some = F.size(F.array_distinct(hashes)) < F.size(hashes)
         return F.when(some, _let(ordered, covered)).otherwise(F.lit(0).cast("bigint"))
 
-    def of_words(hashes: Column) -> Column:
-        value, step = hashes, 1
-        while step < window:
-            value, step = _let(value, doubled(step)), step * 2
-        return _let(F.slice(value, 1, F.greatest(F.size(hashes) - window + 1, F.lit(0))), of_windows)
-
-    enough = F.size(words) > window
-    return F.when(enough, _let(F.transform(words, lambda w: F.xxhash64(w)), of_words)).otherwise(F.lit(0).cast("bigint"))
+    # A window that occurs twice begins with a half that does; few texts have any.
+    repeats = _let(hashed(window // 2), lambda h: F.size(F.array_distinct(h)) < F.size(h))
+    enough = (F.size(words) > window) & repeats
+    return F.when(enough, _let(hashed(window), of_windows)).otherwise(F.lit(0).cast("bigint"))
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -99,7 +118,8 @@ def weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row, ``weights``: the weight of every bucket in thousandths, as an array in order of the buckets."""
     marks = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_quality"))
     trusted = marks.where("_id IS NOT NULL").groupBy("_id").agg(F.min("_quality").alias("_least")).where("_least = 1")
-    marked = texts(docs).join(trusted, F.col("doc_id") == F.col("_id"), "left")
+    # Shuffled at every size: labels may be as many as documents, and a table of them is not to be sent to every task.
+    marked = texts(docs).join(trusted.hint("merge"), F.col("doc_id") == F.col("_id"), "left")
     grams = marked.select(
         F.col("_id").isNotNull().alias("trusted"), F.explode(_let(words_of(F.col("text")), buckets)).alias("bucket")
     )
@@ -125,13 +145,10 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: int = THRESHOLD) -> Dat
     text = F.col("text")
 
     def of_words(w: Column) -> Column:
-        total = lambda given: _let(
-            buckets(w), lambda b: F.aggregate(b, F.lit(0).cast("bigint"), lambda s, x: s + F.get(given, x))
-        )
         return F.struct(
             F.size(w).cast("bigint").alias("n_words"),
             repeated_words(w).alias("n_repeat_words"),
-            _let(F.col("_weights"), total).alias("llr_total"),
+            _let(F.col("_weights"), lambda given: total_weight(w, given)).alias("llr_total"),
         )
 
     counted = texts(docs).withColumn("_weights", table_of.scalar()).select(
