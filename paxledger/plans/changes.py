@@ -14,6 +14,7 @@ from paxledger.operators.joins import BOOKING, booked_flights
 from paxledger.session import settle
 from paxledger.sources.schema import FOREIGN_KEYS, TABLES
 from paxledger.sources.tables import incoming, lacks
+from paxledger.sources.versions import Edit
 
 #: Total weight given to flights whose places times weight per person exceed their limit.
 BACKFILL_TOTAL_WEIGHT = 9000
@@ -29,6 +30,12 @@ def last_per_booking(requests: DataFrame) -> DataFrame:
     )
 
 
+def upsert_edit(accepted: DataFrame) -> Edit:
+    """The accepted requests as a change of the stored bookings."""
+    fresh = last_per_booking(accepted)
+    return Edit("passagier_voor_vlucht", fresh, tuple(BOOKING), lambda rows: rows.join(fresh, BOOKING, "left_anti"), fresh)
+
+
 def upsert_bookings(bookings: DataFrame, accepted: DataFrame) -> DataFrame:
     """Bookings after the accepted requests: an existing booking takes over desk, time and seat of its
     last request, a new one is added."""
@@ -98,6 +105,11 @@ def remove_baggage(objects: DataFrame, ids: DataFrame) -> DataFrame:
     return objects.join(ids.select("volgnummer").distinct(), "volgnummer", "left_anti").select(*objects.columns)
 
 
+def remove_baggage_edit(ids: DataFrame) -> Edit:
+    """The same as a change of the stored baggage."""
+    return Edit("object", ids, ("volgnummer",), lambda rows: remove_baggage(rows, ids))
+
+
 @dataclass(frozen=True)
 class Registration:
     airlines: DataFrame

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,27 +59,39 @@ def _shared_root(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the cluster's shared folder; never reused, so a retry cannot meet old files."""
     path = f"{_shared_root(spark)}/paxledger/{label}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
-_scopes: list[list[str]] = []
+#: Work folders of the innermost ``scratch`` of this thread; other threads have their own.
+_scope: ContextVar[list[str] | None] = ContextVar("paxledger_scratch", default=None)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Delete at the end every work folder made inside. What is still to be read must be written elsewhere by then."""
+    """Delete at the end every work folder that this thread makes inside. What is still to be read must be written
+    elsewhere by then. Work of other threads, another stream's for one, is left alone."""
     made: list[str] = []
-    _scopes.append(made)
+    outer = _scope.set(made)
     try:
         yield
     finally:
-        _scopes.remove(made)
-        configuration = spark._jsparkSession.sessionState().newHadoopConf()
+        _scope.reset(outer)
         for path in made:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(configuration).delete(place, True)
+            delete(spark, path)
+
+
+def place(spark: SparkSession, path: str):
+    """The file system that ``path`` lies in, and the path, as Hadoop has them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, where = place(spark, path)
+    files.delete(where, True)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
