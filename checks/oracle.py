@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from checks.queries import AS_OF, DESK, FLIGHT, PASSENGER, SEARCH
+from checks.queries import AS_OF, DESK, FIRST_DESKS, FLIGHT, PASSENGER, SEARCH
 from paxledger.sources.schema import FOREIGN_KEYS, TABLES
 
 def _padded(number: str, width: int) -> str:
@@ -398,6 +398,19 @@ _PVV_VALUES = ["balienummer", "inchecktijdstip", "stoel"]
 _SEATED = "SELECT passagiernummer, vluchtnummer, stoel FROM passagier_voor_vlucht WHERE stoel IS NOT NULL"
 _ADMITTED = "SELECT seq, passagiernummer, vluchtnummer, accepted, broken FROM admitted"
 
+_TURNED = _union(
+    *[
+        _keys(n, f"(SELECT * REPLACE (balienummer - balienummer % 3 + (balienummer + 1) % 3 AS balienummer) FROM {n})", columns)
+        for n, columns in (
+            ("balie", None),
+            ("inchecken_bij_maatschappij", None),
+            ("inchecken_voor_bestemming", None),
+            ("inchecken_voor_vlucht", None),
+            ("passagier_voor_vlucht", [*_BOOKING, "balienummer"]),
+        )
+    ]
+)
+
 QUERY_SQL: dict[str, str] = {
     "load_tables": _union(*[f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {n}" for n in TABLES]),
     "scan_desks": _scan("balie"),
@@ -408,6 +421,8 @@ QUERY_SQL: dict[str, str] = {
     "scan_desk_airlines": _scan("inchecken_bij_maatschappij"),
     "scan_desk_airports": _scan("inchecken_voor_bestemming"),
     "write_version": _scan("vlucht"),
+    "load_tables_rows": _union(*[_keys(n, None, TABLES[n].names) for n in TABLES]),
+    "write_version_as_of": "SELECT * FROM second",
     "passenger_search": _search(f"naam LIKE '%{SEARCH}%'"),
     "passenger_search_literal": _search("contains(naam, '#0000000')").replace("naam, vlucht", "replace(naam, '#', '%') AS naam, vlucht"),
     "passenger_search_wildcards": _search("naam LIKE '%0%7_%'"),
@@ -549,6 +564,7 @@ QUERY_SQL: dict[str, str] = {
         SELECT seq, passagiernummer, vluchtnummer, places IS NOT NULL AND taken + (SELECT count(*) FROM newcomers n
                WHERE n.vluchtnummer = a.vluchtnummer AND n.seq < a.seq) < places AS accepted FROM arrivals a""",
     "upsert_bookings": "SELECT * FROM after_upsert",
+    "upsert_touched_files": "SELECT * FROM after_upsert",
     "add_baggage": """
         SELECT i.seq, i.passagiernummer, i.vluchtnummer, i.gewicht, coalesce(b.ok, false) AS accepted,
                CASE WHEN b.seq IS NULL THEN 'fk_booking' WHEN NOT b.ok THEN 'rule05_baggage_limit' ELSE '' END AS broken
@@ -591,24 +607,19 @@ QUERY_SQL: dict[str, str] = {
         ]
     ),
     "rekey_cascade_refused": _union(
-        _keys(
-            "luchthaven",
-            """(SELECT CASE WHEN luchthavencode IN (SELECT luchthavencode FROM vlucht) OR n > 1 OR x IN (SELECT luchthavencode FROM luchthaven)
-                       THEN luchthavencode ELSE x END AS luchthavencode
-                FROM (SELECT luchthavencode, 'X' || substr(luchthavencode, 2, 2) AS x,
-                             count(*) OVER (PARTITION BY substr(luchthavencode, 2, 2)) AS n FROM luchthaven))""",
-        ),
-        _keys(
-            "inchecken_voor_bestemming",
-            """(SELECT balienummer, CASE WHEN luchthavencode IN (SELECT luchthavencode FROM vlucht)
-                       OR (SELECT count(*) FROM luchthaven l WHERE substr(l.luchthavencode, 2, 2) = substr(b.luchthavencode, 2, 2)) > 1
-                       THEN luchthavencode ELSE 'X' || substr(luchthavencode, 2, 2) END AS luchthavencode
-                FROM inchecken_voor_bestemming b)""",
-        ),
-        """SELECT 'refused' AS table_name, luchthavencode AS row_key FROM (SELECT luchthavencode,
-                  count(*) OVER (PARTITION BY substr(luchthavencode, 2, 2)) AS n FROM luchthaven)
-           WHERE luchthavencode IN (SELECT luchthavencode FROM vlucht) OR n > 1""",
+        *[
+            _keys(
+                n,
+                f"""(SELECT * REPLACE (CASE WHEN luchthavencode IN (SELECT luchthavencode FROM vlucht)
+                                            THEN luchthavencode ELSE 'X' || luchthavencode END AS luchthavencode) FROM {n})""",
+            )
+            for n in ("luchthaven", "inchecken_voor_bestemming")
+        ],
+        """SELECT 'refused' AS table_name, luchthavencode AS row_key FROM luchthaven
+           WHERE luchthavencode IN (SELECT luchthavencode FROM vlucht)""",
     ),
+    "rekey_swap": _TURNED,
+    "rekey_swap_touched_files": _TURNED,
     "history_rows": _history(
         "passagier_voor_vlucht", "second", list(_BOOKING), _PVV_VALUES, AS_OF,
         "b.passagiernummer, b.vluchtnummer, b.balienummer, b.inchecktijdstip, b.stoel",
@@ -630,9 +641,17 @@ QUERY_SQL: dict[str, str] = {
     "as_of_state": "SELECT * FROM second",
     "as_of_state_start": "SELECT * FROM passagier_voor_vlucht",
     "stream_row_rules": "SELECT seq, passagiernummer, vluchtnummer, broken = '' AS accepted, broken FROM checked",
+    "stream_row_rules_live": f"""
+        SELECT seq, passagiernummer, vluchtnummer, broken = '' AS accepted, broken FROM (
+          SELECT seq, passagiernummer, vluchtnummer, CASE
+                 WHEN seq % 2 = 0 AND balienummer > {FIRST_DESKS} AND broken NOT LIKE '%fk_balie%'
+                 THEN concat_ws(',', 'fk_balie', nullif(broken, '')) ELSE broken END AS broken
+          FROM checked)""",
     "stream_admit": _ADMITTED,
 }
 
 
 def sql() -> dict[str, str]:
-    return {name: with_parts(query) for name, query in QUERY_SQL.items()}
+    same = {"remove_baggage_touched_files": "remove_baggage", "delete_cascade_touched_files": "delete_cascade"}
+    queries = {**QUERY_SQL, **{name: QUERY_SQL[other] for name, other in same.items()}}
+    return {name: with_parts(query) for name, query in queries.items()}

@@ -15,6 +15,7 @@ from paxledger.session import settle, work_folder
 from paxledger.sources.projection import StarSource, project, project_handled, project_requests
 from paxledger.sources.schema import FOREIGN_KEYS, TABLES
 from paxledger.sources.tables import Tables, load_tables, scan, scan_desks, write_tables, write_version
+from paxledger.sources.versions import Edit, Store
 from paxledger.streaming import bookings as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +65,84 @@ def written_version(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def loaded_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every value of every table, as text."""
+    t = _stored(spark, folder)
+    return _union(_key_text(t[n], n, TABLES[n].names) for n in t)
+
+
+def _store(spark: SparkSession, tables: dict[str, DataFrame]) -> Store:
+    """Tables as version 0, bookings clustered by flight."""
+    store = Store(spark, work_folder(spark, "store"))
+    store.create(tables, by={"passagier_voor_vlucht": ["vluchtnummer"]})
+    return store
+
+
+def version_between(spark: SparkSession, folder: str) -> DataFrame:
+    """Bookings change twice; asked for are those between the two changes."""
+    store = _store(spark, {"passagier_voor_vlucht": project(spark, folder)["passagier_voor_vlucht"]})
+    name = "passagier_voor_vlucht"
+    people = store.read()[name].select("passagiernummer").distinct()
+    moved = people.where("passagiernummer % 17 = 0 OR passagiernummer % 13 = 0")
+    store.apply([Edit(name, moved, ("passagiernummer",), _without_every_17th)])
+    store.apply([Edit(name, people.where("passagiernummer % 11 = 0"), ("passagiernummer",), _unseated)])
+    return store.read(1)[name]
+
+
+def upserted_files(spark: SparkSession, folder: str) -> DataFrame:
+    store = _store(spark, {"passagier_voor_vlucht": project_handled(spark, folder)})
+    store.apply([changes.upsert_edit(project_requests(spark, folder))])
+    return store.read()["passagier_voor_vlucht"]
+
+
+def removed_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    t = project(spark, folder)
+    store = _store(spark, {"object": t["object"]})
+    over = rules.rule05_baggage_limit(t).select(*joins.BOOKING)
+    store.apply([changes.remove_baggage_edit(t["object"].join(over, joins.BOOKING, "left_semi").select("volgnummer"))])
+    return store.read()["object"]
+
+
+def _after(store: Store, change: cascade.Change, columns: dict[str, list[str]]) -> DataFrame:
+    """The tables of a change, read back from the version that it made, and the keys refused."""
+    store.apply(change.edits)
+    after = store.read()
+    parts = [_key_text(after[e.table], e.table, columns.get(e.table)) for e in change.edits]
+    return _union([*parts, _key_text(change.refused, "refused", change.refused.columns)])
+
+
+def deleted_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Passengers of one market segment go from the stored tables, in one version."""
+    t = project(spark, folder)
+    store = _store(spark, {n: t[n] for n in ("passagier", "passagier_voor_vlucht", "object")})
+    gone = StarSource(spark, folder).raw("customer").where(F.col("c_mktsegment") == "BUILDING")
+    keys_gone = gone.select(F.col("c_custkey").alias("passagiernummer"))
+    return _after(store, cascade.delete_cascade(store.read(), "passagier", keys_gone), {})
+
+
+_DESK_COLUMNS = {"passagier_voor_vlucht": [*joins.BOOKING, "balienummer"]}
+
+
+def _turned(spark: SparkSession, t: Tables) -> DataFrame:
+    """Desks 0 to 2, 3 to 5 and so on pass their numbers round."""
+    desk = F.col("balienummer")
+    return t["balie"].select(desk, (desk - desk % 3 + (desk + 1) % 3).cast("int").alias("new_balienummer"))
+
+
+def turned_desks(spark: SparkSession, folder: str) -> DataFrame:
+    t = project(spark, folder)
+    return _remaining(t, cascade.rekey_cascade(t, "balie", _turned(spark, t)), _DESK_COLUMNS)
+
+
+def turned_in_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in the stored tables, in one version."""
+    t = project(spark, folder)
+    names = [fk.child for fk in FOREIGN_KEYS if fk.parent == "balie"]
+    store = _store(spark, {n: t[n] for n in ("balie", *names)})
+    held = store.read()
+    return _after(store, cascade.rekey_cascade(held, "balie", _turned(spark, held)), _DESK_COLUMNS)
+
+
 # --- scalar functions --------------------------------------------------------------------------------
 
 
@@ -220,9 +299,7 @@ def renumbered_desks(spark: SparkSession, folder: str) -> DataFrame:
 def renamed_airports(spark: SparkSession, folder: str) -> DataFrame:
     """All airports get new codes; those that flights go to are refused."""
     t = project(spark, folder)
-    mapping = t["luchthaven"].select(
-        "luchthavencode", F.concat(F.lit("X"), F.substring("luchthavencode", 2, 2)).alias("new_luchthavencode")
-    )
+    mapping = t["luchthaven"].select("luchthavencode", F.concat(F.lit("X"), "luchthavencode").alias("new_luchthavencode"))
     return _remaining(t, cascade.rekey_cascade(t, "luchthaven", mapping), {})
 
 
@@ -450,11 +527,31 @@ def streamed_row_rules(spark: SparkSession, folder: str) -> DataFrame:
     return _decided(spark.read.parquet(out))
 
 
+#: Desks that are there from the start; the others are set up between two lots.
+FIRST_DESKS = 25
+
+
+def streamed_live_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests with even numbers come while desks are missing, those with odd numbers after they were set up."""
+    t = project(spark, folder)
+    desks = t["balie"]
+    first = F.col("balienummer") <= FIRST_DESKS
+    store = _store(spark, {**{n: t[n] for n in t if n != "balie"}, "balie": desks.where(first)})
+    requests = settle(project_requests(spark, folder), "requests")
+    inbox, out, progress = (work_folder(spark, n) for n in ("inbox", "live-rules", "progress"))
+    for odd in (0, 1):
+        if odd:
+            store.apply([Edit("balie", added=desks.where(~first))])
+        write_version(requests.where(F.col("seq") % 2 == odd), inbox, append=True)
+        stream.stream_row_rules_live(stream.read_requests(spark, inbox, 10_000), store.folder, out, progress).awaitTermination()
+    return _decided(spark.read.parquet(f"{out}/checked"))
+
+
 def streamed_admission(spark: SparkSession, folder: str) -> DataFrame:
     """The requests arrive in three lots, in order of their numbers; each run of the stream takes up the next."""
     base = write_tables(_at_handled(spark, folder), work_folder(spark, "base"))
     requests = settle(project_requests(spark, folder), "requests")
-    bounds = requests.agg(F.expr("percentile(seq, array(0.3, 0.7))")).first()[0] or [0, 0]
+    bounds = requests.agg(F.expr("percentile_approx(seq, array(0.3, 0.7))")).first()[0] or [0, 0]
     lot = F.when(F.col("seq") <= bounds[0], 0).when(F.col("seq") <= bounds[1], 1).otherwise(2)
     inbox, out, progress = (work_folder(spark, n) for n in ("inbox", "admission", "progress"))
     for n in range(3):
@@ -495,6 +592,8 @@ QUERIES: dict[str, Query] = {
     "scan_desk_airlines": _on_tables(scan, table="inchecken_bij_maatschappij"),
     "scan_desk_airports": _on_tables(scan, table="inchecken_voor_bestemming"),
     "write_version": written_version,
+    "load_tables_rows": loaded_rows,
+    "write_version_as_of": version_between,
     # lookups
     "passenger_search": _on_tables(lookup.passenger_search, text=SEARCH, desk=DESK),
     "passenger_search_literal": literal_search,
@@ -562,6 +661,11 @@ QUERIES: dict[str, Query] = {
     "admit_capacity": capacity,
     "admit_capacity_as_written": lambda s, d: capacity(s, d, as_written=True),
     "upsert_bookings": upserted,
+    "upsert_touched_files": upserted_files,
+    "remove_baggage_touched_files": removed_from_files,
+    "delete_cascade_touched_files": deleted_from_files,
+    "rekey_swap": turned_desks,
+    "rekey_swap_touched_files": turned_in_files,
     "add_baggage": added_baggage,
     "remove_baggage": removed_baggage,
     "register_airline": registered_airlines,
@@ -580,5 +684,6 @@ QUERIES: dict[str, Query] = {
     "as_of_state_start": _state_at_start,
     # streaming
     "stream_row_rules": streamed_row_rules,
+    "stream_row_rules_live": streamed_live_rules,
     "stream_admit": streamed_admission,
 }

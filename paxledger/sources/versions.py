@@ -94,7 +94,8 @@ class Store:
         return Tables({n: (lambda n=n: self._rows(n, listed[n])) for n in names})
 
     def _rows(self, table: str, places: Iterable[str | None]) -> DataFrame:
-        paths = [p if "/" in p[:1] or "://" in p or p.startswith("file:") else f"{self.folder}/data/{p}" for p in places if p]
+        # Files of adopted tables have whole paths.
+        paths = [p if p.startswith(("/", "file:")) or "://" in p else f"{self.folder}/data/{p}" for p in places if p]
         schema = TABLES[table].schema
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
@@ -156,6 +157,13 @@ class Store:
             raise Outdated(f"{self.folder} holds versions already")
         return self._switch(_together([self._listed(n, f, own=False) for n, f in folders.items()]), 0)
 
+    def adopt_from(self, other: Store, tables: Iterable[str]) -> int:
+        """Make tables of another store, as they are there now, version 0, without copying them."""
+        if self.versions():
+            raise Outdated(f"{self.folder} holds versions already")
+        far = F.when(F.col("place").rlike("^(/|file:|[a-z0-9]+://)"), F.col("place")).otherwise(F.concat(F.lit(f"{other.folder}/data/"), "place"))
+        return self._switch(other.files().where(F.col("table").isin(list(tables))).withColumn("place", far), 0)
+
     def touched(self, edit: Edit, version: int | None = None) -> DataFrame:
         """file, of the files that hold rows of the edit's keys. Only the key columns of the table are read."""
         rows = self.read(version)[edit.table]

@@ -20,7 +20,9 @@ EAGER = {
     "admit_statement_as_written", "admit_statement_refused", "admit_statement_accepted", "admit_capacity",
     "admit_capacity_as_written", "stream_row_rules", "stream_admit", "add_baggage", "register_airline", "guard_flight_update",
     "admit_desks", "admit_desks_accepted", "admit_flights", "admit_flights_accepted", "guard_flight_update_as_written", "rule02_changed_booked_flights", "rule02_as_written", "history_all", "delete_cascade",
-    "delete_cascade_refused", "rekey_cascade", "rekey_cascade_refused",
+    "delete_cascade_refused", "rekey_cascade", "rekey_cascade_refused", "load_tables_rows", "write_version_as_of",
+    "upsert_touched_files", "remove_baggage_touched_files", "delete_cascade_touched_files", "rekey_swap",
+    "rekey_swap_touched_files", "stream_row_rules_live",
 }
 #: Compared on every run; ORACLE_ALL=1 compares the rest as well.
 CORE = {
@@ -30,7 +32,8 @@ CORE = {
     "rule06_weight_budget", "rule07_seat_unique", "rule08a_desk_allowed", "rule08b_booking_desk", "rule09_airline_has_desk",
     "rule10_overlap", "pk_duplicates", "fk_orphans", "not_null_violations", "admit_capacity", "admit_desks", "admit_flights_accepted", "admit_rows", "audit_all", "upsert_bookings", "add_baggage",
     "register_airline", "guard_flight_update", "backfill_flights", "delete_cascade", "rekey_cascade", "history_rows",
-    "as_of_state",
+    "as_of_state", "load_tables_rows", "write_version_as_of", "upsert_touched_files", "delete_cascade_touched_files",
+    "rekey_swap_touched_files", "stream_row_rules_live",
 }
 COMPARED = [n for n in QUERIES if n in CORE or os.environ.get("ORACLE_ALL")]
 

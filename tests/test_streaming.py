@@ -70,3 +70,77 @@ def test_later_batches_win(spark):
     got = stream.current_bookings(stored, both)
     step = upsert_bookings(upsert_bookings(stored, one), two)
     assert sorted(map(str, got.collect())) == sorted(map(str, step.select(*got.columns).collect()))
+
+
+def test_what_a_batch_reads_does_not_grow(spark, monkeypatch):
+    """Twenty batches, each of one new booking and one changed: files read stay few, whatever came before."""
+    from pyspark.sql import functions as F
+
+    from paxledger.plans.admission import REQUEST
+
+    read = []
+
+    def all_accepted(t, batch):
+        read.append(t["passagier_voor_vlucht"].inputFiles())
+        return batch.select(*REQUEST, F.lit(True).alias("accepted"), F.array().cast("array<string>").alias("broken"))
+
+    monkeypatch.setattr(stream, "admit_rows", all_accepted)
+    base, out, folder = write_tables(airport(spark), work_folder(spark, "base")), work_folder(spark, "out"), work_folder(spark, "in")
+    for n in range(20):
+        requests(spark, (2000 + n, 5317, 1, None, None), (850, 5317, 3, None, None)).coalesce(1).write.mode("append").parquet(folder)
+    stream.stream_admit(stream.read_requests(spark, folder, 1), base, out, work_folder(spark, "cp")).awaitTermination()
+    assert len(read) == 20
+    assert not any("/accepted/" in f for files in read for f in files)
+    assert max(map(len, read)) <= len(read[0]) + 16
+    state = stream.booked(spark, base, out)
+    assert state.versions() == list(range(21)) and state.read()["passagier_voor_vlucht"].count() == 6 + 20
+    # Versions of the past are still there: after four batches there were four new bookings.
+    assert state.read(4)["passagier_voor_vlucht"].where("passagiernummer >= 2000").count() == 4
+
+
+def test_a_desk_added_between_two_batches(spark):
+    from paxledger.sources.schema import TABLES
+    from paxledger.sources.versions import Edit, Store
+
+    from airport import frame
+
+    store = Store(spark, work_folder(spark, "store"))
+    store.create(airport(spark))
+    folder, out, progress = (work_folder(spark, n) for n in ("in", "out", "cp"))
+    asked = (1002, 5317, 9, None, None)
+
+    def arrive(run):
+        requests(spark, asked).coalesce(1).write.mode("append").parquet(folder)
+        run(stream.read_requests(spark, folder, 1), store.folder, out, progress).awaitTermination()
+
+    arrive(stream.stream_row_rules_live)
+    store.apply(
+        [
+            Edit("balie", added=frame(spark, [(9,)], TABLES["balie"].schema)),
+            Edit("inchecken_voor_vlucht", added=frame(spark, [(9, 5317)], TABLES["inchecken_voor_vlucht"].schema)),
+        ]
+    )
+    arrive(stream.stream_row_rules_live)
+    rows = spark.read.option("basePath", f"{out}/checked").parquet(f"{out}/checked")
+    assert {r.batch: sorted(r.broken) for r in rows.collect()} == {0: ["fk_balie", "rule08b_booking_desk"], 1: []}
+
+
+def test_a_settled_table_beside_a_running_batch(spark, monkeypatch):
+    """What another thread settles while a batch runs is still there when the batch's folders are deleted."""
+    from paxledger.session import settle
+
+    kept = []
+
+    def with_neighbour(t, batch):
+        import threading
+
+        worker = threading.Thread(target=lambda: kept.append(settle(spark.range(7).toDF("n"), "neighbour")))
+        worker.start()
+        worker.join()
+        return batch.selectExpr("*", "true AS accepted", "CAST(array() AS array<string>) AS broken")
+
+    monkeypatch.setattr(stream, "admit_rows", with_neighbour)
+    base, folder = write_tables(airport(spark), work_folder(spark, "base")), work_folder(spark, "in")
+    requests(spark, (2000, 5317, 1, None, None)).coalesce(1).write.parquet(folder)
+    stream.stream_admit(stream.read_requests(spark, folder, 1), base, work_folder(spark, "out"), work_folder(spark, "cp")).awaitTermination()
+    assert kept[0].count() == 7
