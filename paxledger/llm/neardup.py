@@ -8,7 +8,8 @@ are held to the distance, then confirmed on the full shingle sets.
 Equal sets are one node from the start. Under each key, nodes are first compared with one of them, so a group of
 n copies costs n comparisons; what this joins need not be compared again. Only nodes under one key that are still
 in different components are then compared with one another, in blocks of bounded size, by how many elements
-their sets can share and by longer signatures.
+their sets can share and by longer signatures. Of a block only the nodes that may have a partner go on; with them go
+their full sets, and what comes out are the links of a forest: at most one a node, whatever the number of pairs.
 """
 
 from __future__ import annotations
@@ -79,14 +80,17 @@ def wide_signature(shingles: np.ndarray) -> bytes:
     return _minima(shingles, slice(COMPONENTS, None)).astype(np.uint8).tobytes()
 
 
-def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for doc, text, key in zip(batch["doc"], batch["text"], batch["text_key"]):
-            s = shingle_set(text)
-            held = (xxhash.xxh3_128_digest(s.tobytes()), signature(s)) if len(s) else (None, None)
-            rows.append((doc, len(s), *held, key))
-        yield pd.DataFrame(rows, columns=["doc", "n", "set_key", "sig", "text_key"])
+def _signed(words: int):
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc, text, key in zip(batch["doc"], batch["text"], batch["text_key"]):
+                s = shingle_set(text, words)
+                held = (xxhash.xxh3_128_digest(s.tobytes()), signature(s)) if len(s) else (None, None)
+                rows.append((doc, len(s), *held, key))
+            yield pd.DataFrame(rows, columns=["doc", "n", "set_key", "sig", "text_key"])
+
+    return sign
 
 
 def signature_keys(sigs: np.ndarray) -> np.ndarray:
@@ -132,9 +136,12 @@ def _confirmed(pairs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": p["a"][keep], "b": p["b"][keep]})
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"node": batch["node"], "shingles": [shingle_set(t).tobytes() for t in batch["text"]]})
+def _sets(words: int):
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"node": batch["node"], "shingles": [shingle_set(t, words).tobytes() for t in batch["text"]]})
+
+    return make
 
 
 def _elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -159,11 +166,27 @@ def can_link(na, nb, shared):
     return LINK[1] * shared >= LINK[0] * (na + nb - shared)
 
 
-def _blocks(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Near pairs in different components within each (key, i, j), whose rows follow one another.
+def _by_block(rows: Iterator[pd.DataFrame], work) -> Iterator[pd.DataFrame]:
+    """``work`` on the rows of each (key, i, j), which follow one another."""
+    held = None
+    for batch in rows:
+        batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        if batch.empty:
+            continue
+        group = batch[["key", "i", "j"]].to_numpy()
+        starts = np.append(0, 1 + np.flatnonzero((group[1:] != group[:-1]).any(axis=1)))
+        out = [work(batch.iloc[s:e]) for s, e in zip(starts, starts[1:])]
+        if out:
+            yield pd.concat(out)
+        held = batch.iloc[starts[-1] :]
+    if held is not None and len(held):
+        yield work(held)
+
+
+def _may_link(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The nodes of each (key, i, j) that may be near one in another component, by sizes and signatures.
 
-    A pair that meets under several keys is given under the first of them only, and one whose sets can't share
-    enough elements, or whose longer signatures are too far apart, not at all.
+    A pair that meets under several keys counts under the first of them only.
     """
 
     def compare(held: pd.DataFrame) -> pd.DataFrame:
@@ -172,7 +195,7 @@ def _blocks(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sig = _sigs(held["sig"])
         wide = np.frombuffer(b"".join(held["wide"]), np.uint8).reshape(-1, WIDE)
         right = np.flatnonzero(block == j)
-        a, b = [], []
+        met = np.zeros(len(held), bool)
         for x in np.flatnonzero(block == i):
             y = right[(comp[right] != comp[x]) & ((node[right] > node[x]) | (i != j))]
             y = y[can_link(n[x], n[y], np.minimum(common[x], common[y]))]
@@ -181,24 +204,38 @@ def _blocks(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(y):
                 same = signature_keys(sig[y]) == (mine := signature_keys(sig[x : x + 1])[0])
                 y = y[mine[same.argmax(axis=1)] == key]
-                a.append(np.minimum(node[x], node[y]))
-                b.append(np.maximum(node[x], node[y]))
-        none = [np.empty(0, np.int64)]
-        return pd.DataFrame({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
+                met[y] = True
+                met[x] |= len(y) > 0
+        return held.loc[met, ["key", "i", "j", "node", "comp", "block", "n", "wide"]]
 
-    held = None
-    for batch in rows:
-        batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        if batch.empty:
-            continue
-        group = batch[["key", "i", "j"]].to_numpy()
-        starts = np.append(0, 1 + np.flatnonzero((group[1:] != group[:-1]).any(axis=1)))
-        out = [compare(batch.iloc[s:e]) for s, e in zip(starts, starts[1:])]
-        if out:
-            yield pd.concat(out)
-        held = batch.iloc[starts[-1] :]
-    if held is not None and len(held):
-        yield compare(held)
+    return _by_block(rows, compare)
+
+
+def _forest(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links between the components of each (key, i, j), confirmed on full sets: no more than it takes to join them."""
+
+    def join(held: pd.DataFrame) -> pd.DataFrame:
+        i, j = held["i"].iloc[0], held["j"].iloc[0]
+        node, comp, block, n = (held[c].to_numpy() for c in ("node", "comp", "block", "n"))
+        comp = comp.copy()
+        wide = np.frombuffer(b"".join(held["wide"]), np.uint8).reshape(-1, WIDE)
+        sets = [np.frombuffer(x, np.uint64) for x in held["shingles"]]
+        right = np.flatnonzero(block == j)
+        links = []
+        for x in np.flatnonzero(block == i):
+            y = right[(node[right] > node[x]) | (i != j)]
+            y = y[can_link(n[x], n[y], np.minimum(n[x], n[y]))]
+            y = y[(wide[y] != wide[x]).sum(axis=1) <= WIDE_DISTANCE]
+            for other in y:
+                if comp[other] == comp[x]:
+                    continue
+                shared = len(np.intersect1d(sets[x], sets[other], assume_unique=True))
+                if can_link(n[x], n[other], shared):
+                    links.append((min(node[x], node[other]), max(node[x], node[other])))
+                    comp[comp == comp[other]] = comp[x]
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+
+    return _by_block(rows, join)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -249,16 +286,16 @@ def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInPandas(_distance, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, with_text_key: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, with_text_key: bool = False, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``; if wanted, the text's SHA-256 and a component's number.
 
-    Texts without words have no shingles and stand alone. Rows of equal sets are one class whatever their ids; a
+    ``words`` are the words of a shingle. Texts without words have no shingles and stand alone. Rows of equal sets are one class whatever their ids; a
     null doc_id counts as larger than any other. Repeated rows come back as often as they are given.
     """
     plain = texts(docs)
     signed = settle(
         plain.select(F.col("doc_id").cast("string").alias("doc"), "text", F.sha2("text", 256).alias("text_key"))
-        .mapInPandas(_signed, "doc string, n bigint, set_key binary, sig binary, text_key string")
+        .mapInPandas(_signed(words), "doc string, n bigint, set_key binary, sig binary, text_key string")
         .select(F.col("doc").cast("long").alias("doc_id"), "n", "set_key", "sig", "text_key"),
         "near-signed",
     )
@@ -282,7 +319,7 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False) -> DataFrame:
     # Texts of nodes that share a key, read once more for their sets: by id and text, since an id may be null or have several.
     wanted = shared.select("node").distinct().join(nodes, "node").select("node", F.col("at").alias("_at"), F.col("at_key").alias("_key"))
     keyed = plain.join(wanted, F.col("doc_id").eqNullSafe(F.col("_at")) & (F.sha2("text", 256) == F.col("_key")))
-    sets = settle(keyed.select("node", "text").mapInPandas(_sets, "node bigint, shingles binary").distinct(), "near-sets")
+    sets = settle(keyed.select("node", "text").mapInPandas(_sets(words), "node bigint, shingles binary").distinct(), "near-sets")
     links = settle(_links(first, sets), "near-links")
     comps = settle(components(links), "near-comps")
 
@@ -324,10 +361,16 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False) -> DataFrame:
         .sortWithinPartitions("key", "i", "j")
         .select("key", "i", "j", "node", "comp", "block", "sig", "n", "common", "wide")
     )
-    last = settle(grouped.mapInPandas(_blocks, "a bigint, b bigint").distinct(), "near-last")
-    tried = first.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
-    fresh = last.join(tried, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
-    more = settle(_links(fresh, sets), "near-more")
+    found = settle(
+        grouped.mapInPandas(_may_link, "key bigint, i int, j int, node bigint, comp bigint, block int, n bigint, wide binary"), "near-found"
+    )
+    full = (
+        found.join(sets, "node")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j")
+        .select("key", "i", "j", "node", "comp", "block", "n", "wide", "shingles")
+    )
+    more = settle(full.mapInPandas(_forest, "a bigint, b bigint").distinct(), "near-more")
     forget(sets)
     if not more.isEmpty():
         comps = settle(components(links.unionByName(more)), "near-comps")
@@ -349,13 +392,13 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """The rows of ``docs``, with their columns: of each component the row with the smallest doc_id, and all without words.
 
     Where rows of a component share that id, or have none, that with the smallest hash of its text stays, and of
     equal rows one.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), with_text_key=True)
+    found = near_duplicates(docs.select("doc_id", "text"), True, words)
     id_, key, turn = spare(docs, "_kept_id", "_kept_key", "_turn")
     grouped = found.where("comp IS NOT NULL").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("k"))
     alone = found.where("comp IS NULL").select("doc_id", "text_key", F.lit(True).alias("alone"))
