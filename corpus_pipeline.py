@@ -14,8 +14,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return neardup.keep_one(docs)
+    """One document of each group of near-duplicates stays: texts that share 0.8 of their shingles of five words."""
+    return neardup.keep_one(docs, words=5)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
