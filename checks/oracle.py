@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from checks.queries import AS_OF, DESK, FIRST_DESKS, FLIGHT, PASSENGER, SEARCH
+from checks.queries import AS_OF, DESK, FIRST_CHANGE, FIRST_DESKS, FLIGHT, MOMENTS, PASSENGER, SEARCH, SECOND_CHANGE
 from paxledger.sources.schema import FOREIGN_KEYS, TABLES
 
 def _padded(number: str, width: int) -> str:
@@ -640,6 +640,26 @@ QUERY_SQL: dict[str, str] = {
     ),
     "as_of_state": "SELECT * FROM second",
     "as_of_state_start": "SELECT * FROM passagier_voor_vlucht",
+    "as_of_many": f"""
+        SELECT k.passagiernummer, k.vluchtnummer, k.moment,
+               CASE WHEN alive THEN s.balienummer END AS balienummer, CASE WHEN alive THEN s.inchecktijdstip END AS inchecktijdstip,
+               CASE WHEN alive THEN s.stoel END AS stoel, s.alive AS present
+        FROM (SELECT passagiernummer, vluchtnummer, unnest([{", ".join(f"TIMESTAMP '{m}'" for m in MOMENTS)}]) AS moment
+              FROM passagier_voor_vlucht) k
+        ASOF JOIN (
+          SELECT passagiernummer, vluchtnummer, TIMESTAMP '1900-01-01' AS since, passagiernummer % 19 <> 0 AS alive, balienummer, inchecktijdstip, stoel
+          FROM passagier_voor_vlucht
+          UNION ALL
+          SELECT passagiernummer, vluchtnummer, TIMESTAMP '{FIRST_CHANGE}', passagiernummer % 19 <> 0 AND passagiernummer % 17 <> 0,
+                 CASE WHEN passagiernummer % 13 = 0 THEN 1 ELSE balienummer END, inchecktijdstip, stoel
+          FROM passagier_voor_vlucht
+          UNION ALL
+          SELECT passagiernummer, vluchtnummer, TIMESTAMP '{SECOND_CHANGE}', passagiernummer % 19 = 0 OR passagiernummer % 17 <> 0,
+                 CASE WHEN passagiernummer % 13 = 0 AND passagiernummer % 19 <> 0 THEN 1 ELSE balienummer END,
+                 CASE WHEN passagiernummer % 11 <> 0 OR passagiernummer % 19 = 0 THEN inchecktijdstip END,
+                 CASE WHEN passagiernummer % 11 <> 0 OR passagiernummer % 19 = 0 THEN stoel END
+          FROM passagier_voor_vlucht) s
+        ON k.passagiernummer = s.passagiernummer AND k.vluchtnummer = s.vluchtnummer AND k.moment >= s.since""",
     "stream_row_rules": "SELECT seq, passagiernummer, vluchtnummer, broken = '' AS accepted, broken FROM checked",
     "stream_row_rules_live": f"""
         SELECT seq, passagiernummer, vluchtnummer, broken = '' AS accepted, broken FROM (

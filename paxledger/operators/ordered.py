@@ -50,6 +50,23 @@ def _running(df: DataFrame, keys: list[str], order: str, names: list[str], bits:
     )
 
 
+def next_after(events: DataFrame, probes: DataFrame, keys: list[str], at: str, value: str, bits: int = MOMENT_BITS) -> DataFrame:
+    """``probes`` with ``value`` of the first of ``events`` of the same keys that is later, NULL where there is none.
+
+    Both sides have the BIGINT ``at``; later means greater. Of events at one moment the least value counts. Keys compare
+    as in a join. Only one row a key and moment is ordered, in blocks of ``2**bits``, and then one row a block.
+    """
+    none = F.lit(None).cast(events.schema[value].dataType)
+    marks = events.select(*keys, at, value).unionByName(probes.select(*keys, at, none.alias(value)))
+    marks = settle(marks.groupBy(*keys, at).agg(F.min(value).alias(value)).withColumn("_block", F.shiftright(at, bits)), "next-marks")
+    following = lambda *by: Window.partitionBy(*by).rowsBetween(1, Window.unboundedFollowing)
+    in_block = marks.withColumn("_next", F.first(value, ignorenulls=True).over(following(*keys, "_block").orderBy(at)))
+    firsts = marks.groupBy(*keys, "_block").agg(F.min_by(value, F.when(F.col(value).isNotNull(), F.col(at))).alias("_first"))
+    beyond = firsts.withColumn("_beyond", F.first("_first", ignorenulls=True).over(following(*keys).orderBy("_block"))).drop("_first")
+    found = in_block.join(beyond, [*keys, "_block"]).select(*keys, at, F.coalesce("_next", "_beyond").alias(value))
+    return probes.join(found, [*keys, at], "left").select(*probes.columns, value)
+
+
 def _moments(rows: DataFrame, keys: list[str], *marks: tuple[str, Column, Column]) -> DataFrame:
     """One row per mark (column of the moment, what opens there, what closes there) of each row."""
     parts = [

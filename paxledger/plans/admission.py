@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from paxledger.functions.scalars import labels, micros, or_zero
 from paxledger.operators.aggregates import duplicate_seats, flight_load
 from paxledger.operators.joins import BOOKING
+from paxledger.operators.graph import linked
 from paxledger.operators.ordered import interval_hits, least_overlapping, running_sums
 from paxledger.plans import keys, rules
 from paxledger.plans.changes import upsert_bookings
@@ -200,12 +201,15 @@ def _seat_conflicts(stored: DataFrame, likely: DataFrame, probes: DataFrame) ->
     return counted.groupBy("seq").agg(others(True).alias("seat_sure"), others(False).alias("seat_likely"))
 
 
-def _conflicts(flights: DataFrame, stored: DataFrame, likely: DataFrame, probes: DataFrame) -> DataFrame:
+def _conflicts(
+    flights: DataFrame, stored: DataFrame, likely: DataFrame, probes: DataFrame, some_sure: bool = True, some_open: bool = True
+) -> DataFrame:
     """``probes`` with what speaks against each when it arrives, surely (``*_sure``) or likely (``*_likely``).
 
     ``likely``: requests accepted so far (``_sure``) and those still open. A rule speaks surely if the accepted
     ones alone break it whatever becomes of the open ones, and not even likely if it holds though all of them
-    are accepted. For the earliest open request the two are the same.
+    are accepted. For the earliest open request the two are the same. Where there are no accepted ones yet, or no
+    open ones any more, half of the work is left out.
     """
     unasked = probes.select(*BOOKING, F.lit(None).cast("bigint").alias("seq"), F.lit(False).alias("_sure"))
     pairs = settle(
@@ -220,21 +224,31 @@ def _conflicts(flights: DataFrame, stored: DataFrame, likely: DataFrame, probes:
     several = fresh.groupBy(*PASSENGER).agg(F.count("*").alias("_n")).where("_n > 1").select(*PASSENGER)
     firsts = [F.coalesce("seq", F.lit(_NEVER)).alias("seq"), F.coalesce("_sure_seq", F.lit(_NEVER)).alias("_sure_first")]
     spans = settle(_spans(fresh.select(*BOOKING, *firsts).join(several, PASSENGER, "left_semi"), flights), "spans")
-    met = [
-        least_overlapping(spans, PASSENGER, "_from", "_to", value, BOOKING, out=out)
-        for value, out in (("_sure_first", "_met_sure"), ("seq", "_met_likely"))
-    ]
+    def met(value: str, out: str) -> DataFrame:
+        return least_overlapping(spans, PASSENGER, "_from", "_to", value, BOOKING, out=out)
+
+    def full(newcomers: DataFrame, out: str) -> DataFrame:
+        return capacity_cutoff(flights, stored, probes, newcomers).withColumnRenamed("cutoff", out)
+
     sure = fresh.where(F.col("_sure_seq").isNotNull()).select("vluchtnummer", F.col("_sure_seq").alias("seq"))
-    full_sure = capacity_cutoff(flights, stored, probes, sure)
-    full_likely = capacity_cutoff(flights, stored, probes, fresh.where("seq IS NOT NULL").select("vluchtnummer", "seq"))
+    if some_open:
+        meets = met("seq", "_met_likely")
+        rooms = full(fresh.where("seq IS NOT NULL").select("vluchtnummer", "seq"), "_full_likely")
+        if some_sure:
+            meets = meets.join(met("_sure_first", "_met_sure"), BOOKING, "left")
+            rooms = rooms.join(full(sure, "_full_sure").drop("free"), "vluchtnummer", "left")
+        else:
+            none = F.lit(None).cast("bigint")
+            meets, rooms = meets.withColumn("_met_sure", none), rooms.withColumn("_full_sure", none)
+    else:
+        meets = met("_sure_first", "_met_sure").withColumn("_met_likely", F.col("_met_sure"))
+        rooms = full(sure, "_full_sure").withColumn("_full_likely", F.col("_full_sure"))
     before = lambda c: F.coalesce(F.col(c) < F.col("seq"), F.lit(False))
     there = F.col("_stored").isNotNull()
     rows = (
         probes.join(pairs.select(*BOOKING, "_stored", F.col("seq").alias("_first"), "_sure_seq"), BOOKING, "left")
-        .join(met[0], BOOKING, "left")
-        .join(met[1], BOOKING, "left")
-        .join(full_sure.select("vluchtnummer", "free", F.col("cutoff").alias("_full_sure")), "vluchtnummer", "left")
-        .join(full_likely.select("vluchtnummer", F.col("cutoff").alias("_full_likely")), "vluchtnummer", "left")
+        .join(meets, BOOKING, "left")
+        .join(rooms, "vluchtnummer", "left")
         .join(_seat_conflicts(stored, likely, probes), "seq", "left")
     )
     sure_there, likely_there = there | before("_sure_seq"), there | before("_first")
@@ -254,13 +268,112 @@ def _any(kind: str) -> Column:
     return F.col(f"seat_{kind}") | F.col(f"overlap_{kind}") | F.col(f"capacity_{kind}")
 
 
-def admit_rows(t: Mapping[str, DataFrame], requests: DataFrame) -> DataFrame:
+#: Requests and bookings of a contest that is decided in one go.
+CONTEST_ROWS = 4096
+
+_HELD = "array<struct<p:bigint,f:bigint,s:string,dep:bigint,arr:bigint>>"
+_EXTRA = "array<struct<f:bigint,until:bigint>>"
+_VERDICTS = "array<struct<seq:bigint,seat_sure:boolean,overlap_sure:boolean,capacity_sure:boolean>>"
+
+
+def _step(state: Column, e: Column) -> Column:
+    """What is held after event ``e``, a booking that is given or a request that is judged."""
+    held, extra = state["held"], state["extra"]
+    own = lambda h: (h["p"] == e["p"]) & (h["f"] == e["f"])
+    there = F.exists(held, own)
+    taken = e["s"].isNotNull() & F.exists(held, lambda h: F.coalesce((h["f"] == e["f"]) & (h["s"] == e["s"]) & (h["p"] != e["p"]), F.lit(False)))
+    meets = lambda h: (h["p"] == e["p"]) & (h["f"] != e["f"]) & (h["dep"] <= e["arr"]) & (e["dep"] <= h["arr"])
+    late = F.exists(held, lambda h: F.coalesce(meets(h), F.lit(False)))
+    used = F.size(F.filter(extra, lambda x: (x["f"] == e["f"]) & (x["until"] >= e["seq"])))
+    crowded = F.coalesce(e["room"] - used <= 0, F.lit(False))
+    seen = F.struct(there.alias("there"), taken.alias("seat"), (~there & late).alias("late"), (~there & crowded).alias("full"))
+
+    def after(v: Column) -> Column:
+        bad = e["open"] & (v["seat"] | v["late"] | v["full"])
+        mine = F.array(F.struct(e["p"].alias("p"), e["f"].alias("f"), e["s"].alias("s"), e["dep"].alias("dep"), e["arr"].alias("arr")))
+        new = F.array(F.struct(e["f"].alias("f"), e["until"].alias("until")))
+        told = F.array(F.struct(e["seq"].alias("seq"), v["seat"].alias("seat_sure"), v["late"].alias("overlap_sure"), v["full"].alias("capacity_sure")))
+        return F.struct(
+            F.when(bad, held).otherwise(F.concat(F.filter(held, lambda h: ~own(h)), mine)).cast(_HELD).alias("held"),
+            F.when(e["open"] & ~bad & ~v["there"], F.concat(extra, new)).otherwise(extra).cast(_EXTRA).alias("extra"),
+            F.when(e["open"], F.concat(state["out"], told)).otherwise(state["out"]).cast(_VERDICTS).alias("out"),
+        )
+
+    # A one-element array, so that what is seen is worked out once.
+    return F.element_at(F.transform(F.array(seen), after), 1)
+
+
+def decide_contests(flights: DataFrame, stored: DataFrame, taken: DataFrame, open_: DataFrame, limit: int = CONTEST_ROWS) -> DataFrame:
+    """(seq, seat_sure, overlap_sure, capacity_sure) of the requests ``open_``: what speaks against each when it arrives.
+
+    ``taken`` are requests accepted whatever becomes of the open ones; ``capacity_likely`` marks open ones whose flight
+    may be full. Open requests bear on one another through their passenger, a seat that one asks for or has, or a flight
+    that may be full. What hangs together is a contest; its requests are taken in order of ``seq`` among the bookings
+    of its passengers and seats, in one pass over an array, contests side by side. Those with more than ``limit``
+    requests and bookings are left out.
+    """
+    given = settle(
+        stored.select(*BOOKING, "stoel", F.lit(_ALWAYS).alias("seq")).unionByName(taken.select(*BOOKING, "stoel", "seq")), "given"
+    )
+    full = open_.where("capacity_likely").select("vluchtnummer").distinct()
+    seat = lambda: F.to_json(F.struct("vluchtnummer", "stoel"))
+    keys_of = [
+        open_.select(F.col("seq").alias("node"), F.concat(F.lit("p"), F.col("passagiernummer").cast("string")).alias("key")),
+        open_.join(full, "vluchtnummer", "left_semi").select(F.col("seq").alias("node"), F.concat(F.lit("f"), F.col("vluchtnummer").cast("string")).alias("key")),
+        open_.where("stoel IS NOT NULL").select(F.col("seq").alias("node"), seat().alias("key")),
+        open_.select(F.col("seq").alias("node"), *BOOKING)
+        .join(given.where("stoel IS NOT NULL").select(*BOOKING, "stoel"), BOOKING)
+        .select("node", seat().alias("key")),
+    ]
+    contest = linked(reduce(DataFrame.unionByName, keys_of)).select(F.col("node").alias("seq"), F.col("component").alias("contest"))
+
+    first = taken.groupBy(*BOOKING).agg(F.min("seq").alias("_until"))
+    new = first.join(stored.select(*BOOKING).distinct(), BOOKING, "left_anti").select("vluchtnummer", F.col("_until").alias("seq"), F.lit(1).alias("_new"))
+    arriving = open_.join(full, "vluchtnummer", "left_semi").select("vluchtnummer", "seq", F.lit(0).alias("_new"))
+    counted = running_sums(
+        new.join(full, "vluchtnummer", "left_semi").unionByName(arriving), ["vluchtnummer"], "seq", {"_before": F.col("_new")}
+    ).where("_new = 0")
+    places = flights.select("vluchtnummer", "max_aantal_psgrs").join(full, "vluchtnummer", "left_semi")
+    there = stored.join(full, "vluchtnummer", "left_semi").groupBy("vluchtnummer").agg(F.count("*").alias("_there"))
+    room = F.col("max_aantal_psgrs") - or_zero(F.col("_there")) - F.col("_before")
+    rooms = counted.join(places, "vluchtnummer").join(there, "vluchtnummer", "left").select("seq", room.cast("bigint").alias("room"))
+    nodes = settle(
+        open_.select("seq", *BOOKING, "stoel")
+        .join(contest, "seq")
+        .join(rooms, "seq", "left")
+        .join(first, BOOKING, "left")
+        .select("contest", "seq", *BOOKING, "stoel", F.lit(True).alias("open"), "room", F.coalesce("_until", F.lit(_NEVER)).alias("until")),
+        "contest-nodes",
+    )
+
+    of_people = nodes.select("contest", *PASSENGER).distinct().join(given, PASSENGER)
+    asked = nodes.where("stoel IS NOT NULL").select("contest", "vluchtnummer", "stoel").distinct()
+    holders = asked.join(given, ["vluchtnummer", "stoel"]).select("contest", *BOOKING).distinct()
+    columns = ["contest", "seq", *BOOKING, "stoel"]
+    context = of_people.select(*columns).unionByName(holders.join(given, BOOKING).select(*columns)).distinct()
+    none = F.lit(None).cast("bigint")
+    events = nodes.unionByName(context.select(*columns, F.lit(False).alias("open"), none.alias("room"), none.alias("until")))
+    start, end = micros(F.col("vertrektijdstip")), micros(F.col("aankomsttijdstip"))
+    times = flights.select("vluchtnummer", start.alias("dep"), F.greatest(start, end).alias("arr"))
+    event = F.struct(
+        F.col("seq"), F.col("passagiernummer").alias("p"), F.col("vluchtnummer").alias("f"), F.col("stoel").alias("s"), "dep", "arr", "open", "room", "until"
+    )
+    events = settle(events.join(times, "vluchtnummer", "left").select("contest", event.alias("e")), "contest-events")
+    small = events.groupBy("contest").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") <= limit).select("contest")
+    gathered = events.join(small, "contest", "left_semi").groupBy("contest").agg(F.array_sort(F.collect_list("e")).alias("events"))
+    zero = F.struct(*[F.array().cast(kind).alias(name) for name, kind in (("held", _HELD), ("extra", _EXTRA), ("out", _VERDICTS))])
+    verdicts = F.aggregate("events", zero, _step, lambda state: state["out"])
+    return settle(gathered.select(F.inline(verdicts)), "contest-verdicts")
+
+
+def admit_rows(t: Mapping[str, DataFrame], requests: DataFrame, limit: int = CONTEST_ROWS) -> DataFrame:
     """``requests`` with ``accepted`` and ``broken``, the rules that speak against a refused one when it arrives.
 
     The outcome is that of taking requests one at a time in order of ``seq``: a refused one stands in nobody's
-    way, and an accepted update gives up the seat that the booking had. It is found in rounds over those still
-    open: what no accepted or open request opposes is accepted, what an accepted one surely opposes is refused.
-    Every round decides the earliest open one at least; requests that don't meet are decided side by side.
+    way, and an accepted update gives up the seat that the booking had. What no request that may be accepted opposes
+    is accepted, what an accepted one surely opposes is refused; the others bear on one another, and are decided
+    contest by contest (``decide_contests``), however long they wait for one another. Only contests of more than
+    ``limit`` rows are taken up again among what is decided by then; each turn decides the earliest of them at least.
     """
     flights = t["vlucht"]
     checked = settle(row_checks(t, incoming(requests.select(*REQUEST), "passagier_voor_vlucht")), "checked")
@@ -268,15 +381,24 @@ def admit_rows(t: Mapping[str, DataFrame], requests: DataFrame) -> DataFrame:
     stored = near_bookings(t["passagier_voor_vlucht"], clean)
     mine = clean.select(*BOOKING).distinct()
     against = settle(stored_overlaps(stored, flights, mine).withColumn("_meets", F.lit(True)), "meets-stored")
-    rows = clean.select("seq", *BOOKING, "stoel").join(against, BOOKING, "left")
-    pending = settle(rows.where(F.col("_meets").isNull()).select("seq", *BOOKING, "stoel"), "open")
+    rows = settle(clean.select("seq", *BOOKING, "stoel").join(against, BOOKING, "left"), "clean")
+    pending = rows.where(F.col("_meets").isNull()).select("seq", *BOOKING, "stoel")
     taken = pending.limit(0)
+    begun = False
     while not pending.isEmpty():
         likely = taken.withColumn("_sure", F.lit(True)).unionByName(pending.withColumn("_sure", F.lit(False)))
-        judged = settle(_conflicts(flights, stored, likely, pending), "judged")
+        judged = settle(_conflicts(flights, stored, likely, pending, some_sure=begun), "judged")
         taken = settle(taken.unionByName(judged.where(~_any("likely")).select(*pending.columns)), "taken")
-        pending = settle(judged.where(_any("likely") & ~_any("sure")).select(*pending.columns), "open")
-    final = _conflicts(flights, stored, taken.withColumn("_sure", F.lit(True)), rows)
+        left = settle(judged.where(_any("likely") & ~_any("sure")).select(*pending.columns, "capacity_likely"), "open")
+        if left.isEmpty():
+            break
+        decided = decide_contests(flights, stored, taken, left, limit)
+        won = decided.where(~_any("sure")).select("seq")
+        taken = settle(taken.unionByName(left.join(won, "seq", "left_semi").select(*pending.columns)), "taken")
+        pending = settle(left.join(decided, "seq", "left_anti").select(*pending.columns), "open")
+        begun = True
+    refused = rows.join(taken.select("seq"), "seq", "left_anti")
+    final = _conflicts(flights, stored, taken.withColumn("_sure", F.lit(True)), refused, some_open=False)
     verdicts = final.select(
         "seq",
         labels(
@@ -285,9 +407,10 @@ def admit_rows(t: Mapping[str, DataFrame], requests: DataFrame) -> DataFrame:
             rule04_over_capacity=F.col("capacity_sure"),
         ).alias("_later"),
     )
+    none = F.array().cast("array<string>")
     return (
         checked.join(verdicts, "seq", "left")
-        .withColumn("broken", F.when(_clean(), F.col("_later")).otherwise(F.col("broken")))
+        .withColumn("broken", F.when(_clean(), F.coalesce("_later", none)).otherwise(F.col("broken")))
         .select(*REQUEST, _clean().alias("accepted"), "broken")
     )
 

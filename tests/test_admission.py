@@ -8,6 +8,7 @@ from collections import defaultdict
 from airport import ROWS, airport, at, flight, found, frame, requests
 from pyspark.sql import functions as F
 
+from paxledger.operators import graph
 from paxledger.plans import admission, rules
 from paxledger.plans.changes import upsert_bookings
 from paxledger.sources.schema import REQUEST_SCHEMA
@@ -214,3 +215,55 @@ def test_stored_violations_elsewhere_do_not_stop_a_statement(spark):
     done = admission.admit_statement(t, requests(spark, (850, 5316, 1, None, None)))
     assert done.violations.where(F.col("passagiernummer") == 1555).count() == 0
     assert done.accepted.count() == 1
+
+
+def _chain(spark, n):
+    """Everyone on a flight moves to the seat of the one who moved just before."""
+    people = [(k, f"P{k}", "M", ROWS["passagier"][0][3]) for k in range(n)]
+    moment = ROWS["passagier_voor_vlucht"][0][3]
+    stored = [(k, 5314, 3, moment, f"{k:03d}") for k in range(n)]
+    t = airport(spark, passagier=people, passagier_voor_vlucht=stored, vlucht=[flight(5314, "2004-03-01 10:00", "2004-03-01 12:00", places=2000)])
+    asked = [(k, 5314, 3, "2004-02-05 20:00", f"{k - 1:03d}" if k else "X00") for k in range(n)]
+    # Whoever asks for a seat that isn't free yet is refused.
+    return t, requests(spark, *asked, (n - 1, 5314, 3, "2004-02-05 20:00", "001"), (5, 5314, 3, "2004-02-05 20:00", f"{n - 1:03d}"))
+
+
+def test_a_chain_takes_no_more_turns_than_its_logarithm(spark, monkeypatch):
+    turns = {}
+    plain = admission.settle
+    for n in (20, 500):
+        made = []
+        monkeypatch.setattr(admission, "settle", lambda df, label, made=made: made.append(label) or plain(df, label))
+        monkeypatch.setattr(graph, "settle", lambda df, label, made=made: made.append(label) or plain(df, label))
+        t, batch = _chain(spark, n)
+        got = verdicts(admission.admit_rows(t, batch))
+        assert got == {**{k: "" for k in range(1, n + 1)}, n + 1: "rule07_seat_unique", n + 2: ""}
+        turns[n] = made
+    assert turns[500].count("judged") == 1
+    # Five doublings of the length: a few turns more to find what hangs together, nothing else.
+    assert len(turns[500]) <= len(turns[20]) + 14
+    assert [x for x in turns[500] if not x.startswith("ties")] == [x for x in turns[20] if not x.startswith("ties")]
+
+
+def test_contests_too_large_are_taken_up_again(spark):
+    t, batch, flights, stored, asked = _world(spark, 24, seed=5)
+    want = _one_at_a_time(flights, stored, asked)
+    assert verdicts(admission.admit_rows(t, batch, limit=9)) == want
+
+
+def test_linked(spark):
+    rng = random.Random(3)
+    rows = [(rng.randrange(60), rng.choice("abcdefghijklmnopqrstuvwxyz") + rng.choice("01")) for _ in range(70)]
+    rows += [(100 + i, f"k{i}") for i in range(40)] + [(101 + i, f"k{i}") for i in range(40)] + [(200, None)]
+    got = {r.node: r.component for r in graph.linked(spark.createDataFrame(rows, "node long, key string")).collect()}
+    want = {n: n for n, k in rows if k is not None}
+    while True:
+        of_key = {}
+        for n, k in rows:
+            if k is not None:
+                of_key[k] = min(of_key.get(k, 10**9), want[n])
+        after = {n: min(of_key[k] for m, k in rows if m == n and k is not None) for n in want}
+        if after == want:
+            break
+        want = after
+    assert got == want

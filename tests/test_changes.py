@@ -291,3 +291,31 @@ def test_jdbc_options_reach_the_reader(spark):
         ("jdbc:sqlserver://host", "Passagier", {"column": "passagiernummer", "lowerBound": 0, "upperBound": 1000, "numPartitions": 8, "properties": {"user": "u"}}),
         ("jdbc:sqlserver://host", "Gate", {"properties": {"user": "u"}}),
     ]
+
+
+def test_rows_as_of_moments_of_their_own(spark):
+    """A table of two numbers, changed at random; every key asked for at every moment, before, at and between changes."""
+    rng = random.Random(4)
+    schema, keys = "k long, v int, w string", ["k"]
+    states, moments = [{}], [f"2004-01-{d:02d} 00:00:00" for d in range(2, 10)]
+    log = came = None
+    for m in moments:
+        now = dict(states[-1])
+        for k in range(8):
+            step = rng.random()
+            if step < 0.25:
+                now.pop(k, None)
+            elif step < 0.55:
+                now[k] = (rng.choice([None, 1, 2]), rng.choice([None, "a"]))
+        before, after = (spark.createDataFrame([(k, *v) for k, v in s.items()], schema) for s in (states[-1], now))
+        h, a = history.history_rows(before, after, keys, m), history.arrivals(before, after, keys, m)
+        log, came = (h, a) if log is None else (log.unionByName(h), came.unionByName(a))
+        states.append(now)
+    asked = [(k, at(t)) for k in range(9) for m in moments for t in (m, m.replace(" 00:", " 07:"))] + [(k, at("2003-01-01")) for k in range(9)]
+    probes = spark.createDataFrame(asked, "k long, moment timestamp_ntz")
+    got = {(r.k, r.moment): (r.present, r.v, r.w) for r in history.as_of_many(probes, after, log, came, keys).collect()}
+    want = {}
+    for k, t in asked:
+        s = states[sum(at(m) <= t for m in moments)]
+        want[k, t] = (k in s, *s.get(k, (None, None)))
+    assert got == want
