@@ -206,7 +206,7 @@ def _may_link(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 y = y[mine[same.argmax(axis=1)] == key]
                 met[y] = True
                 met[x] |= len(y) > 0
-        return held.loc[met, ["key", "i", "j", "node", "comp", "block", "n", "wide"]]
+        return held.loc[met, ["key", "i", "j", "node", "comp", "block", "n", "sig", "wide"]]
 
     return _by_block(rows, compare)
 
@@ -215,9 +215,10 @@ def _forest(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links between the components of each (key, i, j), confirmed on full sets: no more than it takes to join them."""
 
     def join(held: pd.DataFrame) -> pd.DataFrame:
-        i, j = held["i"].iloc[0], held["j"].iloc[0]
+        key, i, j = held["key"].iloc[0], held["i"].iloc[0], held["j"].iloc[0]
         node, comp, block, n = (held[c].to_numpy() for c in ("node", "comp", "block", "n"))
-        comp = comp.copy()
+        comp, sig = comp.copy(), _sigs(held["sig"])
+        keys = signature_keys(sig)
         wide = np.frombuffer(b"".join(held["wide"]), np.uint8).reshape(-1, WIDE)
         sets = [np.frombuffer(x, np.uint64) for x in held["shingles"]]
         right = np.flatnonzero(block == j)
@@ -225,7 +226,11 @@ def _forest(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in np.flatnonzero(block == i):
             y = right[(node[right] > node[x]) | (i != j)]
             y = y[can_link(n[x], n[y], np.minimum(n[x], n[y]))]
+            y = y[(comp[y] != comp[x])]
+            y = y[(sig[y] != sig[x]).sum(axis=1) <= DISTANCE]
             y = y[(wide[y] != wide[x]).sum(axis=1) <= WIDE_DISTANCE]
+            # As before, a pair is looked at under the first key that it meets under.
+            y = y[keys[x][(keys[y] == keys[x]).argmax(axis=1)] == key]
             for other in y:
                 if comp[other] == comp[x]:
                     continue
@@ -362,13 +367,14 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False, words: int = W
         .select("key", "i", "j", "node", "comp", "block", "sig", "n", "common", "wide")
     )
     found = settle(
-        grouped.mapInPandas(_may_link, "key bigint, i int, j int, node bigint, comp bigint, block int, n bigint, wide binary"), "near-found"
+        grouped.mapInPandas(_may_link, "key bigint, i int, j int, node bigint, comp bigint, block int, n bigint, sig binary, wide binary"),
+        "near-found",
     )
     full = (
         found.join(sets, "node")
         .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j")
-        .select("key", "i", "j", "node", "comp", "block", "n", "wide", "shingles")
+        .select("key", "i", "j", "node", "comp", "block", "n", "sig", "wide", "shingles")
     )
     more = settle(full.mapInPandas(_forest, "a bigint, b bigint").distinct(), "near-more")
     forget(sets)
