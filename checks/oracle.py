@@ -276,8 +276,9 @@ PARTS: dict[str, str] = {
 }
 
 
-def with_parts(query: str) -> str:
-    """The query with the parts it names, directly or through other parts, in order of need."""
+def with_parts(query: str, changed: dict[str, str] | None = None) -> str:
+    """The query with the parts it names, directly or through other parts, in order of need. A ``changed`` part is what
+    its SQL says of the part as it was, there called ``before_<part>``."""
     order: list[str] = []
     asked: set[str] = set()
 
@@ -291,7 +292,13 @@ def with_parts(query: str) -> str:
     need(query)
     if not order:
         return query
-    return "WITH RECURSIVE " + ",\n".join(f"{name} AS ({PARTS[name]})" for name in order) + "\n" + query
+    parts = []
+    for name in order:
+        if changed and name in changed:
+            parts += [f"before_{name} AS ({PARTS[name]})", f"{name} AS ({changed[name]})"]
+        else:
+            parts.append(f"{name} AS ({PARTS[name]})")
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + query
 
 
 def _scan(table: str) -> str:
@@ -674,4 +681,14 @@ QUERY_SQL: dict[str, str] = {
 def sql() -> dict[str, str]:
     same = {"remove_baggage_touched_files": "remove_baggage", "delete_cascade_touched_files": "delete_cascade"}
     queries = {**QUERY_SQL, **{name: QUERY_SQL[other] for name, other in same.items()}}
-    return {name: with_parts(query) for name, query in queries.items()}
+    out = {name: with_parts(query) for name, query in queries.items()}
+    out["audit_after"] = with_parts(
+        QUERY_SQL["audit_all"],
+        {
+            "passagier_voor_vlucht": """
+                SELECT * REPLACE (CASE WHEN passagiernummer % 13 = 0 THEN 1 ELSE balienummer END AS balienummer)
+                FROM before_passagier_voor_vlucht WHERE passagiernummer % 17 <> 0""",
+            "object": "SELECT * FROM before_object WHERE volgnummer % 10 <> 3",
+        },
+    )
+    return out

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from paxledger.functions import scalars
 from paxledger.operators import aggregates, joins, lookup
-from paxledger.plans import admission, audit, cascade, changes, history, keys, rules
+from paxledger.plans import admission, audit, cascade, changes, history, keys, ledger, rules
 from paxledger.session import settle, work_folder
 from paxledger.sources.projection import StarSource, project, project_handled, project_requests
 from paxledger.sources.schema import FOREIGN_KEYS, TABLES
@@ -520,11 +520,27 @@ def literal_search(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.passenger_search(t.replacing(passagier=marked), text="%0000000", desk=DESK, wildcards=False)
 
 
-def full_audit(spark: SparkSession, folder: str) -> DataFrame:
+def _lines(report: DataFrame) -> DataFrame:
     pairs = F.transform(F.map_entries("key"), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null"))))
-    return audit.audit_all(_stored(spark, folder)).select(
-        "rule", F.col("table").alias("table_name"), F.array_join(pairs, ",").alias("row_key"), "detail"
+    return report.select("rule", F.col("table").alias("table_name"), F.array_join(pairs, ",").alias("row_key"), "detail")
+
+
+def full_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return _lines(audit.audit_all(_stored(spark, folder)))
+
+
+def audit_after_change(spark: SparkSession, folder: str) -> DataFrame:
+    """Bookings are withdrawn and moved, some baggage goes: the ledger of before, kept up from what that touched."""
+    before = _stored(spark, folder)
+    book = settle(audit.audit_all(before), "ledger")
+    people, number = F.col("passagiernummer"), F.col("volgnummer")
+    bookings = before["passagier_voor_vlucht"]
+    after = before.replacing(
+        passagier_voor_vlucht=settle(_without_every_17th(bookings), "after-bookings"),
+        object=settle(before["object"].where(number % 10 != 3), "after-items"),
     )
+    touched = bookings.where((people % 17 == 0) | (people % 13 == 0))
+    return _lines(ledger.audit_after(book, before, after, touched, before["object"].where(number % 10 == 3)))
 
 
 # --- streaming ---------------------------------------------------------------------------------------
@@ -669,6 +685,7 @@ QUERIES: dict[str, Query] = {
     "not_null_violations": missing_values,
     "check_in_list": unlisted_actions,
     "audit_all": full_audit,
+    "audit_after": audit_after_change,
     "audit_summary": lambda s, d: audit.audit_summary(_stored(s, d)),
     # changes
     "admit_statement": statement_violations,

@@ -22,7 +22,7 @@ EAGER = {
     "admit_desks", "admit_desks_accepted", "admit_flights", "admit_flights_accepted", "guard_flight_update_as_written", "rule02_changed_booked_flights", "rule02_as_written", "history_all", "delete_cascade",
     "delete_cascade_refused", "rekey_cascade", "rekey_cascade_refused", "load_tables_rows", "write_version_as_of",
     "upsert_touched_files", "remove_baggage_touched_files", "delete_cascade_touched_files", "rekey_swap",
-    "rekey_swap_touched_files", "stream_row_rules_live", "as_of_many",
+    "rekey_swap_touched_files", "stream_row_rules_live", "as_of_many", "audit_after",
 }
 #: Compared on every run; ORACLE_ALL=1 compares the rest as well.
 CORE = {
@@ -33,7 +33,7 @@ CORE = {
     "rule10_overlap", "pk_duplicates", "fk_orphans", "not_null_violations", "admit_capacity", "admit_desks", "admit_flights_accepted", "admit_rows", "audit_all", "upsert_bookings", "add_baggage",
     "register_airline", "guard_flight_update", "backfill_flights", "delete_cascade", "rekey_cascade", "history_rows",
     "as_of_state", "load_tables_rows", "write_version_as_of", "upsert_touched_files", "delete_cascade_touched_files",
-    "rekey_swap_touched_files", "stream_row_rules_live", "as_of_many",
+    "rekey_swap_touched_files", "stream_row_rules_live", "as_of_many", "audit_after",
 }
 COMPARED = [n for n in QUERIES if n in CORE or os.environ.get("ORACLE_ALL")]
 
