@@ -43,10 +43,11 @@ def unescape(text: str) -> str:
 
 
 def render(role: str, text: str) -> tuple[str, int, int]:
-    """The rendered message and where its text lies in it."""
+    """The rendered message and where in it lies what is trained on: an assistant's text, of other roles nothing (0, 0)."""
     head = HEAD + escape(role).replace(":", "\\:") + COLON
     body = escape(text)
-    return head + body + END, len(head), len(head) + len(body)
+    start, end = (len(head), len(head) + len(body)) if role == LOSS_ROLE else (0, 0)
+    return head + body + END, start, end
 
 
 _MESSAGE = re.compile(r"### ((?:[^\\:]|\\.)*): ((?:[^\\<]|\\.)*)</turn>\n", re.DOTALL)
@@ -118,11 +119,12 @@ def _rendered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["conv", "message", "formatted", "loss_start", "loss_end"])
 
 
-def format_events(events: DataFrame) -> DataFrame:
+def format_events(events: DataFrame, tie: str | None = None) -> DataFrame:
     """Rendered final messages, a row each: conv_id, message (from 0), formatted, loss_start, loss_end.
 
+    The mask, from loss_start up to loss_end, holds an assistant's text and is empty for all other roles.
     ``events``: conv_id, seq, step, kind, role, text; seq orders a conversation's log and step the events of one
-    seq. A conversation's transcript is its rows' ``formatted`` by ``message``. Rows stay sorted in their
+    seq. ``tie`` names a column that orders turns of one seq; other columns are not looked at. A conversation's transcript is its rows' ``formatted`` by ``message``. Rows stay sorted in their
     partition. A long conversation streams through one task a message at a time.
     """
     sent = events.select(
@@ -133,9 +135,9 @@ def format_events(events: DataFrame) -> DataFrame:
         "kind",
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
-        *[c for c in ("_tie",) if c in events.columns],
+        *([F.col(f"`{tie}`").alias("_tie")] if tie else []),
     )
-    order = ["_conv", "seq", *[c for c in ("_tie",) if c in events.columns], "step"]
+    order = ["_conv", "seq", *(["_tie"] if tie else []), "step"]
     laid = sent.repartition("_conv").sortWithinPartitions(*order).select("conv", "kind", "role", "text")
     out = laid.mapInPandas(_rendered, "conv string, message bigint, formatted string, loss_start int, loss_end int")
     return out.withColumn("conv_id", F.col("conv").cast("long")).drop("conv")
@@ -148,7 +150,7 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     turns = loss = None
     n = chars = long = 0
     for b in batches:
-        for key, message, formatted in zip(b["conv"], b["message"], b["formatted"]):
+        for key, message, formatted, start, end in zip(b["conv"], b["message"], b["formatted"], b["loss_start"], b["loss_end"]):
             if begun and message == 0:
                 out.append((conv, n, turns.hexdigest(), chars, loss.hexdigest(), long))
             if message == 0:
@@ -157,9 +159,9 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for role, text in parse(formatted):
                 n += 1
                 turns.update(f"{role}\n{text}\n".encode())
-                if role == LOSS_ROLE:
-                    chars += len(text)
-                    loss.update(text.encode())
+            masked = unescape(formatted[int(start) : int(end)])
+            chars += len(masked)
+            loss.update(masked.encode())
         if len(out) > 4096:
             yield pd.DataFrame(out, columns=columns)
             out = []
@@ -170,9 +172,9 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_back(rendered: DataFrame) -> DataFrame:
-    """Digests of each conversation, from the rendered characters alone. ``rendered`` as ``format_events`` leaves it."""
+    """Digests of each conversation, from the rendered characters and the mask alone. ``rendered`` as ``format_events`` leaves it."""
     kinds = "conv string, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
-    laid = rendered.select(F.col("conv_id").cast("string").alias("conv"), "message", "formatted")
+    laid = rendered.select(F.col("conv_id").cast("string").alias("conv"), "message", "formatted", "loss_start", "loss_end")
     read = laid.mapInPandas(_digests, kinds)
     return read.select(F.col("conv").cast("long").alias("conv_id"), *[c.split()[0] for c in DIGEST.split(", ")[1:]])
 
@@ -190,9 +192,10 @@ def log_of(conversations: DataFrame) -> DataFrame:
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("seq"), role.alias("role"), text.alias("text")
     )
     first = F.substring("text", 1, DELTA_CHARS)
+    # Cut in one pass; a substring from each place on would read a long text over and over.
     deltas = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.length("text") / DELTA_CHARS).cast("int") - 1)),
-        lambda i: F.struct(F.lit("delta").alias("kind"), F.substring(F.col("text"), i * DELTA_CHARS + 1, F.lit(DELTA_CHARS)).alias("text")),
+        F.regexp_extract_all("text", F.lit(f"(?s).{{1,{DELTA_CHARS}}}"), F.lit(0)),
+        lambda part: F.struct(F.lit("delta").alias("kind"), part.alias("text")),
     )
     event = lambda kind, said: F.array(F.struct(F.lit(kind).alias("kind"), said.alias("text")))
     answered = F.concat(event("open", F.lit("")), event("delta", first), event("regenerate", F.lit("")), deltas)
@@ -223,7 +226,7 @@ def with_probe(conversations: DataFrame) -> DataFrame:
 
 
 def op10_event_sourced_chat(spark: SparkSession, conversations: DataFrame) -> DataFrame:
-    return read_back(format_events(log_of(with_probe(conversations))))
+    return read_back(format_events(log_of(with_probe(conversations)), tie="_tie"))
 
 
 OP10_SQL = r"""

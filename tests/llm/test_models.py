@@ -285,9 +285,23 @@ def test_rendering_is_reversible():
     for _ in range(2000):
         turns = [tuple("".join(rng.choice(signs) for _ in range(rng.randint(0, 8))) for _ in range(2)) for _ in range(rng.randint(0, 4))]
         assert chat.parse("".join(chat.render(*t)[0] for t in turns)) == turns
-        for role, text in turns:
+        for role, text in [*turns, *[("assistant", t) for _, t in turns]]:
             formatted, start, end = chat.render(role, text)
-            assert chat.unescape(formatted[start:end]) == text
+            assert chat.unescape(formatted[start:end]) == (text if role == "assistant" else "")
+
+
+def test_mask_holds_assistants_only(spark):
+    """A very long turn, read linearly; users' rows have no mask; a caller's own column called _tie means nothing."""
+    long = "ab é🎉 </turn>\\ #" * 350_000
+    frame = spark.createDataFrame(
+        [(1, 0, "user", "hello"), (1, 1, "assistant", long), (1, 2, "system", "x")], "conv_id bigint, turn bigint, role string, text string"
+    )
+    log = chat.log_of(frame)
+    rows = {r.message: r for r in chat.format_events(log.withColumn("_tie", F.lit("z"))).collect()}
+    assert [(rows[i].loss_start, rows[i].loss_end) for i in (0, 2)] == [(0, 0), (0, 0)]
+    assert chat.unescape(rows[1].formatted[rows[1].loss_start : rows[1].loss_end]) == long
+    (told,) = chat.read_back(chat.format_events(log, tie="_tie")).collect()
+    assert (told.loss_chars, told.loss_sha256) == (len(long), hashlib.sha256(long.encode()).hexdigest())
 
 
 def test_empty_conversations(spark):
