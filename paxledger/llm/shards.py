@@ -60,17 +60,18 @@ def shuffle_to_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, b
     """Every row of ``docs`` with its ``shard`` and its ``slot`` there, uniformly at random.
 
     Law ``rows``: shard sizes differ by one row at most, the lower shards being the larger ones. The result
-    follows from the rows and ``seed`` alone, so a task that runs again deals its rows as before. A null text
-    has size 1 and the checksum of no bytes; a null ``doc_id`` is a value like others; repeated rows get
+    follows from the rows, where they stand in the input, and ``seed``; rows are written down with a number first, so a
+    task that runs again deals them as before, and equal rows go to all blocks. A null text has size 1 and the checksum of no bytes; a null ``doc_id`` is a value like others; repeated rows get
     places of their own; an empty table gives none. Columns other than ``doc_id`` and ``text`` are not carried.
     """
     spark = docs.sparkSession
-    salt = lambda n: F.xxhash64(F.lit(seed + n), "doc_id", "text_crc32", "size")
+    salt = lambda n: F.xxhash64(F.lit(seed + n), "_row", "doc_id", "text_crc32", "size")
     rows = settle(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
             F.crc32(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("long").alias("text_crc32"),
+            F.monotonically_increasing_id().alias("_row"),
         ),
         "shard-rows",
     )
@@ -82,7 +83,7 @@ def shuffle_to_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, b
     matrix = communication_matrix([counts.get(b, 0) for b in range(blocks)], sizes, seed)
     ends = [(b, np.cumsum(row).tolist()) for b, row in enumerate(matrix)]
     table = spark.createDataFrame(ends, "_b int, _ends array<bigint>")
-    local = Window.partitionBy("_block").orderBy(salt(1), "doc_id", "text_crc32", "size")
+    local = Window.partitionBy("_block").orderBy(salt(1), "_row")
     sent = (
         placed.withColumn("_rank", F.row_number().over(local) - 1)
         .join(table, F.col("_block") == F.col("_b"))
@@ -90,12 +91,13 @@ def shuffle_to_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, b
             "doc_id",
             "size",
             "text_crc32",
+            "_row",
             F.size(F.filter("_ends", lambda e: e <= F.col("_rank"))).cast("int").alias("shard"),
         )
     )
     sent = settle(sent, "shard-sent")
     forget(rows)
-    return numbered(sent, ["shard"], bins_for(total), salt(2), [salt(3), "doc_id", "text_crc32", "size"], "slot")
+    return numbered(sent, ["shard"], bins_for(total), salt(2), [salt(3), "_row"], "slot").drop("_row")
 
 
 def op7_hypergeometric_shards(spark, docs: DataFrame) -> DataFrame:

@@ -277,6 +277,15 @@ def test_shards(spark):
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in small.collect()) == want
 
 
+def test_equal_rows_go_to_all_blocks(spark, monkeypatch):
+    blocks = {}
+    plain = shards.communication_matrix
+    monkeypatch.setattr(shards, "communication_matrix", lambda rows, sizes, seed: blocks.update(rows=rows) or plain(rows, sizes, seed))
+    out = shards.shuffle_to_shards(nasty.documents(spark, [(1, "same")] * 2000), block_rows=100)
+    assert Counter(r.shard for r in out.collect()) == Counter({k: 250 for k in range(8)})
+    assert len(blocks["rows"]) == 20 and min(blocks["rows"]) > 50 and max(blocks["rows"]) < 170
+
+
 # Fingerprints
 
 
