@@ -490,8 +490,7 @@ def admit_statement(
     found = [
         checks[name](state, touched).select(F.lit(name).alias("rule"), *BOOKING) for name in (names or list(checks))
     ]
-    violations = reduce(DataFrame.unionByName, found)
-    return Statement(accepted=batch.where(~violations.exists()), violations=violations)
+    return _judged(batch, found)
 
 
 def _keyed(rows: DataFrame, table: str, rule: str) -> DataFrame:
