@@ -405,6 +405,12 @@ _PVV_VALUES = ["balienummer", "inchecktijdstip", "stoel"]
 _SEATED = "SELECT passagiernummer, vluchtnummer, stoel FROM passagier_voor_vlucht WHERE stoel IS NOT NULL"
 _ADMITTED = "SELECT seq, passagiernummer, vluchtnummer, accepted, broken FROM admitted"
 
+def _old_row(table: str, alias: str, action: str) -> str:
+    """A history row as text: all its values, the moment and the action."""
+    parts = [f"coalesce(CAST({alias}.{c} AS VARCHAR), 'null')" for c in TABLES[table].names]
+    return f"'{table}' AS table_name, " + " || '|' || ".join([*parts, f"'{AS_OF}'", action]) + " AS row_text"
+
+
 _TURNED = _union(
     *[
         _keys(n, f"(SELECT * REPLACE (balienummer - balienummer % 3 + (balienummer + 1) % 3 AS balienummer) FROM {n})", columns)
@@ -645,6 +651,16 @@ QUERY_SQL: dict[str, str] = {
         f"""SELECT 'object' AS table_name, CAST(volgnummer AS VARCHAR) AS row_key, TIMESTAMP '{AS_OF}' AS "timestamp", 'delete' AS actie
             FROM object_unique JOIN rule05_baggage_limit USING (passagiernummer, vluchtnummer)""",
     ),
+    "history_all_rows": _union(
+        f"""SELECT {_old_row('passagier_voor_vlucht', 'b', "CASE WHEN a.passagiernummer IS NULL THEN 'delete' ELSE 'update' END")}
+            FROM passagier_voor_vlucht b LEFT JOIN second a USING (passagiernummer, vluchtnummer)
+            WHERE a.passagiernummer IS NULL OR a.balienummer IS DISTINCT FROM b.balienummer""",
+        f"""SELECT {_old_row('vlucht', 'b', "'update'")} FROM vlucht b JOIN flights_after a USING (vluchtnummer)
+            WHERE a.gatecode IS DISTINCT FROM b.gatecode OR a.max_aantal_psgrs IS DISTINCT FROM b.max_aantal_psgrs""",
+        f"SELECT {_old_row('maatschappij', 'b', chr(39) + 'delete' + chr(39))} FROM rule09_airline_has_desk b",
+        f"""SELECT {_old_row('object', 'b', "'delete'")} FROM object_unique b
+            JOIN (SELECT passagiernummer, vluchtnummer FROM rule05_baggage_limit) USING (passagiernummer, vluchtnummer)""",
+    ),
     "as_of_state": "SELECT * FROM second",
     "as_of_state_start": "SELECT * FROM passagier_voor_vlucht",
     "as_of_many": f"""

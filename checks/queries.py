@@ -406,9 +406,10 @@ def booking_history(spark: SparkSession, folder: str) -> DataFrame:
     return history.history_rows(before, _without_every_17th(before), joins.BOOKING, AS_OF)
 
 
-def all_history(spark: SparkSession, folder: str) -> DataFrame:
+def all_history(spark: SparkSession, folder: str, whole: bool = False) -> DataFrame:
     """History of every table between the stored state and the one after withdrawals, flight updates and the
-    removal of baggage over the limit. Items with the same number are one item here: history needs keys."""
+    removal of baggage over the limit: keys, or ``whole`` rows as they were. Items with the same number are one item
+    here: history needs keys."""
     t = project(spark, folder)
     items = t["object"].groupBy("volgnummer").agg(
         F.min("passagiernummer").alias("passagiernummer"),
@@ -425,6 +426,12 @@ def all_history(spark: SparkSession, folder: str) -> DataFrame:
         object=items.join(over, joins.BOOKING, "left_anti").select(*TABLES["object"].names),
     )
     made = history.history_all(before, after, AS_OF)
+    if whole:
+        marks = [F.col("timestamp").cast("string"), F.col("actie")]
+        return _union(
+            df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in TABLES[name].names], *marks).alias("row_text"))
+            for name, df in made.items()
+        )
     return _union(
         df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *[F.col(c).cast("string") for c in TABLES[name].key]).alias("row_key"), "timestamp", "actie")
         for name, df in made.items()
@@ -719,6 +726,7 @@ QUERIES: dict[str, Query] = {
     # history
     "history_rows": booking_history,
     "history_all": all_history,
+    "history_all_rows": lambda s, d: all_history(s, d, whole=True),
     "as_of_state": state_between,
     "as_of_state_start": _state_at_start,
     "as_of_many": states_at_many_moments,

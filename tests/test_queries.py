@@ -22,7 +22,7 @@ EAGER = {
     "admit_desks", "admit_desks_accepted", "admit_flights", "admit_flights_accepted", "guard_flight_update_as_written", "rule02_changed_booked_flights", "rule02_as_written", "history_all", "delete_cascade",
     "delete_cascade_refused", "rekey_cascade", "rekey_cascade_refused", "load_tables_rows", "write_version_as_of",
     "upsert_touched_files", "remove_baggage_touched_files", "delete_cascade_touched_files", "rekey_swap",
-    "rekey_swap_touched_files", "stream_row_rules_live", "as_of_many", "audit_after",
+    "rekey_swap_touched_files", "stream_row_rules_live", "as_of_many", "audit_after", "history_all_rows",
 }
 #: Compared on every run; ORACLE_ALL=1 compares the rest as well.
 CORE = {
