@@ -424,3 +424,39 @@ def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 def op4_multi_index_hamming(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return near_duplicates(docs)
+
+
+#: The contract of op4 in SQL: sets compared wherever they share a shingle, components by what each document reaches.
+OP4_SQL = r"""
+WITH RECURSIVE taken AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+placed AS (SELECT doc_id, len(words) AS n, unnest(words) AS w1, generate_subscripts(words, 1) AS nr FROM taken WHERE len(words) > 0),
+following AS (
+    SELECT doc_id, n, nr, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4
+    FROM placed WINDOW o AS (PARTITION BY doc_id ORDER BY nr)
+),
+shingles AS (
+    SELECT DISTINCT doc_id, concat_ws(' ', w1, w2, w3, w4) AS shingle FROM following WHERE w4 IS NOT NULL OR (n < 4 AND nr = 1)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+    SELECT x, y FROM shared s JOIN sizes a ON a.doc_id = s.x JOIN sizes b ON b.doc_id = s.y
+    WHERE 100 * s.n >= 80 * (a.n + b.n - s.n)
+),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT r.doc_id, e.y FROM reached r JOIN both_ways e ON e.x = r.other
+),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+FROM documents d JOIN least l ON l.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""

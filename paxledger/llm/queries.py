@@ -21,6 +21,8 @@ QUERIES = {
     "op13_lemp_negatives": negatives.op13_lemp_negatives,
 }
 SQL = {
+    "op1_lyndon_suffix_dedup": suffixes.OP1_SQL,
+    "op4_multi_index_hamming": neardup.OP4_SQL,
     "op5_secret_ledger": secrets.OP5_SQL,
     "op6_merkle_audit": archive.OP6_SQL,
     "op10_event_sourced_chat": chat.OP10_SQL,

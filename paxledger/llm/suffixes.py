@@ -409,3 +409,33 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
 
 def op1_lyndon_suffix_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return remove_repeats(docs, with_text=False)
+
+
+#: The contract of op1 in SQL: all windows of 400 bytes, as two hexadecimal digits a byte, told apart by their digests.
+OP1_SQL = """
+WITH given AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS bytes FROM documents),
+sized AS (SELECT doc_id, bytes, length(bytes) // 2 AS n FROM given),
+pieces AS (SELECT doc_id, unnest(range(0, n - 399, 512)) AS base, bytes, n FROM sized WHERE n >= 400),
+cut AS (SELECT doc_id, base, n, substring(bytes, 2 * base + 1, 2 * (512 + 399)) AS piece FROM pieces),
+starts AS (SELECT doc_id, base, piece, unnest(range(0, least(512, n - 399 - base))) AS place FROM cut),
+windows AS (SELECT doc_id, base + place AS begun, md5(substring(piece, 2 * place + 1, 800)) AS digest FROM starts),
+often AS (SELECT digest FROM windows GROUP BY digest HAVING count(*) > 1),
+repeats AS (SELECT doc_id, begun FROM windows WHERE digest IN (SELECT digest FROM often)),
+steps AS (SELECT doc_id, begun, begun > coalesce(lag(begun) OVER o + 400, -1) AS opens FROM repeats WINDOW o AS (PARTITION BY doc_id ORDER BY begun)),
+runs AS (SELECT doc_id, begun, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY begun) AS run FROM steps),
+spans AS (SELECT doc_id, min(begun) AS low, max(begun) + 400 AS high FROM runs GROUP BY doc_id, run),
+removed AS (SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id),
+edges AS (
+    SELECT doc_id, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS low, low AS high FROM spans
+    UNION ALL
+    SELECT s.doc_id, coalesce(max(p.high), 0), s.n FROM sized s LEFT JOIN spans p ON p.doc_id = s.doc_id GROUP BY s.doc_id, s.n
+),
+kept AS (
+    SELECT e.doc_id, string_agg(substring(s.bytes, 2 * e.low + 1, 2 * (e.high - e.low)), '' ORDER BY e.low, e.high) AS bytes
+    FROM edges e JOIN sized s ON s.doc_id = e.doc_id
+    GROUP BY e.doc_id
+)
+SELECT s.doc_id, s.n AS n_bytes, coalesce(r.n_removed, 0)::BIGINT AS n_removed, coalesce(r.n_spans, 0) AS n_spans,
+    sha256(unhex(k.bytes)) AS kept_sha256
+FROM sized s JOIN kept k ON k.doc_id = s.doc_id LEFT JOIN removed r ON r.doc_id = s.doc_id
+"""
