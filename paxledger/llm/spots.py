@@ -55,8 +55,13 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
 
 
 def fingerprint(sigs: Column) -> Column:
-    """Size of the set and a digest of it: equal for equal sets, and so for equal texts."""
-    return F.concat(F.size(sigs).cast("string"), F.lit(":"), F.sha2(F.array_join(F.array_sort(sigs).cast("array<string>"), ","), 256))
+    """The set itself, in ascending order: equal for equal sets, and so for equal texts. ``signatures_of`` reads it back."""
+    return F.array_join(F.array_sort(sigs).cast("array<string>"), ",")
+
+
+def signatures_of(fingerprint: Column) -> Column:
+    """The set that a fingerprint states."""
+    return F.when(fingerprint == "", F.array().cast("array<bigint>")).otherwise(F.split(fingerprint, ",").cast("array<bigint>"))
 
 
 def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
@@ -70,12 +75,15 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     )
 
 
-def ranged(rows: DataFrame) -> tuple[DataFrame, Column]:
+def ranged(rows: DataFrame, tie: Column) -> tuple[DataFrame, Column]:
     """(_range, _next) for the ranges of doc_id that hold rows, and the range of a doc_id as an expression.
 
-    Ranges follow the ids: nulls first, then, within each of ``COARSE`` quantile ranges, equal steps.
+    Ranges follow the ids: nulls first, in equal steps of ``tie``, a hash of 32 bits; then, within each of ``COARSE``
+    quantile ranges, equal steps of the id.
     """
-    n, bounds = rows.agg(F.count(F.lit(1)), F.percentile_approx("doc_id", [i / COARSE for i in range(COARSE + 1)], 1000)).first()
+    n, without, bounds = rows.agg(
+        F.count(F.lit(1)), F.count_if(F.col("doc_id").isNull()), F.percentile_approx("doc_id", [i / COARSE for i in range(COARSE + 1)], 1000)
+    ).first()
     cuts = sorted(set(bounds or [])) or [0]
     # The last range is closed above by the largest id, which percentile_approx returns for 1.
     low, high = cuts, [*cuts[1:], cuts[-1] + 1]
@@ -86,7 +94,9 @@ def ranged(rows: DataFrame) -> tuple[DataFrame, Column]:
         (F.col("doc_id") - F.element_at(F.array(*[F.lit(c) for c in low]), at)) / F.element_at(F.array(*[F.lit(w) for w in width]), at)
     )
     inside = F.least(F.greatest(inside, F.lit(0)), F.lit(steps - 1))
-    place = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(at.cast("long") * steps + inside).cast("long")
+    null_step = -(-(1 << 32) // max(1, -(-without // ROWS_PER_RANGE)))
+    first = F.floor(tie / F.lit(null_step)) - F.lit(-(-(1 << 32) // null_step))
+    place = F.when(F.col("doc_id").isNull(), first).otherwise(at.cast("long") * steps + inside).cast("long")
     held = rows.select(place.alias("_range")).distinct()
     # A few numbers a thousand rows.
     following = held.select("_range", F.lead("_range").over(Window.orderBy("_range")).alias("_next"))
@@ -96,17 +106,18 @@ def ranged(rows: DataFrame) -> tuple[DataFrame, Column]:
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, sigs, next_text, next_sigs: text and signatures, and those of the next document by doc_id, after the last the first's.
 
-    Nulls come first and rows of one id by their text, so the result doesn't depend on how rows are dealt out. Text
-    is shuffled once: ranges of ids are sorted each by itself, and only the first text of a range travels to the one
+    Nulls come first and rows of one id, or of none, by a hash of their text and then the text, so the result doesn't
+    depend on how rows are dealt out, and rows without ids fill several ranges. Text is shuffled once: ranges of ids are sorted each by itself, and only the first text of a range travels to the one
     before.
     """
     plain = texts(docs)
-    following, place = ranged(plain)
+    tie = F.shiftrightunsigned(F.xxhash64("text"), 32)
+    following, place = ranged(plain, tie)
     following = settle(following, "spots-ranges")
-    placed = plain.withColumn("_range", place)
-    order = [F.col("doc_id").asc_nulls_first(), "text"]
+    placed = plain.withColumn("_range", place).withColumn("_tie", tie)
+    order = [F.col("doc_id").asc_nulls_first(), "_tie", "text"]
     firsts = settle(
-        placed.groupBy("_range").agg(F.min_by("text", F.struct("doc_id", "text")).alias("_first")), "spots-firsts"
+        placed.groupBy("_range").agg(F.min_by("text", F.struct("doc_id", "_tie", "text")).alias("_first")), "spots-firsts"
     )
     start = following.agg(F.min("_range")).first()[0]
     joined = (
@@ -163,7 +174,7 @@ def near_pairs(docs: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFram
     enough share one; then lengths and the exact Jaccard decide.
     """
     sets = settle(texts(docs).select("doc_id", F.array_sort(signatures(F.col("text"))).alias("sigs")), "spots-sets")
-    keyed = sets.select("doc_id", fingerprint(F.col("sigs")).alias("_print"))
+    keyed = sets.select("doc_id", F.sha2(fingerprint(F.col("sigs")), 256).alias("_print"))
     ids = keyed.groupBy("_print").agg(F.min("doc_id").alias("class_id"))
     member = settle(keyed.join(ids, "_print").select("doc_id", "class_id"), "spots-classes")
     lead = member.where("doc_id = class_id").select(F.col("class_id").alias("_id")).distinct()

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from paxledger.llm import neardup, secrets, shards, spots, suffixes
@@ -303,6 +304,56 @@ def test_fingerprints(spark):
     assert out[12].near_edited > 0.4 and out[9].near_next == 0.0
 
 
+def chains(text: str) -> set[tuple]:
+    """Signatures as they are described: common words, the content word after them and the next two."""
+    units, held = [], []
+    words = regex.sub(r"[^\p{L}\p{N}]+", " ", text.lower()).split()
+    for i, word in enumerate(words):
+        if word in spots.ANCHORS and i + 1 < len(words):
+            held.append(word)
+        else:
+            units.append((tuple(held), word))
+            held = []
+    chain = lambda i: (units[i], *[w for _, w in units[i + 1 : i + spots.CHAIN]])
+    return {chain(i) for i in range(len(units)) if units[i][0]} or {chain(i) for i in range(len(units))}
+
+
+def jaccard(a: set, b: set) -> float:
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_likeness_against_plain_sets(spark):
+    given = [(i, t or "") for i, t in dict(nasty.TEXTS).items() if i is not None]
+    given += [(20, "of the"), (21, "of the and house"), (22, "Haus der Kunst, der Haus der Kunst")]
+    order = sorted(given)
+    found = spots.op9_spotsigs(spark, nasty.documents(spark, given))
+    sets = found.select("*", spots.signatures_of(F.col("fingerprint")).alias("a"), spots.signatures_of(F.col("edited_fingerprint")).alias("b"))
+    out = {r.doc_id: r for r in sets.collect()}
+    for (d, text), (following, other) in zip(order, order[1:] + order[:1]):
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + other[:cut]
+        r = out[d]
+        assert (len(r.a), len(set(r.a)), len(r.b)) == (len(chains(text)), len(chains(text)), len(chains(edited)))
+        assert r.near_edited == pytest.approx(jaccard(chains(text), chains(edited))) == pytest.approx(jaccard(set(r.a), set(r.b)))
+        assert r.near_next == pytest.approx(jaccard(chains(text), chains(other))) == pytest.approx(jaccard(set(r.a), set(out[following].a)))
+
+
+def test_rows_without_ids_fill_several_ranges(spark, monkeypatch):
+    monkeypatch.setattr(spots, "ROWS_PER_RANGE", 16)
+    given = [(None, f"the word{i} of {nasty.prose(i, 6)}") for i in range(300)] + [(i, f"an end {i}") for i in range(40)]
+    docs = nasty.documents(spark, given).select("doc_id", "text")
+    tie = F.shiftrightunsigned(F.xxhash64("text"), 32)
+    _, place = spots.ranged(docs, tie)
+    held = [r["count"] for r in docs.where("doc_id IS NULL").groupBy(place.alias("at")).count().collect()]
+    assert len(held) > 10 and max(held) < 60
+    line = [(r.doc_id, r.text) for r in docs.orderBy(F.col("doc_id").asc_nulls_first(), tie, "text").collect()]
+    want = Counter()
+    for (d, text), (_, following) in zip(line, line[1:] + line[:1]):
+        cut = len(text) // 4
+        want[d, hashlib.sha256((text[: len(text) - cut] + following[:cut]).encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.edited_sha256) for r in spots.op9_spotsigs(spark, docs).collect()) == want
+
+
 def test_fingerprints_of_repeated_rows(spark):
     assert spots.op9_spotsigs(spark, nasty.documents(spark)).count() == len(nasty.TEXTS)
 
