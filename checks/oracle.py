@@ -76,6 +76,17 @@ PARTS: dict[str, str] = {
         WHERE (desk + d - d % 3) % 4 <> 0""",
     "inchecken_voor_vlucht": """
         SELECT DISTINCT CAST(1 + (l_suppkey + l_linenumber) % 50 AS INT) AS balienummer, l_partkey AS vluchtnummer FROM lineitem""",
+    "airport_rows": """
+        SELECT CASE WHEN CAST(luchthavencode AS INT) % 4 = 0 THEN luchthavencode WHEN CAST(luchthavencode AS INT) % 7 = 0 THEN 'NNN'
+                    ELSE 'N' || luchthavencode END AS luchthavencode,
+               CASE CAST(luchthavencode AS INT) % 5 WHEN 0 THEN naam WHEN 1 THEN 'Twin ' || CAST(CAST(luchthavencode AS INT) // 10 AS VARCHAR)
+                    WHEN 2 THEN NULL ELSE 'New ' || naam END AS naam
+        FROM luchthaven""",
+    "passenger_rows": """
+        SELECT CASE WHEN passagiernummer % 7 = 0 THEN passagiernummer WHEN passagiernummer % 13 = 0 THEN 2000000000 + passagiernummer // 26
+                    ELSE 1000000000 + passagiernummer END AS passagiernummer,
+               CASE WHEN passagiernummer % 11 <> 0 THEN naam END AS naam
+        FROM passagier""",
     # --- rules ---
     "trips": """
         SELECT passagiernummer, vluchtnummer, vertrektijdstip, aankomsttijdstip
@@ -560,6 +571,25 @@ QUERY_SQL: dict[str, str] = {
         UNION ALL SELECT 'fk_balie', balienummer, vluchtnummer FROM desk_judged WHERE NOT stands
         UNION ALL SELECT 'pk', balienummer, vluchtnummer FROM desk_requests GROUP BY ALL HAVING count(*) > 1""",
     "admit_desks_accepted": "SELECT balienummer, vluchtnummer FROM desk_judged WHERE fits AND flies AND stands",
+    "admit_airports": """
+        SELECT 'mixed' AS batch, 'not_null' AS rule, luchthavencode FROM airport_rows WHERE naam IS NULL GROUP BY ALL
+        UNION ALL SELECT 'mixed', 'pk', luchthavencode FROM airport_rows GROUP BY luchthavencode
+                  HAVING count(*) > 1 OR luchthavencode IN (SELECT luchthavencode FROM luchthaven)
+        UNION ALL SELECT DISTINCT 'mixed', 'unique_naam', luchthavencode FROM airport_rows a
+                  WHERE naam IN (SELECT naam FROM luchthaven) OR (SELECT count(*) FROM airport_rows b WHERE b.naam = a.naam) > 1
+        UNION ALL SELECT 'fit', 'accepted', 'N' || luchthavencode FROM luchthaven""",
+    "admit_destination_desks": """
+        SELECT 'pk' AS rule, balienummer, luchthavencode FROM inchecken_voor_bestemming WHERE balienummer % 3 = 0
+        UNION ALL SELECT 'fk_balie', CAST(balienummer + 1000 AS INT), luchthavencode FROM inchecken_voor_bestemming WHERE balienummer % 3 = 1
+        UNION ALL SELECT 'fk_luchthaven', balienummer, 'X' || luchthavencode FROM inchecken_voor_bestemming WHERE balienummer % 3 = 2
+        UNION ALL SELECT 'fk_balie', balienummer, CASE WHEN balienummer % 3 = 2 THEN 'X' ELSE '' END || luchthavencode
+                  FROM inchecken_voor_bestemming WHERE balienummer % 3 <> 1 AND balienummer NOT IN (SELECT balienummer FROM balie)
+        UNION ALL SELECT 'fk_luchthaven', CAST(CASE WHEN balienummer % 3 = 1 THEN balienummer + 1000 ELSE balienummer END AS INT), luchthavencode
+                  FROM inchecken_voor_bestemming WHERE balienummer % 3 <> 2 AND luchthavencode NOT IN (SELECT luchthavencode FROM luchthaven)""",
+    "admit_passengers": """
+        SELECT 'not_null' AS rule, passagiernummer FROM passenger_rows WHERE naam IS NULL GROUP BY ALL
+        UNION ALL SELECT 'pk', passagiernummer FROM passenger_rows GROUP BY passagiernummer
+                  HAVING count(*) > 1 OR passagiernummer IN (SELECT passagiernummer FROM passagier)""",
     "admit_flights": """
         SELECT 'rule02_changed_booked_flights' AS rule, vluchtnummer FROM flight_rows n JOIN vlucht v USING (vluchtnummer)
         WHERE (n.gatecode <> v.gatecode OR n.max_aantal_psgrs <> v.max_aantal_psgrs) AND vluchtnummer IN (SELECT vluchtnummer FROM passagier_voor_vlucht)

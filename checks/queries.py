@@ -368,6 +368,57 @@ def desks_taken(spark: SparkSession, folder: str) -> DataFrame:
     return admission.admit_desks(t, fit).accepted
 
 
+def _airport_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every airport again under a new code and name: some keep either, share a name or a code, or have no name."""
+    number = F.col("luchthavencode").cast("int")
+    code = F.when(number % 4 == 0, F.col("luchthavencode")).when(number % 7 == 0, "NNN").otherwise(F.concat(F.lit("N"), "luchthavencode"))
+    name = (
+        F.when(number % 5 == 0, F.col("naam"))
+        .when(number % 5 == 1, F.concat(F.lit("Twin "), F.floor(number / 10).cast("string")))
+        .when(number % 5 == 2, F.lit(None))
+        .otherwise(F.concat(F.lit("New "), "naam"))
+    )
+    return project(spark, folder)["luchthaven"].select(code.alias("luchthavencode"), name.alias("naam"), "land")
+
+
+def airports_judged(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch that is refused, with what speaks against it, and one that is taken."""
+    t = project(spark, folder)
+    whole = admission.admit_table(t, "luchthaven", _airport_rows(spark, folder))
+    new = t["luchthaven"].withColumns({c: F.concat(F.lit("N"), c) for c in ("luchthavencode", "naam")})
+    fit = admission.admit_table(t, "luchthaven", new)
+    shown = lambda batch, rows, rule: rows.select(F.lit(batch).alias("batch"), rule.alias("rule"), "luchthavencode")
+    return _union(
+        [shown(name, made.violations, F.col("rule")) for name, made in (("mixed", whole), ("fit", fit))]
+        + [shown(name, made.accepted, F.lit("accepted")) for name, made in (("mixed", whole), ("fit", fit))]
+    )
+
+
+def destination_desk_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """The desks of destinations again: a third as they are stored, a third with unknown desks, a third with unknown airports."""
+    t = project(spark, folder)
+    turn = F.col("balienummer") % 3
+    batch = t["inchecken_voor_bestemming"].select(
+        F.when(turn == 1, F.col("balienummer") + 1000).otherwise(F.col("balienummer")).cast("int").alias("balienummer"),
+        F.when(turn == 2, F.concat(F.lit("X"), "luchthavencode")).otherwise(F.col("luchthavencode")).alias("luchthavencode"),
+    )
+    return admission.admit_table(t, "inchecken_voor_bestemming", batch).violations
+
+
+def passenger_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """All passengers again: some under their own numbers, some two by two under one, some without a name."""
+    t = project(spark, folder)
+    number = F.col("passagiernummer")
+    batch = t["passagier"].select(
+        F.when(number % 7 == 0, number).when(number % 13 == 0, F.lit(2_000_000_000) + F.floor(number / 26)).otherwise(F.lit(1_000_000_000) + number)
+        .cast("long").alias("passagiernummer"),
+        F.when(number % 11 != 0, F.col("naam")).alias("naam"),
+        "geslacht",
+        "geboortedatum",
+    )
+    return admission.admit_table(t, "passagier", batch).violations
+
+
 def _flight_rows(spark: SparkSession, folder: str, new: bool) -> DataFrame:
     """Every flight again with another gate and more places, or as a new flight with its own number."""
     flights = project(spark, folder)["vlucht"]
@@ -701,6 +752,9 @@ QUERIES: dict[str, Query] = {
     "admit_statement_accepted": accepted_statement,
     "admit_desks": desk_violations,
     "admit_desks_accepted": desks_taken,
+    "admit_airports": airports_judged,
+    "admit_destination_desks": destination_desk_violations,
+    "admit_passengers": passenger_violations,
     "admit_flights": flight_violations,
     "admit_flights_accepted": flights_taken,
     "admit_rows": admitted_rows,

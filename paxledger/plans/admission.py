@@ -545,3 +545,29 @@ def admit_flights(t: Mapping[str, DataFrame], batch: DataFrame) -> Statement:
             _keyed(heavy, table, "rule06_weight_budget"),
         ],
     )
+
+
+def _stored_too(t: Mapping[str, DataFrame], table: str, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows whose values of ``columns`` a stored row has. Stored rows are cut to those of the batch first."""
+    held = t[table].join(rows.select(*columns).distinct(), columns, "left_semi").select(*columns).distinct()
+    return rows.join(held, columns, "left_semi")
+
+
+def admit_table(t: Mapping[str, DataFrame], table: str, batch: DataFrame) -> Statement:
+    """New rows of any table as one statement that inserts them, taken whole or not at all.
+
+    Refused are a missing required value (``not_null``), a key that is stored or comes twice (``pk``), an alternate key
+    that is stored or comes twice (``unique_<column>``) and unknown parents (``fk_<parent>``). Missing values break
+    ``not_null`` only. ``violations`` has the rule and the key of each row that breaks it, once for each rule. For tables
+    with rules of their own (bookings, baggage, flights, their desks, airlines with desks) these judge on top of it.
+    """
+    spec = TABLES[table]
+    key = list(spec.key)
+    rows = settle(incoming(batch.select(*spec.names), table), table)
+    complete = rows.where(~lacks(table, key))
+    found = [*_row_violations(t, table, rows), _keyed(_stored_too(t, table, complete, key), table, "pk")]
+    for column in spec.unique:
+        twice = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n")).where("_n > 1")
+        shared = rows.join(twice, column, "left_semi").unionByName(_stored_too(t, table, rows, [column]))
+        found.append(_keyed(shared, table, f"unique_{column}"))
+    return _judged(rows, [reduce(DataFrame.unionByName, found).distinct()])

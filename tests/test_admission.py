@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from paxledger.operators import graph
 from paxledger.plans import admission, rules
 from paxledger.plans.changes import upsert_bookings
-from paxledger.sources.schema import REQUEST_SCHEMA
+from paxledger.sources.schema import REQUEST_SCHEMA, TABLES
 
 BOOKING = ("passagiernummer", "vluchtnummer")
 
@@ -267,3 +267,33 @@ def test_linked(spark):
             break
         want = after
     assert got == want
+
+
+def _judge(spark, table, *rows):
+    t = airport(spark)
+    made = admission.admit_table(t, table, frame(spark, list(rows), TABLES[table].schema))
+    return found(made.violations, "rule", *TABLES[table].key), made.accepted.count()
+
+
+def test_new_rows_of_plain_tables_are_taken_whole(spark):
+    assert _judge(spark, "luchthaven", ("AMS", "Schiphol", None), ("CDG", "Roissy", "F")) == ([], 2)
+    assert _judge(spark, "passagier", (1, "A", "M", at("1970-01-01 00:00"))) == ([], 1)
+    assert _judge(spark, "inchecken_bij_maatschappij", (4, "KL")) == ([], 1)
+    assert _judge(spark, "luchthaven") == ([], 0)
+
+
+def test_keys_and_names_of_plain_tables_are_unique(spark):
+    assert _judge(spark, "luchthaven", ("DUB", "Other", None), ("AMS", "Schiphol", None)) == ([("pk", "DUB")], 0)
+    assert _judge(spark, "luchthaven", ("AMS", "Dublin", None)) == ([("unique_naam", "AMS")], 0)
+    twins = ("AMS", "Twin", None), ("CDG", "Twin", None), ("LHR", "Heathrow", None)
+    assert _judge(spark, "luchthaven", *twins) == ([("unique_naam", "AMS"), ("unique_naam", "CDG")], 0)
+    # A row given three times over breaks each rule once; a code with blanks is the stored one.
+    assert _judge(spark, "maatschappij", *[("KL ", "KLM")] * 3) == ([("pk", "KL"), ("unique_naam", "KL")], 0)
+    assert _judge(spark, "balie", (4,), (5,), (5,)) == ([("pk", 4), ("pk", 5)], 0)
+
+
+def test_missing_values_and_parents_of_plain_tables(spark):
+    assert _judge(spark, "luchthaven", ("AMS", None, None), ("CDG", None, None)) == ([("not_null", "AMS"), ("not_null", "CDG")], 0)
+    assert _judge(spark, "gate", (None,)) == ([("not_null", None)], 0)
+    wrong = (9, "KL"), (4, "TT"), (1, "KL")
+    assert _judge(spark, "inchecken_bij_maatschappij", *wrong) == ([("fk_balie", 9, "KL"), ("fk_maatschappij", 4, "TT"), ("pk", 1, "KL")], 0)

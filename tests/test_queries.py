@@ -23,6 +23,7 @@ EAGER = {
     "delete_cascade_refused", "rekey_cascade", "rekey_cascade_refused", "load_tables_rows", "write_version_as_of",
     "upsert_touched_files", "remove_baggage_touched_files", "delete_cascade_touched_files", "rekey_swap",
     "rekey_swap_touched_files", "stream_row_rules_live", "as_of_many", "audit_after", "history_all_rows",
+    "admit_airports", "admit_destination_desks", "admit_passengers",
 }
 #: Compared on every run; ORACLE_ALL=1 compares the rest as well.
 CORE = {
@@ -34,6 +35,7 @@ CORE = {
     "register_airline", "guard_flight_update", "backfill_flights", "delete_cascade", "rekey_cascade", "history_rows",
     "as_of_state", "load_tables_rows", "write_version_as_of", "upsert_touched_files", "delete_cascade_touched_files",
     "rekey_swap_touched_files", "stream_row_rules_live", "as_of_many", "audit_after",
+    "admit_airports", "admit_destination_desks", "admit_passengers",
 }
 COMPARED = [n for n in QUERIES if n in CORE or os.environ.get("ORACLE_ALL")]
 
