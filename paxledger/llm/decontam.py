@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paxledger.llm.common import bins_for, numbered, settle, table, texts
+from paxledger.llm.suffixes import BITS, _bitmap
 
 #: Words of a passage at most; passages of one item overlap by half.
 PASSAGE = 64
-#: Passages with fewer words can't be told from chance and are matched nowhere.
+#: Items with fewer words can't be told from chance by weights; documents that hold their words side by side are found exactly.
 LEAST_WORDS = 5
 #: Words of a document's windows, a quarter of which lies between two starts. Passages shorter than these have
 #: windows of their own lengths besides, from every word on.
@@ -374,12 +375,52 @@ def _search(shared):
     return search
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def _short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        held = [(item, words_of(text)) for item, text in zip(batch["item_id"], batch["text"])]
+        rows = [(item, b" ".join(words), len(words)) for item, words in held if 0 < len(words) < LEAST_WORDS]
+        yield pd.DataFrame(rows, columns=["item_id", "sequence", "words"])
+
+
+def _sequences(lengths: list[int], shared):
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc, text in zip(batch["doc"], batch["text"]):
+                words = words_of(text)
+                held = {b" ".join(words[i : i + n]) for n in lengths for i in range(len(words) - n + 1)}
+                rows += [(doc, x) for x in held if shared.value[zlib.crc32(x) % BITS]]
+                if len(rows) > 1 << 16:
+                    yield pd.DataFrame(rows, columns=["doc", "sequence"])
+                    rows = []
+            yield pd.DataFrame(rows, columns=["doc", "sequence"])
+
+    return cut
+
+
+def exact_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """(doc, item_id, words) for items of fewer than ``LEAST_WORDS`` words that a document holds side by side; None without such items.
+
+    A set of fixed size leaves out most sequences that are no item's before documents and items are joined.
+    """
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    short = settle(items.where("item_id IS NOT NULL").mapInPandas(_short, "item_id bigint, sequence binary, words int").distinct(), "leak-short")
+    lengths = [r.words for r in short.select("words").distinct().collect()]
+    if not lengths:
+        return None
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(short.select(F.crc32("sequence").alias("doc"))))
+    plain = texts(docs).select(F.col("doc_id").cast("string").alias("doc"), "text")
+    held = plain.mapInPandas(_sequences(lengths, shared), "doc string, sequence binary")
+    return held.join(short, "sequence").select("doc", "item_id", "words")
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, short_items: bool = False) -> DataFrame:
     """(doc_id, item_id) and the evidence, for each document that holds a passage of a benchmark item.
 
     The benchmark is the stated set of queries, searched in blocks against every window of every whole document.
-    Null or empty texts, documents or items, match nothing; so do items of fewer than ``LEAST_WORDS`` words. Rows
-    that repeat in ``docs`` are reported once.
+    Items of fewer than ``LEAST_WORDS`` words are left out unless ``short_items``: then a document that holds their
+    words side by side is reported, ``exact``, with a cosine of 1. Null or empty texts, documents or items, match
+    nothing. Rows that repeat in ``docs`` are reported once.
     """
     spark = docs.sparkSession
     plain = texts(docs).select(F.col("doc_id").cast("string").alias("doc"), "text")
@@ -387,7 +428,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for lot in in_lots(build_indexes(docs, benchmark)):
         shared = spark.sparkContext.broadcast(lot)
         found = found.unionByName(plain.mapInPandas(_search(shared), _HITS.replace("doc_id bigint", "doc string")))
-    best = F.max_by(F.struct("cosine", "common", "words", "answer_common", "answer_words"), F.struct(F.col("common") / F.col("words"), "cosine"))
+    found = found.withColumn("exact", F.lit(False))
+    short = exact_leaks(docs, benchmark) if short_items else None
+    if short is not None:
+        none = F.lit(0).alias
+        found = found.unionByName(short.select(
+            "doc", "item_id", F.lit(1.0).alias("cosine"), F.col("words").alias("common"), "words", none("answer_common"), none("answer_words"), F.lit(True).alias("exact")
+        ))
+    best = F.max_by(F.struct("cosine", "common", "words", "answer_common", "answer_words", "exact"), F.struct(F.col("common") / F.col("words"), "cosine"))
     grouped = found.groupBy(F.col("doc").cast("long").alias("doc_id"), "item_id").agg(best.alias("b"))
     return grouped.select("doc_id", "item_id", "b.*")
 
@@ -402,11 +450,14 @@ def _clean(shared):
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with their columns, that hold no benchmark passage."""
+    """The rows of ``docs``, with their columns, that hold no benchmark passage.
+
+    Items of fewer than ``LEAST_WORDS`` words remove nothing: their words stand in clean documents as well.
+    """
     for lot in in_lots(build_indexes(docs.select("doc_id", "text"), benchmark)):
         docs = docs.where(_clean(docs.sparkSession.sparkContext.broadcast(lot)))
     return docs
 
 
 def op3_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_items=True)

@@ -98,6 +98,24 @@ def test_leaks(spark):
     assert sorted(r.doc_id for r in clean.collect()) == list(range(500, 560))
 
 
+def test_leaks_of_short_items(spark):
+    short = [(92, "the of"), (93, "The, of!"), (94, "Zoë's"), (95, "quite rare words"), (96, "a"), (97, "ab ab ab ab"), (98, None), (None, "the")]
+    docs = nasty.TEXTS + [(600, "x quite-rare words."), (601, "quite rare wordsmith"), (602, "the\nof"), (602, "the\nof"), (603, "often")]
+    bench = spark.createDataFrame(short + ITEMS[:4], "item_id bigint, text string")
+    found = decontam.find_leaks(nasty.documents(spark, docs), bench, short_items=True).collect()
+    want = set()
+    for d, text in docs:
+        held = decontam.words_of(text or "")
+        for item, sought in short:
+            n = len(words := decontam.words_of(sought or ""))
+            if item is not None and n and any(held[i : i + n] == words for i in range(len(held) - n + 1)):
+                want.add((d, item, n, True))
+    assert {(r.doc_id, r.item_id, r.words, r.exact) for r in found} == want and len(found) == len(want)
+    assert {i for _, i, *_ in want} == {92, 93, 94, 95, 96, 97}
+    assert decontam.exact_leaks(nasty.documents(spark), bench.where("item_id < 90")) is None
+    assert decontam.find_leaks(nasty.nothing(spark), bench, short_items=True).count() == 0
+
+
 def test_leaks_in_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK", 30)
     docs, want = leak_cases()
