@@ -32,9 +32,14 @@ _LIST = "table string, file string, place string, n_rows bigint"
 SMALL, MOST_SMALL = 0.25, 8
 
 
-def _file() -> Column:
-    """Folder and name of a row's file, which tell it from all others: writes have folders and Spark's files names of their own."""
-    return F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+)$", 1).alias("file")
+#: The whole path of a row's file.
+_PLACE = "_metadata.file_path"
+
+
+def _file(place: str) -> Column:
+    """Folder and name of a file, which tell it from all others: writes have folders and Spark's files names of their own.
+    Taken once a file, from paths that are grouped already, and never once a row."""
+    return F.substring_index(place, "/", -2).alias("file")
 
 
 class Outdated(Exception):
@@ -135,7 +140,7 @@ class Store:
 
     def _listed(self, table: str, folder: str, own: bool) -> DataFrame:
         rows = self.spark.read.schema(TABLES[table].schema).parquet(folder)
-        counted = rows.groupBy(_file(), F.col("_metadata.file_path").alias("place")).agg(F.count(F.lit(1)).alias("n_rows"))
+        counted = rows.groupBy(F.col(_PLACE).alias("place")).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("file", _file("place"))
         at = F.concat(F.lit(f"{table}/"), "file") if own else F.col("place")
         listed = counted.select(F.lit(table).alias("table"), "file", at.alias("place"), "n_rows")
         # A table without rows has no files but one entry, so that the version names it.
@@ -167,8 +172,9 @@ class Store:
     def touched(self, edit: Edit, version: int | None = None) -> DataFrame:
         """file, of the files that hold rows of the edit's keys. Only the key columns of the table are read."""
         rows = self.read(version)[edit.table]
-        held = rows.select(*edit.on, _file())
-        return held.join(edit.keys.select(*edit.on).distinct(), list(edit.on), "left_semi").select("file").distinct()
+        held = rows.select(*edit.on, F.col(_PLACE).alias("_place"))
+        met = held.join(edit.keys.select(*edit.on).distinct(), list(edit.on), "left_semi").select("_place").distinct()
+        return met.select(_file("_place"))
 
     def apply(self, edits: Iterable[Edit], by: Mapping[str, list[str]] | None = None, version: int | None = None) -> int:
         """Carry out edits of different tables on the newest version, and make the outcome the next one.

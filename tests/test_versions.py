@@ -246,3 +246,18 @@ def test_moments_survive(spark):
     store = stored(spark, airport(spark))
     assert rows_of(store.read()["vlucht"]) == rows_of(airport(spark)["vlucht"])
     assert store.read()["passagier_voor_vlucht"].where(F.col("inchecktijdstip") == F.lit(at("2004-02-05 20:00"))).count() == 3
+
+
+def test_names_of_files_are_taken_once_a_file(spark):
+    store = stored(spark, {"passagier_voor_vlucht": many_bookings(spark)}, by={"passagier_voor_vlucht": ["vluchtnummer"]}, files=10)
+    one = requests(spark, (3, 7, None, None, None)).select(*BOOKING)
+    met = store.touched(Edit("passagier_voor_vlucht", one, tuple(BOOKING)))
+    listed = store._listed("passagier_voor_vlucht", store.folder + "/data/passagier_voor_vlucht/*", own=True)
+    for rows in (met, listed):
+        # Text is cut where paths are grouped already: no line below the last grouping does it.
+        plan = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        last = max(i for i, line in enumerate(plan) if "Aggregate" in line)
+        assert not any("regexp" in line or "substring_index" in line for line in plan[last + 1 :])
+    names = {r.file for r in listed.collect() if r.file}
+    assert names == set(places(store, "passagier_voor_vlucht"))
+    assert {r.file for r in met.collect()} < names and met.count() == 1
