@@ -512,7 +512,7 @@ MOMENTS = ("2001-01-01 00:00:00", "2001-12-31 23:59:59", FIRST_CHANGE, BETWEEN,
 
 def states_at_many_moments(spark: SparkSession, folder: str) -> DataFrame:
     """Every booking at six moments, in one join. One passenger in nineteen comes with the second change only."""
-    last = project(spark, folder)["passagier_voor_vlucht"]
+    last = settle(project(spark, folder)["passagier_voor_vlucht"], "bookings")
     there = F.col("passagiernummer") % 19 != 0
     first = last.where(there)
     second = _without_every_17th(first)

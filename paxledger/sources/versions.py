@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paxledger.session import delete, place, prepare
+from paxledger.session import delete, place, prepare, settle
 from paxledger.sources.schema import TABLES
 from paxledger.sources.tables import Tables, conform, load_tables
 
@@ -131,6 +131,8 @@ class Store:
         folder = f"{self.folder}/data/{table}/{uuid.uuid4().hex}"
         out = conform(df, table)
         if by:
+            # Ranges are found in a pass of their own: what they are of is worked out once.
+            out = settle(out, "to-cluster")
             order = [*by, *[c for c in out.columns if c not in by]]
             out = (out.repartitionByRange(files, *order) if files else out.repartitionByRange(*order)).sortWithinPartitions(*by)
         elif files:
