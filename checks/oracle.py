@@ -650,16 +650,38 @@ QUERY_SQL: dict[str, str] = {
         ]
     ),
     "rekey_cascade_refused": _union(
+        _keys(
+            "luchthaven",
+            """(SELECT CASE WHEN luchthavencode IN (SELECT luchthavencode FROM vlucht) OR n > 1 OR x IN (SELECT luchthavencode FROM luchthaven)
+                       THEN luchthavencode ELSE x END AS luchthavencode
+                FROM (SELECT luchthavencode, 'X' || substr(luchthavencode, 2, 2) AS x,
+                             count(*) OVER (PARTITION BY substr(luchthavencode, 2, 2)) AS n FROM luchthaven))""",
+        ),
+        _keys(
+            "inchecken_voor_bestemming",
+            """(SELECT balienummer, CASE WHEN luchthavencode IN (SELECT luchthavencode FROM vlucht)
+                       OR (SELECT count(*) FROM luchthaven l WHERE substr(l.luchthavencode, 2, 2) = substr(b.luchthavencode, 2, 2)) > 1
+                       THEN luchthavencode ELSE 'X' || substr(luchthavencode, 2, 2) END AS luchthavencode
+                FROM inchecken_voor_bestemming b)""",
+        ),
+        """SELECT 'refused' AS table_name, luchthavencode AS row_key FROM (SELECT luchthavencode,
+                  count(*) OVER (PARTITION BY substr(luchthavencode, 2, 2)) AS n FROM luchthaven)
+           WHERE luchthavencode IN (SELECT luchthavencode FROM vlucht) OR n > 1""",
         *[
-            _keys(
-                n,
-                f"""(SELECT * REPLACE (CASE WHEN luchthavencode IN (SELECT luchthavencode FROM vlucht)
-                                            THEN luchthavencode ELSE 'X' || luchthavencode END AS luchthavencode) FROM {n})""",
+            "SELECT 'whole:' || table_name AS table_name, row_key FROM (" + part + ")"
+            for part in (
+                *[
+                    _keys(
+                        n,
+                        f"""(SELECT * REPLACE (CASE WHEN luchthavencode IN (SELECT luchthavencode FROM vlucht)
+                                                    THEN luchthavencode ELSE 'X' || luchthavencode END AS luchthavencode) FROM {n})""",
+                    )
+                    for n in ("luchthaven", "inchecken_voor_bestemming")
+                ],
+                """SELECT 'refused' AS table_name, luchthavencode AS row_key FROM luchthaven
+                   WHERE luchthavencode IN (SELECT luchthavencode FROM vlucht)""",
             )
-            for n in ("luchthaven", "inchecken_voor_bestemming")
         ],
-        """SELECT 'refused' AS table_name, luchthavencode AS row_key FROM luchthaven
-           WHERE luchthavencode IN (SELECT luchthavencode FROM vlucht)""",
     ),
     "rekey_swap": _TURNED,
     "rekey_swap_touched_files": _TURNED,

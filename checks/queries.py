@@ -296,11 +296,17 @@ def renumbered_desks(spark: SparkSession, folder: str) -> DataFrame:
     return _remaining(t, done, {"passagier_voor_vlucht": [*joins.BOOKING, "balienummer"]})
 
 
+def _coded(t: Tables, code: Column) -> DataFrame:
+    return _remaining(t, cascade.rekey_cascade(t, "luchthaven", t["luchthaven"].select("luchthavencode", code.alias("new_luchthavencode"))), {})
+
+
 def renamed_airports(spark: SparkSession, folder: str) -> DataFrame:
-    """All airports get new codes; those that flights go to are refused."""
+    """All airports get new codes, in two batches on the same tables; those that flights go to are refused. Codes of the
+    first keep two signs of the old ones, and those that several airports want are refused too; the second keeps all."""
     t = project(spark, folder)
-    mapping = t["luchthaven"].select("luchthavencode", F.concat(F.lit("X"), "luchthavencode").alias("new_luchthavencode"))
-    return _remaining(t, cascade.rekey_cascade(t, "luchthaven", mapping), {})
+    whole = _coded(t, F.concat(F.lit("X"), "luchthavencode"))
+    short = _coded(t, F.concat(F.lit("X"), F.substring("luchthavencode", 2, 2)))
+    return short.unionByName(whole.withColumn("table_name", F.concat(F.lit("whole:"), "table_name")))
 
 
 # --- admission ---------------------------------------------------------------------------------------
