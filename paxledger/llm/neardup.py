@@ -32,8 +32,9 @@ CHUNK = COMPONENTS // CHUNKS
 #: Every pair of signatures that differ in so many components or fewer is found. At a Jaccard of 0.8 a pair
 #: differs in more with a probability of about one in a million.
 DISTANCE = 2 * CHUNKS - 1
-#: Nodes of a block in the last comparison, and different nodes to compare with under the keys of one group.
-BLOCK, LEADERS = 512, 2
+#: Nodes of a block in the last comparison and elements of their sets, about, and different nodes to compare with under
+#: the keys of one group.
+BLOCK, BLOCK_ELEMENTS, LEADERS = 2048, 1 << 20, 2
 #: A longer signature of bytes, for what is left to the last comparison, and in how many of its components a pair
 #: may differ: 5.2 standard deviations above the mean at a Jaccard of 0.8, which one pair in ten million exceeds.
 WIDE, WIDE_DISTANCE = 512, 149
@@ -196,8 +197,13 @@ def _may_link(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wide = np.frombuffer(b"".join(held["wide"]), np.uint8).reshape(-1, WIDE)
         right = np.flatnonzero(block == j)
         met = np.zeros(len(held), bool)
-        for x in np.flatnonzero(block == i):
-            y = right[(comp[right] != comp[x]) & ((node[right] > node[x]) | (i != j))]
+        # Most nodes may lie in one component. These are compared with the others only, and within a block from there.
+        each, many = np.unique(comp, return_counts=True)
+        main = comp == each[many.argmax()]
+        others = right[~main[right]]
+        for x in np.flatnonzero((block == i) & ~(main & (i == j))):
+            y = others if main[x] else right
+            y = y[(comp[y] != comp[x]) & (main[y] | (node[y] > node[x]) | (i != j))]
             y = y[can_link(n[x], n[y], np.minimum(common[x], common[y]))]
             y = y[(sig[y] != sig[x]).sum(axis=1) <= DISTANCE]
             y = y[(wide[y] != wide[x]).sum(axis=1) <= WIDE_DISTANCE]
@@ -317,7 +323,7 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False, words: int = W
     turn = F.pmod(F.col("key"), F.lit(LEADERS))
     led = keys.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min_by("node", F.xxhash64("node", turn)).alias("leader")).where("many > 1")
     led = settle(led.withColumnRenamed("key", "_key"), "near-led")
-    shared = settle(keys.join(led, F.col("key") == F.col("_key")).select("key", "node", "leader", "many"), "near-shared")
+    shared = settle(keys.join(led, F.col("key") == F.col("_key")).select("key", "node", "leader"), "near-shared")
 
     met = shared.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     first = settle(_near(met, nodes), "near-first")
@@ -334,7 +340,7 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False, words: int = W
         apart = settle(apart.select(F.col("key").alias("_key")), "near-apart")
         return rows.join(apart, F.col("key") == F.col("_key")).drop("_key")
 
-    placed = settle(shared.join(comps, "node", "left").select("key", "node", "many", F.coalesce("comp", "node").alias("comp")), "near-placed")
+    placed = settle(shared.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp")), "near-placed")
     left = settle(mixed(placed), "near-left")
     forget(shared, placed, led)
     # An element that no other node left has can't be shared with any: it counts against every pair of its node.
@@ -353,8 +359,13 @@ def near_duplicates(docs: DataFrame, with_text_key: bool = False, words: int = W
     )
     able = sized.where(F.lit(LINK[1]) * F.col("common") >= F.lit(LINK[0]) * F.col("n"))
     sized = settle(able.mapInPandas(_wide, "node bigint, n bigint, common bigint, wide binary"), "near-sized")
-    left = mixed(left.join(sized.select("node"), "node", "left_semi"))
-    dealt = left.withColumn("_blocks", F.ceil(F.col("many") / BLOCK).cast("int")).withColumn(
+    left = mixed(left.join(sized.select("node", "n"), "node"))
+    # Each row goes to every block of its key, so blocks are counted over what is left there, not over all that met.
+    blocks = left.groupBy("key").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("_blocks")
+    )
+    several = settle(blocks.where("_blocks > 1").select(F.col("key").alias("_key"), "_blocks"), "near-blocks")
+    dealt = left.join(several, F.col("key") == F.col("_key"), "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1))).withColumn(
         "block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("_blocks")).cast("int")
     )
     spread = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(

@@ -143,6 +143,41 @@ def test_near_duplicates(spark):
     assert got == sorted(linked(given), key=repr)
 
 
+def edited_copies(count: int) -> list[tuple[int, str]]:
+    """Texts that differ from one another in about as many shingles as linked ones may."""
+    rng, base = random.Random(11), nasty.prose(77, 200).split()
+    out = []
+    for i in range(count):
+        words = list(base)
+        for at in rng.sample(range(len(words)), 5):
+            words[at] = f"x{rng.randrange(12)}"
+        out.append((i, " ".join(words)))
+    return out
+
+
+def test_a_group_of_near_copies_goes_to_one_block(spark, monkeypatch):
+    real, further = neardup._may_link, spark.sparkContext.accumulator(0)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(rows):
+        def each():
+            for batch in rows:
+                seen.add(len(batch))
+                further.add(int((batch["j"] > 0).sum()))
+                yield batch
+
+        yield from real(each())
+
+    monkeypatch.setattr(neardup, "_may_link", counting)
+    docs = nasty.documents(spark, edited_copies(700)).cache()
+    want = rows_of(neardup.near_duplicates(docs), "doc_id", "n_shingles", "component_id", "kept")
+    assert seen.value > 1000 and further.value == 0
+    monkeypatch.setattr(neardup, "BLOCK", 100)
+    monkeypatch.setattr(neardup, "BLOCK_ELEMENTS", 1 << 14)
+    assert rows_of(neardup.near_duplicates(docs), "doc_id", "n_shingles", "component_id", "kept") == want
+    assert further.value > 1000
+
+
 def test_every_pair_within_the_distance_meets():
     """Pigeonhole: signatures that differ in DISTANCE components share a key."""
     import numpy as np
