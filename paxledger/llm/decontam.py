@@ -36,6 +36,8 @@ FEATURES, DF_BUCKETS = 1 << 18, 1 << 16
 BLOCK, ENERGY, OVERSAMPLE = 224, 0.98, 16
 #: Blocks that one pass over the documents searches: about 4 MB each on every executor.
 TOGETHER = 8
+#: Windows of a text that are projected together.
+LOT = 32
 COSINE = 0.45
 #: Parts of a passage's words in the common subsequence: alone, and together with that part of the answer.
 LCS_ALONE, LCS_WITH_ANSWER, ANSWER = 0.8, 0.6, 0.8
@@ -112,8 +114,9 @@ def _document_frequencies(shared):
         total, rows = np.zeros(DF_BUCKETS + len(own), np.int64), 0
         for batch in batches:
             for text in batch["text"]:
-                h = np.unique(hashes(list(set(words_of(text)))))
-                total[np.unique(h & np.uint32(DF_BUCKETS - 1))] += 1
+                h = hashes(list(set(words_of(text))))
+                # A place that comes up several times in one text is counted once.
+                total[h & np.uint32(DF_BUCKETS - 1)] += 1
                 at, held = places(h, own)
                 total[DF_BUCKETS + at[held]] += 1
                 rows += 1
@@ -252,11 +255,17 @@ class Index:
         kinds = [([(n, n // 4) for n in WINDOWS], every), ([(n, 1) for n in np.unique(sizes[short]).tolist()], short)]
         return [(windows, which, self.latent[which], self._reach(self.latent[which])) for windows, which in kinds if len(which)]
 
+    @cached_property
+    def _weight_of(self) -> np.ndarray:
+        """Room for one weight a feature; what it holds means nothing between two texts."""
+        return np.empty(FEATURES)
+
     def candidates(self, h: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
         """(start, length, cosine, passage) for each window and passage of at least ``COSINE``.
 
         A window's product with any passage is at most the sum of what its words add at most, and its length at
-        least the root of their squares; only windows for which that leaves room are projected.
+        least the root of their squares; only windows for which that leaves room are projected. They are so in lots first,
+        and one by one where that leaves room again.
         """
         feature_of = h & np.uint32(FEATURES - 1)
         weight = weights(h, self.idf, self.own)
@@ -265,23 +274,48 @@ class Index:
             most = np.concatenate(([0.0], np.cumsum(weight * reach[feature_of])))
             yield from self._candidates(windows, which, latent, feature_of, weight, energy, most)
 
+    def _may_reach(self, start, end, latent, feature_of, weight) -> np.ndarray:
+        """Whether each window may reach the cosine with one of the passages; a margin is left for rounding."""
+        may = np.empty(len(start), bool)
+        for lot in (slice(i, i + LOT) for i in range(0, len(start), LOT)):
+            sizes = end[lot] - start[lot]
+            window = np.repeat(np.arange(len(sizes)), sizes)
+            word = np.arange(len(window)) + (start[lot] - np.cumsum(sizes) + sizes)[window]
+            feature, nr = np.unique(feature_of[word], return_inverse=True)
+            summed = np.bincount(window * len(feature) + nr, weight[word], len(sizes) * len(feature)).reshape(len(sizes), -1)
+            row = self.row_of[feature]
+            known = row >= 0
+            z = summed[:, known].astype(np.float32) @ self.basis[row[known]]
+            may[lot] = (z @ latent.T).max(axis=1) >= (COSINE - 1e-3) * np.sqrt((summed**2).sum(axis=1))
+        # Words of one feature count with the weight of a window's first of them: where weights differ, nothing is ruled out.
+        self._weight_of[feature_of] = weight
+        odd = self._weight_of[feature_of] != weight
+        if odd.any():
+            mixed = np.concatenate(([0], np.cumsum(np.isin(feature_of, feature_of[odd]))))
+            may |= mixed[end] - mixed[start] > 1
+        return may
+
     def _candidates(self, windows, which, latent, feature_of, weight, energy, most) -> Iterator[tuple[int, int, float, int]]:
-        for length, step in windows:
-            start = np.arange(0, max(1, len(weight) - length + step), step)
-            end = np.minimum(start + length, len(weight))
-            room = most[end] - most[start] >= COSINE * np.sqrt(energy[end] - energy[start]) - 1e-6
-            for s, e in zip(start[room].tolist(), end[room].tolist()):
-                feature, first, count = np.unique(feature_of[s:e], return_index=True, return_counts=True)
-                w = count * weight[s:e][first]
-                norm = np.sqrt((w**2).sum())
-                r = self.row_of[feature]
-                known = r >= 0
-                if not norm or not known.any():
-                    continue
-                z = (w[known] / norm).astype(np.float32) @ self.basis[r[known]]
-                cosine = latent @ z
-                for p in np.flatnonzero(cosine >= COSINE):
-                    yield s, e, float(cosine[p]), int(which[p])
+        starts = [np.arange(0, max(1, len(weight) - length + step), step) for length, step in windows]
+        start = np.concatenate(starts)
+        end = np.minimum(start + np.repeat([length for length, _ in windows], [len(x) for x in starts]), len(weight))
+        room = np.flatnonzero(most[end] - most[start] >= COSINE * np.sqrt(energy[end] - energy[start]) - 1e-6)
+        if not len(room):
+            return
+        start, end = start[room], end[room]
+        may = self._may_reach(start, end, latent, feature_of, weight)
+        for s, e in zip(start[may].tolist(), end[may].tolist()):
+            feature, first, count = np.unique(feature_of[s:e], return_index=True, return_counts=True)
+            w = count * weight[s:e][first]
+            norm = np.sqrt((w**2).sum())
+            r = self.row_of[feature]
+            known = r >= 0
+            if not norm or not known.any():
+                continue
+            z = (w[known] / norm).astype(np.float32) @ self.basis[r[known]]
+            cosine = latent @ z
+            for p in np.flatnonzero(cosine >= COSINE):
+                yield s, e, float(cosine[p]), int(which[p])
 
     def leaks(self, words: list[bytes], h: np.ndarray) -> Iterator[tuple[int, float, int, int, int, int]]:
         """(item_id, cosine, common words, words, common words of the answer, words of the answer), the best of each item."""

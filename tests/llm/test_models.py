@@ -161,6 +161,47 @@ def test_frequencies_by_word(spark, monkeypatch):
     assert np.allclose(got, np.log(11 / np.array([6, 2, 1, 11])) + 1e-3)
 
 
+def small_index(seed: int = 5) -> tuple[decontam.Index, list[str]]:
+    """An index of a few passages, in the space of their own features, where words have different weights."""
+    idf = np.random.default_rng(seed).uniform(1, 9, decontam.DF_BUCKETS)
+    texts = [nasty.prose(seed * 100 + k, 60) for k in range(8)]
+    passages = [p for k, t in enumerate(texts) for p in decontam.passages_of(k, t)]
+    vectors = [decontam.vector(p.words, idf) for p in passages]
+    features = np.unique(np.concatenate([f for f, _ in vectors]))
+    row_of = np.full(decontam.FEATURES, -1, np.int32)
+    row_of[features] = np.arange(len(features))
+    dense = np.zeros((len(passages), len(features)), np.float32)
+    for k, (f, w) in enumerate(vectors):
+        dense[k, row_of[f]] = w
+    return decontam.Index(passages, dense, row_of, np.eye(len(features), dtype=np.float32), idf), texts
+
+
+def test_windows_without_leaks_are_not_taken_one_by_one(monkeypatch):
+    index, texts = small_index()
+    words = decontam.words_of(texts[0])
+    word = max(words, key=lambda w: index.idf[zlib.crc32(w) & decontam.DF_BUCKETS - 1] * (words.count(w) == 1))
+    h = decontam.hashes([word] * 4000)
+    assert index.searched
+    calls, real = [], np.unique
+    monkeypatch.setattr(decontam.np, "unique", lambda *a, **k: (calls.append(1), real(*a, **k))[1])
+    assert not list(index.candidates(h))
+    windows = sum(4000 // step for lots, *_ in index.searched for _, step in lots)
+    assert len(calls) < windows / 10
+
+
+@pytest.mark.parametrize("features", [1 << 18, 64])
+def test_bound_of_lots_loses_nothing(monkeypatch, features):
+    monkeypatch.setattr(decontam, "FEATURES", features)  # with few of them, words of different weights share one
+    index, texts = small_index()
+    rng = random.Random(3)
+    given = [nasty.prose(k, 50) + " " + " ".join(w if rng.random() < 0.7 else "other" for w in t.split()) for k, t in enumerate(texts)] * 4
+    given = [" ".join(g.split()[k:]) + " " + nasty.prose(900 + k, 400) for k, g in enumerate(given)]
+    hashed = [decontam.hashes(decontam.words_of(t)) for t in given]
+    got = [list(index.candidates(h)) for h in hashed]
+    monkeypatch.setattr(decontam.Index, "_may_reach", lambda self, start, *more: np.ones(len(start), bool))
+    assert got == [list(index.candidates(h)) for h in hashed] and sum(map(len, got)) > 100
+
+
 def test_candidates_against_brute_force():
     """Recall of the latent search: windows whose full TF-IDF cosine is well above the threshold are candidates."""
     docs, _ = leak_cases()
